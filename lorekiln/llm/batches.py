@@ -1,0 +1,16 @@
+"""Arrow batches and packed integers."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+#: Rows of an Arrow batch at most; texts are long, so Spark's default takes too much memory.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Bounds the rows of this session's Arrow batches."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))

@@ -3,23 +3,64 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lorekiln.llm import exact_dedup
+from lorekiln.llm import exact_dedup, secrets, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archives(spark, warc.archive(_table(spark, sf_dir, "pages")))
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind: str):
+        rank = secrets.KINDS.index(kind)
+        return F.size(F.filter("named", lambda s: s["rank"] == rank)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(secrets.spans_text(F.col("named")), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("secrets")).alias("spans"),
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_warc_archive": op1_warc_archive,
+    "op2_secret_scan": op2_secret_scan,
     "op4_exact_dedup": op4_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op1_warc_archive": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+        g AS (SELECT payload, max(page_id) AS response FROM p GROUP BY payload),
+        d AS (
+            SELECT p.page_id, octet_length(p.payload) AS payload_bytes, g.response,
+                list_transform(range(0, 160), lambda i: CAST(
+                    ('0x' || substr(sha1(p.payload), 1 + i // 4, 1))::INT >> (3 - i % 4) & 1 AS INT)) AS bits
+            FROM p JOIN g ON p.payload = g.payload
+        )
+        SELECT page_id, payload_bytes,
+            list_aggregate(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + 16 * bits[5 * k + 1] + 8 * bits[5 * k + 2] + 4 * bits[5 * k + 3] + 2 * bits[5 * k + 4] + bits[5 * k + 5],
+                1)), 'string_agg', '') AS payload_digest,
+            CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> response THEN response END AS refers_to
+        FROM d
+    """,
     "op4_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
