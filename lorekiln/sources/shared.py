@@ -42,7 +42,7 @@ class Workspace:
         return f"{self.root}/{table}"
 
     def keep(self, df: DataFrame, table: str) -> DataFrame:
-        df.write.parquet(self.path(table))
+        df.write.option("compression", "zstd").parquet(self.path(table))
         return self.spark.read.schema(df.schema).parquet(self.path(table))
 
     def drop(self, table: str) -> None:
