@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 #: Rows of an Arrow batch at most; texts are long, so Spark's default takes too much memory.
 BATCH_ROWS = 1000
+#: Bytes of text that are worked on at a time.
+SLICE_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
@@ -14,3 +20,16 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     now = int(spark.conf.get(key))
     if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
+
+
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, rows) of consecutive slices of about ``most`` bytes; a longer text is alone."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    begin, total = 0, 0
+    for row, size in enumerate(sizes.tolist()):
+        if row > begin and total + size > most:
+            yield begin, texts.slice(begin, row - begin)
+            begin, total = row, 0
+        total += size
+    if begin < len(texts):
+        yield begin, texts.slice(begin)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorekiln.llm import exact_dedup, secrets, warc
+from lorekiln.llm import exact_dedup, lang_id, packing, secrets, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,14 +34,39 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("length"),
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False))
+    model = lang_id.fit(docs.filter(~held_out))
+    found = lang_id.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), F.col("found.lang").alias("lang_pred"), "found.score", "found.rejected"
+    )
+
+
 QUERIES = {
     "op1_warc_archive": op1_warc_archive,
     "op2_secret_scan": op2_secret_scan,
+    "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op8_language_id": op8_language_id,
 }
 
 ORACLE_SQL = {
