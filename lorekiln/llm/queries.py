@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorekiln.llm import exact_dedup, lang_id, packing, secrets, warc
+from lorekiln.llm import exact_dedup, lang_id, packing, secrets, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,12 +61,20 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_store.write_store(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_store.read_documents(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 QUERIES = {
     "op1_warc_archive": op1_warc_archive,
     "op2_secret_scan": op2_secret_scan,
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_language_id": op8_language_id,
+    "op9_token_store": op9_token_store,
 }
 
 ORACLE_SQL = {
