@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorekiln.llm import exact_dedup, lang_id, packing, secrets, token_store, warc
+from lorekiln.llm import exact_dedup, lang_id, packing, secrets, simhash_dedup, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,11 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup.classes(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_warc_archive": op1_warc_archive,
     "op2_secret_scan": op2_secret_scan,
@@ -75,6 +80,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op8_language_id": op8_language_id,
     "op9_token_store": op9_token_store,
+    "op10_simhash_dedup": op10_simhash_dedup,
 }
 
 ORACLE_SQL = {
