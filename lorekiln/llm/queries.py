@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorekiln.llm import exact_dedup, lang_id, packing, secrets, simhash_dedup, token_store, warc
+from lorekiln.llm import exact_dedup, kd_sharding, lang_id, packing, secrets, simhash_dedup, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,11 +73,17 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = kd_sharding.shard(_table(spark, sf_dir, "documents"), shards=40)
+    return placed.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 QUERIES = {
     "op1_warc_archive": op1_warc_archive,
     "op2_secret_scan": op2_secret_scan,
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_kd_sharding": op6_kd_sharding,
     "op8_language_id": op8_language_id,
     "op9_token_store": op9_token_store,
     "op10_simhash_dedup": op10_simhash_dedup,
