@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorekiln.llm import exact_dedup, kd_sharding, lang_id, packing, secrets, simhash_dedup, token_store, warc
+from lorekiln.llm import bpe_words, exact_dedup, kd_sharding, lang_id, packing, secrets, simhash_dedup, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,12 +78,24 @@ def op6_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    found = bpe_words.encode(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return found.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(bpe_words.decoded(F.col("ids"), path), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_warc_archive": op1_warc_archive,
     "op2_secret_scan": op2_secret_scan,
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_kd_sharding": op6_kd_sharding,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_language_id": op8_language_id,
     "op9_token_store": op9_token_store,
     "op10_simhash_dedup": op10_simhash_dedup,

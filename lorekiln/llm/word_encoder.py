@@ -19,7 +19,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 #: Words that a process keeps with their ids.
 KNOWN_WORDS = 300_000
 #: White space that has to be seen with its neighbours, and the mark that cuts words.
-_TOGETHER = "[ \t\n\v\f\r][ \t\n\v\f\r]|^[ \t\n\v\f\r]|[ \t\n\v\f\r]$|\x00"
+TOGETHER = "[ \t\n\v\f\r][ \t\n\v\f\r]|^[ \t\n\v\f\r]|[ \t\n\v\f\r]$|\x00"
 
 
 class WordEncoder:
@@ -79,7 +79,7 @@ class WordEncoder:
         texts = pc.fill_null(texts, "")
         if not self.spaced:
             return self._by_words(texts)
-        together = pc.match_substring_regex(texts, _TOGETHER)
+        together = pc.match_substring_regex(texts, TOGETHER)
         if not pc.any(together).as_py():
             return self._by_words(texts)
         whole, sizes = self._library(texts.filter(together).to_pylist())
