@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorekiln.llm import bpe_words, exact_dedup, kd_sharding, lang_id, packing, secrets, simhash_dedup, token_store, warc
+from lorekiln.llm import bpe_words, embedding_dedup, exact_dedup, kd_sharding, lang_id, packing, secrets, simhash_dedup, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,11 +89,16 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_warc_archive": op1_warc_archive,
     "op2_secret_scan": op2_secret_scan,
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_kd_sharding": op6_kd_sharding,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_language_id": op8_language_id,
@@ -126,4 +131,20 @@ ORACLE_SQL = {
         SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t.norm) AS text_sha256
         FROM t JOIN g ON t.norm = g.norm
     """,
+    "op5_embedding_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), link AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+            ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
+        ), reach AS (
+            SELECT vec_id, vec_id AS other FROM embeddings
+            UNION SELECT r.vec_id, l.b FROM reach r JOIN link l ON r.other = l.a
+        ), n AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a),
+        c AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
+        SELECT c.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, c.vec_id = c.component_id AS kept
+        FROM c LEFT JOIN n ON c.vec_id = n.vec_id
+    """,
 }

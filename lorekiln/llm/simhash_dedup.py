@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lorekiln.llm.batches import small_batches
+from lorekiln.llm.stars import spanning_stars
 from lorekiln.operators.graph import connected_components
 from lorekiln.sources.shared import Workspace
 
@@ -127,24 +128,6 @@ def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(at.view(np.int64)), pa.array(sent), pa.array(visits)], ["anchor", "fp", "visits"])
 
 
-def _joined(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning star of each component of the links a-b: (member, least member)."""
-    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
-    left, right = ends[: len(a)], ends[len(a) :]
-    label = np.arange(len(nodes))
-    while True:
-        low = np.minimum(label[left], label[right])
-        after = label.copy()
-        np.minimum.at(after, left, low)
-        np.minimum.at(after, right, low)
-        after = after[after]
-        if np.array_equal(after, label):
-            break
-        label = after
-    moved = label != np.arange(len(nodes))
-    return nodes[moved], nodes[label[moved]]
-
-
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (group, fp, visits) sorted by group with homes first, as links of visitors and
     homes. Links of a batch are reduced to a star per component; none is lost that way."""
@@ -175,12 +158,12 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             right = fps[np.repeat(begins[index[rows]], n) + within]
             near = (np.bitwise_count(left ^ right) <= DISTANCE) & (left != right)
             if near.any():
-                x, y = _joined(left[near].view(np.int64), right[near].view(np.int64))
+                x, y = spanning_stars(left[near].view(np.int64), right[near].view(np.int64))
                 a.append(x)
                 b.append(y)
             at = to
         if a:
-            x, y = _joined(np.concatenate(a), np.concatenate(b))
+            x, y = spanning_stars(np.concatenate(a), np.concatenate(b))
             yield pa.record_batch([pa.array(x), pa.array(y)], ["src", "dst"])
 
 
