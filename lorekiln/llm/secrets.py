@@ -195,23 +195,27 @@ def spans_text(spans: Column) -> Column:
     )
 
 
-def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", length_col: str | None = None) -> DataFrame:
     """``docs`` with every span of ``secrets`` replaced by ``mask``; overlapping spans get
-    one mask. Columns stay as they were; null texts stay null."""
+    one mask. ``length_col`` then counts the code points of a changed text. Other columns
+    stay as they were; null texts stay null."""
     found = find_secrets(docs, text_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
     init = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(state: Column, s: Column) -> Column:
-        fresh = F.concat(
-            state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit(mask)
-        )
+        upto = F.concat(state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit(mask))
         return F.struct(
             F.greatest(state["at"], s["end"]).alias("at"),
-            F.when((s["start"] >= state["at"]), fresh).otherwise(state["out"]).alias("out"),
+            F.when(s["start"] >= state["at"], upto).otherwise(state["out"]).alias("out"),
         )
 
     masked = F.aggregate(
         F.col("secrets"), init, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))
     )
-    return found.withColumn(text_col, F.when(F.size("secrets") > 0, masked).otherwise(F.col(text_col))).select(docs.columns)
+    changed = F.size("secrets") > 0
+    out = found.withColumn("__masked", F.when(changed, masked))
+    if length_col:
+        kind = docs.schema[length_col].dataType
+        out = out.withColumn(length_col, F.when(changed, F.length("__masked").cast(kind)).otherwise(F.col(length_col)))
+    return out.withColumn(text_col, F.coalesce("__masked", text_col)).select(docs.columns)
