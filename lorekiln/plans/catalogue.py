@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from lorekiln.plans import queries_evidence, queries_matching, queries_text
+from lorekiln.plans.queries_text import flagship
 
-from pyspark.sql import DataFrame, SparkSession
+QUERIES = queries_text.QUERIES | queries_matching.QUERIES | queries_evidence.QUERIES
+ORACLE_SQL = queries_text.ORACLE_SQL | queries_matching.ORACLE_SQL | queries_evidence.ORACLE_SQL
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES", "flagship"]
