@@ -1,4 +1,278 @@
-from lorekiln.plans.registry import Registry
+"""Windows, plans, evidence, samples, resume and quality gates."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lorekiln.functions import text as T
+from lorekiln.operators import evidence, external, planning, windows
+from lorekiln.plans.queries_text import SQL_KEY
+from lorekiln.plans.registry import Registry, table
 
 REGISTRY = Registry()
 QUERIES, ORACLE_SQL = REGISTRY.queries, REGISTRY.sql
+
+
+@REGISTRY.query("""
+    SELECT c.conv_id, c.turn, c.role FROM conversations c WHERE EXISTS (
+        SELECT 1 FROM conversations h WHERE h.conv_id = c.conv_id AND length(h.text) > 500 AND h.turn BETWEEN c.turn - 2 AND c.turn + 2)
+""")
+def win_neighbour_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return windows.neighbour_frame(turns, ["conv_id"], "turn", F.length("text") > 500, 2).select("conv_id", "turn", "role")
+
+
+@REGISTRY.query("""
+    SELECT conv_id, turn, max(CASE WHEN role = 'user' THEN turn END) OVER (
+        PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous_header FROM conversations
+""")
+def win_previous_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return windows.previous_header(turns, ["conv_id"], "turn", F.col("role") == "user").select("conv_id", "turn", "previous_header")
+
+
+@REGISTRY.query("""
+    WITH h AS (SELECT user_id, epoch(ts)::BIGINT AS b, epoch(ts)::BIGINT + 600 AS e FROM (SELECT user_id, date_trunc('second', ts) AS ts FROM events)),
+    m AS (SELECT *, CASE WHEN max(e) OVER w IS NULL OR b > max(e) OVER w + 60 THEN 1 ELSE 0 END AS fresh FROM h
+        WINDOW w AS (PARTITION BY user_id ORDER BY b, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    i AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY b, e) AS island FROM m)
+    SELECT user_id, min(b) AS island_begin, max(e) AS island_end, count(*) AS members FROM i GROUP BY user_id, island
+""")
+def win_merge_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    begin = F.unix_seconds(F.col("ts").cast("timestamp"))
+    spans = table(spark, sf_dir, "events").select("user_id", begin.alias("b"), (begin + 600).alias("e"))
+    return windows.merged_islands(spans, ["user_id"], "b", "e", gap=60)
+
+
+@REGISTRY.query("""
+    WITH c AS (SELECT conv_id, turn, length(text) AS n, 2 AS centre FROM conversations),
+    u AS (SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY abs(turn - centre), turn ROWS UNBOUNDED PRECEDING) AS used FROM c)
+    SELECT conv_id, turn, n FROM u WHERE used <= 1500 OR turn = centre
+""")
+def win_trim_to_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.length("text").alias("n"), F.lit(2).alias("centre"))
+    return windows.trim_to_budget(turns, ["conv_id"], "turn", "centre", "n", 1500).select("conv_id", "turn", "n")
+
+
+SQL_PLANS = """
+    o AS (SELECT o_custkey, count(*) AS docs, max(o_totalprice) / sum(o_totalprice) AS coverage, bool_or(o_orderpriority = '1-URGENT') AS urgent FROM orders GROUP BY o_custkey),
+    p AS (SELECT c_custkey, c_mktsegment, coalesce(o.docs, 0) AS docs, c_acctbal >= 0 AS candidate, coalesce(o.urgent, FALSE) AS review, coalesce(o.coverage, 0) AS coverage
+        FROM customer LEFT JOIN o ON c_custkey = o_custkey),
+    s AS (SELECT *, CASE WHEN docs = 0 THEN 'stub_only' WHEN review AND NOT candidate THEN 'review_stub' WHEN NOT candidate THEN 'context_stub'
+        WHEN docs = 1 AND coverage >= 0.8 THEN 'direct_copy_candidate' WHEN docs <= 3 THEN 'small_compile' WHEN docs <= 20 THEN 'compile' ELSE 'chunked_compile' END AS strategy FROM p)
+"""
+
+
+def _plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.count("*").alias("docs"), (F.max("o_totalprice") / F.sum("o_totalprice")).alias("coverage"), F.bool_or(F.col("o_orderpriority") == "1-URGENT").alias("urgent")
+    )
+    plans = table(spark, sf_dir, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+    plans = plans.select(
+        "c_custkey", "c_mktsegment", F.coalesce("docs", F.lit(0)).alias("docs"), (F.col("c_acctbal") >= 0).alias("candidate"),
+        F.coalesce("urgent", F.lit(False)).alias("review"), F.coalesce("coverage", F.lit(0.0)).alias("coverage"),
+    )
+    return plans.withColumn("strategy", planning.strategy(F.col("docs"), F.col("candidate"), F.col("review"), F.col("coverage")))
+
+
+@REGISTRY.query(f"WITH {SQL_PLANS} SELECT c_custkey, docs, strategy FROM s")
+def cls_strategy_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plans(spark, sf_dir).select("c_custkey", "docs", "strategy")
+
+
+@REGISTRY.query(f"""
+    WITH {SQL_PLANS} SELECT c_mktsegment, strategy, count(*) AS plans_count, sum(docs) AS documents_sum, count(*) FILTER (WHERE review) AS review_count FROM s GROUP BY ALL
+""")
+def agg_strategy_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plans(spark, sf_dir).groupBy("c_mktsegment", "strategy").agg(
+        F.count("*").alias("plans_count"), F.sum("docs").alias("documents_sum"), F.count_if("review").alias("review_count")
+    )
+
+
+@REGISTRY.query(f"""
+    WITH {SQL_PLANS} SELECT c_custkey, strategy, CASE WHEN strategy = 'review_stub' AND c_mktsegment <> 'MACHINERY' AND docs > 0
+        THEN CASE WHEN docs <= 3 THEN 'small_compile' WHEN docs <= 20 THEN 'compile' ELSE 'chunked_compile' END ELSE strategy END AS repaired FROM s
+""")
+def cls_plan_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    again = planning.repaired(F.col("strategy"), F.col("docs"), F.col("c_mktsegment") == "MACHINERY")
+    return _plans(spark, sf_dir).select("c_custkey", "strategy", again.alias("repaired"))
+
+
+@REGISTRY.query("""
+    SELECT o_orderkey, l_linenumber, l_partkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'high' WHEN l_quantity >= 25 THEN 'normal' ELSE 'low' END AS priority,
+        CASE WHEN l_quantity >= 40 THEN 4096 WHEN l_quantity >= 15 THEN 2048 ELSE 1024 END AS output_tokens
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderstatus = 'O'
+""")
+def jn_task_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plans = table(spark, sf_dir, "orders").filter("o_orderstatus = 'O'")
+    tasks = planning.task_queue(plans, "o_orderkey", table(spark, sf_dir, "lineitem"), "l_orderkey")
+    urgent, size = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.col("l_quantity")
+    return tasks.select(
+        "o_orderkey", "l_linenumber", "l_partkey",
+        F.when(urgent, "high").when(size >= 25, "normal").otherwise("low").alias("priority"),
+        F.when(size >= 40, 4096).when(size >= 15, 2048).otherwise(1024).alias("output_tokens"),
+    )
+
+
+@REGISTRY.query("""
+    WITH RECURSIVE d AS (SELECT source, doc_id, n_chars, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents),
+    f AS (
+        SELECT source, doc_id, k, 0 AS batch, 1 AS rows_in, n_chars AS total FROM d WHERE k = 1
+        UNION ALL SELECT d.source, d.doc_id, d.k,
+            CASE WHEN f.rows_in >= 5 OR f.total + d.n_chars > 50000 THEN f.batch + 1 ELSE f.batch END,
+            CASE WHEN f.rows_in >= 5 OR f.total + d.n_chars > 50000 THEN 1 ELSE f.rows_in + 1 END,
+            CASE WHEN f.rows_in >= 5 OR f.total + d.n_chars > 50000 THEN d.n_chars ELSE f.total + d.n_chars END
+        FROM f JOIN d ON f.source = d.source AND d.k = f.k + 1
+    ) SELECT source, doc_id, batch FROM f
+""")
+def grf_bin_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.bin_fill(table(spark, sf_dir, "documents"), "source", "doc_id", "n_chars", 5, 50000)
+
+
+@REGISTRY.query("""
+    WITH d AS (SELECT d.doc_id, d.text, d.n_chars, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+    r AS (SELECT doc_id,
+        list_filter([CASE WHEN n_chars < 20 THEN 'too_short' END, CASE WHEN toxic = 1 THEN 'toxic' END], lambda x: x IS NOT NULL) AS no,
+        list_filter([CASE WHEN quality = 0 THEN 'low_quality' END, CASE WHEN n_chars > 20000 THEN 'too_long' END, CASE WHEN quality IS NULL THEN 'unlabelled' END], lambda x: x IS NOT NULL) AS maybe FROM d)
+    SELECT doc_id, CASE WHEN len(no) > 0 THEN 'rejected' WHEN len(maybe) > 0 THEN 'review' ELSE 'valid' END AS layer,
+        array_to_string(list_sort(list_concat(no, maybe)), ',') AS reasons FROM r
+""")
+def cls_evidence_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    layer, reasons = evidence.evidence_layer(
+        {"too_short": F.col("n_chars") < 20, "toxic": F.col("toxic") == 1},
+        {"low_quality": F.col("quality") == 0, "too_long": F.col("n_chars") > 20000, "unlabelled": F.col("quality").isNull()},
+    )
+    return docs.select("doc_id", layer.alias("layer"), F.array_join(reasons, ",").alias("reasons"))
+
+
+SQL_CLAIM = SQL_KEY.format("string_split(text, chr(10))[1]")
+
+
+@REGISTRY.query(f"""
+    SELECT lang, source, sha256({SQL_CLAIM}) AS claim_sha256, min(doc_id) AS doc_id, count(*) AS duplicates FROM documents GROUP BY ALL
+""")
+def win_evidence_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    claim = F.sha2(T.match_key(F.split("text", "\n")[0]), 256).alias("claim_sha256")
+    claims = table(spark, sf_dir, "documents").select("lang", "source", claim, "doc_id")
+    return evidence.first_of_equals(claims, ["lang", "source", "claim_sha256"], "doc_id")
+
+
+@REGISTRY.query()
+def grf_fact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    claims = table(spark, sf_dir, "documents").select(
+        F.concat_ws("/", "lang", "source", F.left(T.match_key(F.col("text")), F.lit(2))).alias("tag"), "doc_id", F.left(F.split("text", "\n")[0], F.lit(300)).alias("claim")
+    )
+    return evidence.fact_groups(claims, "tag", "doc_id", "claim")
+
+
+@REGISTRY.query("""
+    SELECT source, count(*) FILTER (WHERE quality = 1) AS good_count, count(*) FILTER (WHERE quality = 0) AS poor_count, count(*) FILTER (WHERE toxic = 1) AS toxic_count
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY source
+""")
+def jn_tag_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    labelled = docs.join(table(spark, sf_dir, "labels"), "doc_id")
+    parts = {"good": labelled.filter("quality = 1"), "poor": labelled.filter("quality = 0"), "toxic": labelled.filter("toxic = 1")}
+    return evidence.coverage(docs, "source", parts)
+
+
+@REGISTRY.query("""
+    WITH r AS (SELECT l_suppkey, l_orderkey, l_linenumber, l_quantity, row_number() OVER w AS rank,
+        coalesce(sum(l_quantity) OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+        FROM lineitem WINDOW w AS (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber))
+    SELECT l_suppkey, l_orderkey, l_linenumber, rank FROM r WHERE rank = 1 OR (rank <= 80 AND before < 1200)
+""")
+def top_ranked_soft_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "lineitem")
+    found = windows.ranked_soft_cap(items, "l_suppkey", ["l_shipdate", "l_orderkey", "l_linenumber"], "l_quantity", 80, 1200)
+    return found.select("l_suppkey", "l_orderkey", "l_linenumber", "rank")
+
+
+@REGISTRY.query("SELECT c_custkey, c_mktsegment, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) AS turn FROM customer")
+def top_round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = table(spark, sf_dir, "customer")
+    return windows.round_robin(customers, "c_mktsegment", [F.col("c_acctbal").desc(), F.col("c_custkey")]).select("c_custkey", "c_mktsegment", "turn")
+
+
+@REGISTRY.query("""
+    SELECT c_custkey, c_mktsegment, row_number() OVER (PARTITION BY c_mktsegment ORDER BY (c_acctbal < 0)::INT DESC, sha256(CAST(c_custkey AS VARCHAR))) AS sample_rank
+    FROM customer QUALIFY sample_rank <= 25
+""")
+def top_stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = windows.stratified_sample(table(spark, sf_dir, "customer"), "c_mktsegment", "c_custkey", F.col("c_acctbal") < 0, 25)
+    return found.select("c_custkey", "c_mktsegment", "sample_rank")
+
+
+@REGISTRY.query("""
+    SELECT d.doc_id, CASE WHEN l.quality = 1 THEN 'compiled' WHEN l.doc_id IS NOT NULL THEN 'entity' WHEN length(d.text) >= 1000 THEN 'insufficient' ELSE 'missing' END AS article_source
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+""")
+def cls_source_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    sources = [("compiled", F.col("quality") == 1), ("entity", F.col("quality").isNotNull()), ("insufficient", F.length("text") >= 1000)]
+    return docs.select("doc_id", planning.first_source(sources).alias("article_source"))
+
+
+@REGISTRY.query(r"""
+    WITH b AS (SELECT p_partkey, regexp_replace(regexp_replace(p_brand || ' ' || p_name, '[^\p{L}\p{N}_.-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g') AS base FROM part)
+    SELECT p_partkey, CASE WHEN row_number() OVER (PARTITION BY base ORDER BY p_partkey) = 1 THEN base ELSE base || '_' || p_partkey END AS file_name FROM b
+""")
+def win_unique_filenames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = table(spark, sf_dir, "part").withColumn("base", T.safe_filename(F.concat_ws(" ", "p_brand", "p_name")))
+    return windows.unique_names(named, "base", "p_partkey").select("p_partkey", "file_name")
+
+
+@REGISTRY.query("SELECT event_id, user_id, event_type, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1 AS active FROM events")
+def udf_latest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    return windows.latest(events, ["user_id", "event_type"], [F.col("ts").desc(), F.col("event_id").desc()]).select("event_id", "user_id", "event_type", "active")
+
+
+@REGISTRY.query("""
+    SELECT doc_id, sha256(text) AS request_key FROM documents d
+    WHERE NOT EXISTS (SELECT 1 FROM documents p JOIN labels l ON p.doc_id = l.doc_id WHERE sha256(p.text) = sha256(d.text))
+""")
+def udf_resume_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("request_key"))
+    done = requests.join(table(spark, sf_dir, "labels"), "doc_id", "left_semi")
+    return external.resumed(requests, done, "request_key").select("doc_id", "request_key")
+
+
+@REGISTRY.query("""
+    WITH c AS (SELECT source, doc_id, CAST(ceil(length(text) / 4.0) AS BIGINT) AS tokens FROM documents),
+    r AS (SELECT *, sum(tokens) OVER (PARTITION BY source ORDER BY doc_id) AS running_cost FROM c)
+    SELECT source, doc_id, tokens, running_cost FROM r WHERE running_cost <= 20000
+""")
+def udf_budget_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    costs = table(spark, sf_dir, "documents").select("source", "doc_id", T.estimated_tokens(F.col("text")).alias("tokens"))
+    return windows.within_budget(costs, "source", ["doc_id"], "tokens", 20000)
+
+
+@REGISTRY.query()
+def udf_stub_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", T.head_and_tail(F.col("text"), 4000).alias("text"))
+    requests = docs.select("doc_id", external.request_of(F.col("text"), "v1").alias("request"))
+    found = external.entities(external.call(requests, "request", external.stub_model), "response").filter("size(errors) = 0")
+    return found.select("doc_id", external.cache_key(F.col("request")).alias("request_key"), F.posexplode("entities").alias("entity_index", "e")).select(
+        "doc_id", "request_key", "entity_index", "e.surface", "e.role", "e.confidence"
+    )
+
+
+@REGISTRY.query("""
+    SELECT count(*) AS documents_count, count(DISTINCT d.doc_id) = count(*) AS ids_unique, count(l.doc_id) AS labelled_count,
+        count(*) FILTER (WHERE text IS NULL OR text = '') AS empty_count, bool_and(n_chars = length(text)) AS lengths_match,
+        count(*) FILTER (WHERE quality NOT IN (0, 1) OR toxic NOT IN (0, 1)) = 0 AS labels_valid
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+""")
+def qa_stage_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return docs.agg(
+        F.count("*").alias("documents_count"),
+        (F.countDistinct("doc_id") == F.count("*")).alias("ids_unique"),
+        F.count("quality").alias("labelled_count"),
+        F.count_if(F.col("text").isNull() | (F.col("text") == "")).alias("empty_count"),
+        F.bool_and(F.col("n_chars") == F.length("text")).alias("lengths_match"),
+        (F.count_if(~F.col("quality").isin(0, 1) | ~F.col("toxic").isin(0, 1)) == 0).alias("labels_valid"),
+    )
