@@ -5,7 +5,7 @@ chunk once, under its SHA-256. A document's recipe lists its chunks and their Me
 the manifest holds a root for every block of recipes. Recipes lie in ascending id order.
 
 Files below the folder of a store (Parquet tables)
-    chunks:   digest, data (ids as little-endian unsigned 16-bit integers)
+    chunks:   digest, data (ids as unsigned 16-bit integers: low bytes, then high bytes, Zstandard)
     recipes:  doc_id, start (ids of all documents before it), n_tokens, digests, root, part, block
     manifest: part, block, first_start, n_docs, n_tokens, root
 
@@ -23,6 +23,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,10 +31,10 @@ from lorekiln.llm.batches import slices, small_batches
 from lorekiln.llm.word_encoder import word_encoder
 from lorekiln.sources.shared import Workspace
 
-#: Ids that the rolling hash covers; cuts lie where MASK's bits are zero: a chunk has about 500 ids.
-REACH = 16
-MASK = np.uint64(0x1FF << 40)
-LEAST, MOST = 128, 4096
+#: Ids that the rolling hash covers; cuts lie where MASK's bits are zero: a chunk has about 2000 ids.
+REACH = 12
+MASK = np.uint64(0x7FF << 44)
+LEAST, MOST = 256, 16384
 IDS = 1 << 16
 BLOCK_DOCS = 1000
 
@@ -73,6 +74,19 @@ def cuts(size: int, places: list[int]) -> list[int]:
     return ends
 
 
+def digest_of(ids: np.ndarray) -> bytes:
+    return hashlib.sha256(ids.astype("<u2").tobytes()).digest()
+
+
+def packed(ids: np.ndarray) -> bytes:
+    return zstandard.compress(ids.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(2, -1)
+    return np.ascontiguousarray(planes.T).view("<u2").reshape(-1)
+
+
 def merkle_root(digests: list[bytes]) -> bytes:
     """Pairwise SHA-256 up to one digest; an odd one moves up as it is."""
     level = list(digests)
@@ -97,14 +111,14 @@ def _chunked(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col
                 # Windows that reach into the document before end before LEAST, where no cut is made.
                 places = np.flatnonzero((rolling_hash(ids) & MASK) == 0) + 1
                 bounds = np.searchsorted(places, np.concatenate([[0], ends]), side="right").tolist()
-                stored = ids.astype("<u2")
                 recipes, chunks = [], {}
                 for k, (size, stop) in enumerate(zip(sizes.tolist(), ends.tolist(), strict=True)):
                     first, digests, at = stop - size, [], 0
                     for to in cuts(size, (places[bounds[k] : bounds[k + 1]] - first).tolist()):
-                        data = stored[first + at : first + to].tobytes()
-                        digests.append(hashlib.sha256(data).digest())
-                        chunks[digests[-1]] = data
+                        own = ids[first + at : first + to]
+                        digests.append(digest_of(own))
+                        if digests[-1] not in chunks:
+                            chunks[digests[-1]] = packed(own)
                         at = to
                     recipes.append((names[begin + k], size, digests, merkle_root(digests)))
                 doc, count, lists, roots = zip(*recipes, strict=True)
@@ -172,7 +186,7 @@ def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc_id, start, n_tokens, root = now
         if merkle_root(digests) != root:
             raise ValueError(f"the chunks of the document at {start} don't give its root")
-        whole = np.frombuffer(b"".join(ids), "<u2").astype("<u4")
+        whole = np.concatenate(ids).astype("<u4")
         if len(whole) != n_tokens:
             raise ValueError(f"the document at {start} has {len(whole)} ids, not {n_tokens}")
         return doc_id, start, n_tokens, whole.tobytes()
@@ -188,9 +202,10 @@ def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if now is not None:
                     rows.append(document())
                 now, ids, digests = (doc_id, start, n_tokens, root), [], []
-            if data is None or hashlib.sha256(data).digest() != digest:
+            own = None if data is None else unpacked(data)
+            if own is None or digest_of(own) != digest:
                 raise ValueError(f"a chunk of the document at {start} is missing or damaged")
-            ids.append(data)
+            ids.append(own)
             digests.append(digest)
         if rows:
             yield out(rows)

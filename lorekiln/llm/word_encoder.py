@@ -16,10 +16,14 @@ import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
-#: Words that a process keeps with their ids.
-KNOWN_WORDS = 300_000
+#: Words that a process keeps with their ids, and words that the library sees in one text.
+KNOWN_WORDS = 250_000
+JOINED = 500
 #: White space that has to be seen with its neighbours, and the mark that cuts words.
 TOGETHER = "[ \t\n\v\f\r][ \t\n\v\f\r]|^[ \t\n\v\f\r]|[ \t\n\v\f\r]$|\x00"
+#: Points and commas that may belong to what is before them, and marks that case may compose with.
+BOUND = r"[^\p{L}\p{N}][.,]"
+MARKS = r"\p{M}|[^ \t\n\v\f\r\p{L}\p{N}][.,]"
 
 
 class WordEncoder:
@@ -34,7 +38,7 @@ class WordEncoder:
         self.known: dict[str, int] = {}
         self.flat, self.starts, self.sizes = (np.zeros(0, t) for t in (np.uint32, np.int64, np.int64))
 
-    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has."""
         flat, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for at in range(0, len(texts), 10_000):
@@ -44,14 +48,56 @@ class WordEncoder:
             sizes.append(np.diff(lists.offsets.to_numpy()))
         return np.concatenate(flat), np.concatenate(sizes)
 
-    def _words(self, texts: pa.Array) -> pa.Array:
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words that may stand in one text; offsets tell whose an id is."""
+        gap = 0 if self.spaced else 1
+        flat, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        groups = [words[at : at + JOINED] for at in range(0, len(words), JOINED)]
+        for at in range(0, len(groups), 20):
+            some = groups[at : at + 20]
+            for group, e in zip(some, self.tokenizer.encode_batch([(" " * gap).join(g) for g in some], add_special_tokens=False), strict=True):
+                lengths = np.fromiter(map(len, group), np.int64, len(group)) + gap
+                begin = np.fromiter((o[0] for o in e.offsets), np.int64, len(e))
+                whose = np.searchsorted(np.cumsum(lengths) - lengths, begin, side="right") - 1
+                flat.append(np.array(e.ids, np.uint32))
+                sizes.append(np.bincount(whose, minlength=len(group)))
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def _library(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and how many each has."""
+        if not self.spaced:
+            return self._joined(words)
+        # What begins with a space or line break follows any word; other words stand alone.
+        first = np.fromiter((w[:1] in " \n" for w in words), bool, len(words)) if words else np.zeros(0, bool)
+        parts = []
+        for chosen, encode in ((first, self._joined), (~first, self._texts)):
+            at = np.flatnonzero(chosen)
+            flat, sizes = encode([words[k] for k in at.tolist()])
+            parts.append((at, flat, sizes))
+        counts = np.zeros(len(words), np.int64)
+        for at, _, sizes in parts:
+            counts[at] = sizes
+        starts = np.cumsum(counts) - counts
+        whole = np.zeros(int(counts.sum()), np.uint32)
+        for at, flat, sizes in parts:
+            whole[np.repeat(starts[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(flat))] = flat
+        return whole, counts
+
+    def _words(self, texts: pa.Array, cut: bool) -> pa.Array:
+        """Texts as lists of words; ``cut``: points and commas begin a word too."""
+        if not self.spaced:
+            texts = pc.ascii_lower(texts) if cut else texts
+        mark = "\x00" if self.spaced else " "
+        for first in ".," if cut else "":
+            texts = pc.replace_substring(texts, first, mark + first)
         if not self.spaced:
             return pc.ascii_split_whitespace(texts)
-        cut = pc.replace_substring(pc.replace_substring(texts, " ", "\x00 "), "\n", "\x00\n")
-        return pc.split_pattern(cut, "\x00")
+        for first in " \n":
+            texts = pc.replace_substring(texts, first, mark + first)
+        return pc.split_pattern(texts, mark)
 
-    def _by_words(self, texts: pa.Array) -> list[np.ndarray]:
-        lists = self._words(texts)
+    def _by_words(self, texts: pa.Array, cut: bool) -> list[np.ndarray]:
+        lists = self._words(texts, cut)
         bounds = lists.offsets.to_numpy()
         words = lists.flatten().dictionary_encode()
         codes = words.indices.to_numpy()
@@ -77,15 +123,21 @@ class WordEncoder:
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text; null counts as empty."""
         texts = pc.fill_null(texts, "")
-        if not self.spaced:
-            return self._by_words(texts)
-        together = pc.match_substring_regex(texts, TOGETHER)
-        if not pc.any(together).as_py():
-            return self._by_words(texts)
-        whole, sizes = self._library(texts.filter(together).to_pylist())
-        whole = iter(np.split(whole, np.cumsum(sizes)[:-1]))
-        rest = iter(self._by_words(texts.filter(pc.invert(together))))
-        return [next(whole) if alone else next(rest) for alone in together.to_pylist()]
+        kinds = pc.if_else(pc.match_substring_regex(texts, BOUND if self.spaced else MARKS), 1, 0)
+        if self.spaced:
+            kinds = pc.if_else(pc.match_substring_regex(texts, TOGETHER), 2, kinds)
+        kinds, found = kinds.to_numpy(zero_copy_only=False), [None] * len(texts)
+        for kind in np.unique(kinds).tolist():
+            rows = np.flatnonzero(kinds == kind)
+            some = texts.take(pa.array(rows))
+            if kind == 2:
+                flat, sizes = self._texts(some.to_pylist())
+                each = np.split(flat, np.cumsum(sizes)[:-1])
+            else:
+                each = self._by_words(some, kind == 0)
+            for row, ids in zip(rows.tolist(), each, strict=True):
+                found[row] = ids
+        return found
 
 
 @cache
