@@ -34,15 +34,17 @@ def quote_hits(quotes: DataFrame, quote_id: str, quote: str, docs: DataFrame, do
     A quote's leading words are an equi-join key, so no text meets all quotes; the whole
     quote is then looked up. Quotes shorter than that join by all their words.
     """
-    asked = quotes.select(quote_id, T.match_key(F.col(quote)).alias("q")).filter("q <> ''")
-    words = F.split("q", " ")
-    asked = asked.withColumn("n", F.least(F.size(words), F.lit(LEAD))).withColumn("lead", F.array_join(F.slice(words, F.lit(1), F.col("n")), " "))
-    lengths = sorted(r["n"] for r in asked.select("n").distinct().collect())  # LEAD values at most
-    body = docs.select(doc_id, T.match_key(F.col(text)).alias("body")).withColumn("words", F.split("body", " "))
-    leads = [_leads(F.col("words"), n) for n in lengths] or [F.array().cast("array<string>")]
-    places = body.select(doc_id, "body", F.explode(F.array_distinct(F.concat(*leads))).alias("lead"))
-    padded = F.contains(F.concat(F.lit(" "), F.col("body"), F.lit(" ")), F.concat(F.lit(" "), F.col("q"), F.lit(" ")))
-    return places.join(asked, "lead").filter(padded).select(quote_id, doc_id).distinct()
+    asked = quotes.select(F.col(quote_id).alias("__quote_id"), T.match_key(F.col(quote)).alias("__quote")).filter("__quote <> ''")
+    words = F.split("__quote", " ")
+    asked = asked.withColumn("__n", F.least(F.size(words), F.lit(LEAD)))
+    asked = asked.withColumn("__lead", F.array_join(F.slice(words, F.lit(1), F.col("__n")), " "))
+    lengths = sorted(r[0] for r in asked.select("__n").distinct().collect())  # LEAD values at most
+    body = docs.select(F.col(doc_id).alias("__doc_id"), T.match_key(F.col(text)).alias("__body")).withColumn("__words", F.split("__body", " "))
+    leads = [_leads(F.col("__words"), n) for n in lengths] or [F.array().cast("array<string>")]
+    places = body.select("__doc_id", "__body", F.explode(F.array_distinct(F.concat(*leads))).alias("__lead"))
+    padded = F.contains(F.concat(F.lit(" "), F.col("__body"), F.lit(" ")), F.concat(F.lit(" "), F.col("__quote"), F.lit(" ")))
+    hits = places.join(asked, "__lead").filter(padded)
+    return hits.select(F.col("__quote_id").alias(quote_id), F.col("__doc_id").alias(doc_id)).distinct()
 
 
 def alias_hits(aliases: DataFrame, alias_id: str, alias: str, docs: DataFrame, doc_id: str, text: str, least: int = 3) -> DataFrame:
