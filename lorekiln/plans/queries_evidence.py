@@ -162,7 +162,7 @@ def win_evidence_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @REGISTRY.query()
 def grf_fact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     claims = table(spark, sf_dir, "documents").select(
-        F.concat_ws("/", "lang", "source", F.left(T.match_key(F.col("text")), F.lit(2))).alias("tag"), "doc_id", F.left(F.split("text", "\n")[0], F.lit(300)).alias("claim")
+        F.concat_ws("/", "lang", F.split(T.match_key(F.col("text")), " ")[0]).alias("tag"), "doc_id", F.split("text", "\n")[0].alias("claim")
     )
     return evidence.fact_groups(claims, "tag", "doc_id", "claim")
 
@@ -276,3 +276,107 @@ def qa_stage_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.bool_and(F.col("n_chars") == F.length("text")).alias("lengths_match"),
         (F.count_if(~F.col("quality").isin(0, 1) | ~F.col("toxic").isin(0, 1)) == 0).alias("labels_valid"),
     )
+
+
+@REGISTRY.query("""
+    WITH w AS (SELECT CASE WHEN length(text) >= 1000 THEN 'high' WHEN length(text) >= 300 THEN 'medium' ELSE 'low' END AS quality, role AS method, conv_id, length(text) AS n FROM conversations)
+    SELECT method, quality, count(*) AS windows_count, count(DISTINCT conv_id) AS documents_count, round(avg(n), 2) AS characters_avg FROM w GROUP BY ALL
+""")
+def agg_window_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.length("text")
+    quality = F.when(n >= 1000, "high").when(n >= 300, "medium").otherwise("low").alias("quality")
+    turns = table(spark, sf_dir, "conversations").select(F.col("role").alias("method"), quality, "conv_id", n.alias("n"))
+    return turns.groupBy("method", "quality").agg(
+        F.count("*").alias("windows_count"), F.countDistinct("conv_id").alias("documents_count"), F.round(F.avg("n"), 2).alias("characters_avg")
+    )
+
+
+@REGISTRY.query("""
+    SELECT field, value, count(*) AS rows_count, count(DISTINCT p_partkey) AS parts_count
+    FROM (UNPIVOT (SELECT p_partkey, p_name, p_brand, p_type FROM part) ON p_name, p_brand, p_type INTO NAME field VALUE value)
+    GROUP BY ALL HAVING count(*) >= 5
+""")
+def qa_unpivot_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    long = parts.unpivot("p_partkey", ["p_name", "p_brand", "p_type"], "field", "value").filter("value is not null")
+    return long.groupBy("field", "value").agg(F.count("*").alias("rows_count"), F.countDistinct("p_partkey").alias("parts_count")).filter("rows_count >= 5")
+
+
+@REGISTRY.query("""
+    WITH o AS (SELECT l_orderkey, list_sort(list(DISTINCT l_returnflag || l_linestatus)) AS labels FROM lineitem GROUP BY l_orderkey)
+    SELECT l_orderkey, array_to_string(labels, ',') AS labels, list_has_all(labels, ['AF', 'RF']) AS bad_mix, len(list_filter(['AF', 'RF', 'NO'], lambda x: NOT list_contains(labels, x))) AS uncovered FROM o
+""")
+def set_known_bad_subsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "lineitem").withColumn("label", F.concat("l_returnflag", "l_linestatus"))
+    orders = items.groupBy("l_orderkey").agg(F.array_sort(F.collect_set("label")).alias("labels"))
+    missing = lambda *wanted: F.size(F.array_except(F.array(*map(F.lit, wanted)), F.col("labels")))
+    return orders.select(
+        "l_orderkey", F.array_join("labels", ",").alias("labels"), (missing("AF", "RF") == 0).alias("bad_mix"), missing("AF", "RF", "NO").alias("uncovered")
+    )
+
+
+@REGISTRY.query("""
+    SELECT value, rows_count FROM (SELECT user_id AS value, count(*) AS rows_count FROM events WHERE event_type <> 'view' GROUP BY user_id HAVING count(*) >= 2)
+    ORDER BY rows_count DESC, value LIMIT 50
+""")
+def top_counter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = table(spark, sf_dir, "events").filter("event_type <> 'view'").groupBy(F.col("user_id").alias("value")).agg(F.count("*").alias("rows_count"))
+    return counts.filter("rows_count >= 2").orderBy(F.col("rows_count").desc(), "value").limit(50)
+
+
+@REGISTRY.query("""
+    SELECT (SELECT count(*) FROM labels) AS labels_count, (SELECT count(*) FROM labels l ANTI JOIN documents d ON d.doc_id = l.doc_id) AS only_labels,
+        (SELECT count(*) FROM documents d ANTI JOIN labels l ON d.doc_id = l.doc_id) AS only_documents,
+        (SELECT count(*) FROM (SELECT doc_id FROM labels GROUP BY doc_id HAVING count(*) > 1)) AS repeated_labels
+""")
+def jn_set_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id").distinct().withColumn("d", F.lit(1))
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.count("*").alias("l"))
+    both = docs.join(labels, "doc_id", "full")
+    return both.agg(
+        F.coalesce(F.sum("l"), F.lit(0)).alias("labels_count"),
+        F.count_if(F.col("d").isNull()).alias("only_labels"),
+        F.count_if(F.col("l").isNull()).alias("only_documents"),
+        F.count_if(F.col("l") > 1).alias("repeated_labels"),
+    )
+
+
+@REGISTRY.query("""
+    WITH m AS (SELECT c_nationkey AS tag, c_mktsegment AS role, c_custkey, c_acctbal FROM customer), n AS (SELECT tag, role, count(*) AS n FROM m GROUP BY ALL)
+    SELECT tag, count(*) AS mentions_count, round(avg(c_acctbal), 6) AS balance_avg, bool_or(c_acctbal < 0) AS any_debt, bool_and(c_acctbal > -900) AS all_sound,
+        (SELECT role FROM n WHERE n.tag = m.tag ORDER BY n DESC, role LIMIT 1) AS primary_role FROM m GROUP BY tag
+""")
+def agg_component_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mentions = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("tag"), F.col("c_mktsegment").alias("role"), "c_acctbal")
+    roles = mentions.groupBy("tag", "role").agg(F.count("*").alias("n"), F.sum("c_acctbal").alias("s"), F.min("c_acctbal").alias("least"))
+    first = F.min(F.struct((-F.col("n")).alias("n"), "role"))["role"]
+    return roles.groupBy("tag").agg(
+        F.sum("n").alias("mentions_count"), F.round(F.sum("s") / F.sum("n"), 6).alias("balance_avg"), F.bool_or(F.col("least") < 0).alias("any_debt"),
+        F.bool_and(F.col("least") > -900).alias("all_sound"), first.alias("primary_role"),
+    )
+
+
+@REGISTRY.query("""
+    SELECT count(*) AS tasks_count, sum(l_quantity) AS tokens_sum, round(sum(l_extendedprice) / count(*), 6) AS cost_per_task,
+        round(sum(l_extendedprice) / nullif(sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END), 0), 6) AS cost_per_accepted, round(avg(l_tax), 6) AS latency_avg FROM lineitem
+""")
+def agg_cost_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items, cost = table(spark, sf_dir, "lineitem"), F.sum("l_extendedprice")
+    return items.agg(
+        F.count("*").alias("tasks_count"), F.sum("l_quantity").alias("tokens_sum"), F.round(cost / F.count("*"), 6).alias("cost_per_task"),
+        F.round(cost / F.nullif(F.count_if(F.col("l_returnflag") == "A"), F.lit(0)), 6).alias("cost_per_accepted"), F.round(F.avg("l_tax"), 6).alias("latency_avg"),
+    )
+
+
+@REGISTRY.query("""
+    WITH t AS (SELECT conv_id, min(turn) AS first_turn, max(turn) AS last_turn, count(*) AS turns, string_agg(role, '>' ORDER BY turn) AS roles, sum(length(text)) AS characters FROM conversations GROUP BY conv_id)
+    SELECT *, CASE WHEN first_turn <> 0 THEN 'starts_late' WHEN last_turn + 1 <> turns THEN 'has_gaps' WHEN NOT starts_with(roles, 'user') THEN 'wrong_start' ELSE 'ok' END AS status FROM t
+""")
+def gen_conversation_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role")))
+    windows_ = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
+        F.min("turn").alias("first_turn"), F.max("turn").alias("last_turn"), F.count("*").alias("turns"),
+        F.array_join(F.transform(turns, lambda t: t["role"]), ">").alias("roles"), F.sum(F.length("text")).alias("characters"),
+    )
+    status = F.when(F.col("first_turn") != 0, "starts_late").when(F.col("last_turn") + 1 != F.col("turns"), "has_gaps").when(~F.col("roles").startswith("user"), "wrong_start")
+    return windows_.withColumn("status", status.otherwise("ok"))

@@ -109,34 +109,39 @@ def grf_clique_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @REGISTRY.query("""
-    WITH m AS (SELECT DISTINCT l_suppkey AS grp, l_partkey AS node FROM lineitem WHERE l_quantity >= 45),
+    WITH m AS (SELECT DISTINCT l_suppkey AS grp, l_partkey AS node FROM lineitem),
     b AS (SELECT node, count(DISTINCT grp) AS n FROM m GROUP BY node)
-    SELECT grp, count(*) AS nodes_count, max(n) AS busiest, CASE WHEN max(n) > 5 THEN 'demoted' ELSE 'ready' END AS status
+    SELECT grp, count(*) AS nodes_count, max(n) AS busiest, CASE WHEN max(n) > 42 THEN 'demoted' ELSE 'ready' END AS status
     FROM m JOIN b USING (node) GROUP BY grp
 """)
 def grf_hub_protection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members = table(spark, sf_dir, "lineitem").filter("l_quantity >= 45").select(F.col("l_suppkey").alias("grp"), F.col("l_partkey").alias("node"))
-    return pairs.hub_protection(members, "grp", "node", 5)
+    members = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("grp"), F.col("l_partkey").alias("node"))
+    return pairs.hub_protection(members, "grp", "node", 42)
 
 
 @REGISTRY.query("""
-    WITH RECURSIVE e AS (SELECT DISTINCT c_custkey AS a, o_orderkey + 1000000000 AS b FROM customer JOIN orders ON c_custkey = o_custkey WHERE o_orderkey % 50 = 0
-        UNION SELECT DISTINCT l_suppkey + 2000000000, l_orderkey + 1000000000 FROM lineitem WHERE l_orderkey % 50 = 0 AND l_quantity > 49),
-    both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+    WITH RECURSIVE e AS (
+        SELECT c_custkey + 1000000000 AS a, c_nationkey + 3000000000 AS b FROM customer
+        UNION SELECT s_suppkey + 2000000000, s_nationkey + 3000000000 FROM supplier
+        UNION SELECT n_nationkey + 3000000000, n_regionkey + 4000000000 FROM nation
+    ), both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
     reach AS (SELECT a AS node, a AS other FROM both_ways UNION SELECT r.node, w.b FROM reach r JOIN both_ways w ON r.other = w.a)
     SELECT node, min(other) AS component FROM reach GROUP BY node
 """)
 def grf_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").filter("o_orderkey % 50 = 0")
-    owners = orders.join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey")).select(F.col("c_custkey").alias("src"), (F.col("o_orderkey") + 1000000000).alias("dst"))
-    items = table(spark, sf_dir, "lineitem").filter("l_orderkey % 50 = 0 and l_quantity > 49")
-    sellers = items.select((F.col("l_suppkey") + 2000000000).alias("src"), (F.col("l_orderkey") + 1000000000).alias("dst"))
-    return graph.connected_components(owners.union(sellers), Workspace(spark, "components"))
+    def edges(name: str, left: str, first: int, right: str, second: int) -> DataFrame:
+        own = table(spark, sf_dir, name)
+        return own.select((F.col(left).cast("long") + first).alias("src"), (F.col(right).cast("long") + second).alias("dst"))
+
+    every = edges("customer", "c_custkey", 1_000_000_000, "c_nationkey", 3_000_000_000)
+    every = every.union(edges("supplier", "s_suppkey", 2_000_000_000, "s_nationkey", 3_000_000_000))
+    every = every.union(edges("nation", "n_nationkey", 3_000_000_000, "n_regionkey", 4_000_000_000))
+    return graph.connected_components(every, Workspace(spark, "components"))
 
 
 @REGISTRY.query("""
-    WITH e AS (SELECT l_orderkey AS edge, l_partkey % 40 AS node, max(l_discount) OVER (PARTITION BY l_orderkey) AS c FROM lineitem),
-    r AS (SELECT DISTINCT o_custkey AS rid, l_partkey % 40 AS node FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey % 10 = 0 AND l_linenumber <= 2),
+    WITH e AS (SELECT l_orderkey AS edge, l_partkey AS node, max(l_discount) OVER (PARTITION BY l_orderkey) AS c FROM lineitem),
+    r AS (SELECT DISTINCT l_orderkey AS rid, l_partkey AS node FROM lineitem WHERE l_returnflag = 'R'),
     s AS (SELECT rid, count(*) AS wanted FROM r GROUP BY rid),
     w AS (SELECT DISTINCT edge, node FROM e WHERE c < 0.09),
     h AS (SELECT edge, rid, count(*) AS held FROM w JOIN r USING (node) GROUP BY ALL),
@@ -146,9 +151,8 @@ def grf_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 def grf_constraint_veto(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem")
     best = items.groupBy("l_orderkey").agg(F.max("l_discount").alias("c"))
-    edges = items.join(best, "l_orderkey").select(F.col("l_orderkey").alias("edge"), (F.col("l_partkey") % 40).alias("node"), "c")
-    rejected = table(spark, sf_dir, "orders").filter("o_custkey % 10 = 0").join(items.filter("l_linenumber <= 2"), F.col("o_orderkey") == F.col("l_orderkey"))
-    rejected = rejected.select(F.col("o_custkey").alias("rid"), (F.col("l_partkey") % 40).alias("node"))
+    edges = items.join(best, "l_orderkey").select(F.col("l_orderkey").alias("edge"), F.col("l_partkey").alias("node"), "c")
+    rejected = items.filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("rid"), F.col("l_partkey").alias("node"))
     return pairs.constraint_veto(edges, rejected, "edge", "node", "c", "rid", 0.09)
 
 
