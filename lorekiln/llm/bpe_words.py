@@ -13,6 +13,11 @@ Defined results
     repeated rows are encoded once each; ids of documents may be null or repeat.
     a text of any length is encoded whole; an empty table gives an empty result; other
     columns are left alone.
+
+Blocks are made twice, once for their words and once for their positions, as the positions of
+a corpus are large and texts are quickly read again. Both times a block has to be the same: its
+words carry a digest, and a block that came out otherwise stops the job. Reading a table gives
+the same blocks each time; write other inputs to a table first.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -33,16 +39,16 @@ from pyspark.sql import functions as F
 
 from lorekiln.llm.batches import small_batches
 from lorekiln.llm.word_encoder import TOGETHER
-from lorekiln.sources.shared import Workspace
 
 #: Bytes of text in a block; bytes of a corpus per group of words; places in a row.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
 GROUP_BYTES = 16 << 20
 LEAST_GROUPS = 64
 ROW_PLACES = 1 << 20
 
-PARTS = "block bigint, words_group int, doc_ids array<bigint>, counts array<bigint>, places binary, words binary"
-ENCODED = "block bigint, places binary, sizes binary, ids binary"
+DOCUMENTS = "block bigint, digest binary, doc_ids array<bigint>, counts array<bigint>, places binary"
+WORDS = "block bigint, digest binary, words_group int, places binary, words binary"
+ENCODED = "block bigint, digest binary, places binary, sizes binary, ids binary"
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -120,29 +126,48 @@ def block_parts(texts: pa.Array, pattern: str) -> tuple[list[bytes], np.ndarray,
     return words.dictionary.cast(pa.binary()).take(pa.array(order)).to_pylist(), rank[places], np.diff(ends)
 
 
-def _blocks(docs: DataFrame, pattern: str, groups: int) -> DataFrame:
-    """Rows of documents (``words_group`` -1) and rows of distinct words of a block."""
-
-    def rows(block: int, ids: list, texts: pa.Array) -> Iterator[pa.RecordBatch]:
-        words, places, counts = block_parts(texts, pattern)
-        ends, begin = np.cumsum(counts), 0
-        while begin < len(ids):
-            before = ends[begin - 1] if begin else 0
-            to = max(begin + 1, int(np.searchsorted(ends, before + ROW_PLACES, side="right")))
-            yield row(block, -1, ids[begin:to], counts[begin:to].tolist(), _packed(places[before : ends[to - 1]]), None)
-            begin = to
-        group = np.fromiter((zlib.crc32(w) % groups for w in words), np.int64, len(words))
-        order = np.argsort(group, kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(groups + 1)).tolist()
-        for g in range(groups):
-            if bounds[g] < bounds[g + 1]:
-                own = order[bounds[g] : bounds[g + 1]]
-                yield row(block, g, None, None, _packed(own), _packed_words([words[k] for k in own.tolist()]))
-
-    def row(*values) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary())
-        names = ["block", "words_group", "doc_ids", "counts", "places", "words"]
-        return pa.record_batch([pa.array([v], t) for v, t in zip(values, kinds, strict=True)], names)
+def _batch(schema: dict[str, pa.DataType], *values) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([v], t) for v, t in zip(values, schema.values(), strict=True)], list(schema))
+
+
+def _document_rows(block: int, ids: list, words: list[bytes], places: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The places of a block's documents, up to ROW_PLACES or one document in a row."""
+    integers = pa.list_(pa.int64())
+    schema = {"block": pa.int64(), "digest": pa.binary(), "doc_ids": integers, "counts": integers, "places": pa.binary()}
+    ends, begin = np.cumsum(counts), 0
+    while begin < len(ids):
+        before = ends[begin - 1] if begin else 0
+        to = max(begin + 1, int(np.searchsorted(ends, before + ROW_PLACES, side="right")))
+        yield _batch(schema, block, _digest(words), ids[begin:to], counts[begin:to].tolist(), _packed(places[before : ends[to - 1]]))
+        begin = to
+
+
+def _word_rows(block: int, words: list[bytes], groups: int) -> Iterator[pa.RecordBatch]:
+    """A block's distinct words, a row per group."""
+    schema = {"block": pa.int64(), "digest": pa.binary(), "words_group": pa.int32(), "places": pa.binary(), "words": pa.binary()}
+    group = np.fromiter((zlib.crc32(w) % groups for w in words), np.int64, len(words))
+    order = np.argsort(group, kind="stable")
+    bounds = np.searchsorted(group[order], np.arange(groups + 1)).tolist()
+    digest = _digest(words)
+    for g in range(groups):
+        if bounds[g] < bounds[g + 1]:
+            own = order[bounds[g] : bounds[g + 1]]
+            yield _batch(schema, block, digest, g, _packed(own), _packed_words([words[k] for k in own.tolist()]))
+
+
+def _digest(words: list[bytes]) -> bytes:
+    return xxhash.xxh3_128_digest(b"\xff".join(words))
+
+
+def _blocks(docs: DataFrame, pattern: str, groups: int | None) -> DataFrame:
+    """Rows of the blocks' documents, or with ``groups`` rows of their words."""
+
+    def rows(block: int, ids: list, texts: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+        words, places, counts = block_parts(pa.concat_arrays(texts), pattern)
+        if groups is None:
+            yield from _document_rows(block, ids, words, places, counts)
+        else:
+            yield from _word_rows(block, words, groups)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
@@ -151,12 +176,13 @@ def _blocks(docs: DataFrame, pattern: str, groups: int) -> DataFrame:
             texts.append(batch.column(1))
             size += batch.column(1).nbytes
             if size >= BLOCK_BYTES:
-                yield from rows(block, ids, pa.concat_arrays(texts))
+                yield from rows(block, ids, texts)
                 block, ids, texts, size = block + 1, [], [], 0
+                pa.default_memory_pool().release_unused()
         if ids:
-            yield from rows(block, ids, pa.concat_arrays(texts))
+            yield from rows(block, ids, texts)
 
-    return docs.mapInArrow(run, PARTS)
+    return docs.mapInArrow(run, DOCUMENTS if groups is None else WORDS)
 
 
 @cache
@@ -186,14 +212,16 @@ def _encoded(words: DataFrame, path: str, pattern: str) -> DataFrame:
             at += len(words_here)
         sizes_out, ids_out = zip(*out, strict=True)
         return pa.table(
-            {"block": table["block"], "places": table["places"], "sizes": pa.array(sizes_out, pa.binary()), "ids": pa.array(ids_out, pa.binary())}
+            {"block": table["block"], "digest": table["digest"], "places": table["places"], "sizes": pa.array(sizes_out, pa.binary()), "ids": pa.array(ids_out, pa.binary())}
         )
 
     return words.groupBy("words_group").applyInArrow(run, ENCODED)
 
 
-def _assembled(documents: pa.Table, words: pa.Table) -> pa.Table:
-    """A block's documents: ids of their pre-tokens in order of position."""
+def _assembled(documents: pa.Table, words: pa.Table) -> Iterator[tuple[int | None, np.ndarray]]:
+    """(id, token ids) of a block's documents: ids of their pre-tokens in order of position."""
+    if len({*documents["digest"].to_pylist(), *words["digest"].to_pylist()}) > 1:
+        raise ValueError("a block of documents was not read the same way twice; write the input to a table first")
     places = [_unpacked(p) for p in words["places"].to_pylist()]
     count = sum(map(len, places))
     sizes, starts, flat, held = np.zeros(count, np.int64), np.zeros(count, np.int64), [np.zeros(0, np.uint32)], 0
@@ -203,28 +231,33 @@ def _assembled(documents: pa.Table, words: pa.Table) -> pa.Table:
         flat.append(_unpacked(ids))
         held += len(flat[-1])
     flat = np.concatenate(flat)
-    doc_ids, found = [], []
     for ids, counts, packed in zip(documents["doc_ids"].to_pylist(), documents["counts"].to_pylist(), documents["places"].to_pylist(), strict=True):
         own = _unpacked(packed)
         index, ends = _ragged(starts[own], sizes[own])
         tokens = flat[index].astype("<u4")
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
-        doc_ids += ids
-        found += [tokens[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
-    return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "ids": pa.array(found, pa.binary())})
+        yield from zip(ids, (tokens[a:b] for a, b in zip(bounds, bounds[1:], strict=False)), strict=True)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per document: doc_id, ids (little-endian unsigned 32-bit integers)."""
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", round_trip: bool = False) -> DataFrame:
+    """A row per document: doc_id, ids (little-endian unsigned 32-bit integers), and with
+    ``round_trip`` decoded, the bytes that the ids stand for."""
     small_batches(docs.sparkSession)
-    work = Workspace(docs.sparkSession, "bpe-words")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = work.keep(_blocks(rows, pattern, max(LEAST_GROUPS, -(-size // GROUP_BYTES))), "parts")
-    words = parts.filter("words_group >= 0").select("block", "words_group", "places", "words")
-    documents = parts.filter("words_group = -1").select("block", "doc_ids", "counts", "places")
-    by_block = documents.groupBy("block").cogroup(_encoded(words, path, pattern).groupBy("block"))
-    return by_block.applyInArrow(_assembled, "doc_id bigint, ids binary")
+    words = _blocks(rows, pattern, max(LEAST_GROUPS, -(-size // GROUP_BYTES)))
+
+    def assemble(documents: pa.Table, encoded: pa.Table) -> pa.Table:
+        out: dict[str, list] = {"doc_id": [], "ids": [], **({"decoded": []} if round_trip else {})}
+        for doc_id, ids in _assembled(documents, encoded):
+            out["doc_id"].append(doc_id)
+            out["ids"].append(ids.tobytes())
+            if round_trip:
+                out["decoded"].append(bytes_of(ids, path))
+        return pa.table([pa.array(c, pa.int64() if n == "doc_id" else pa.binary()) for n, c in out.items()], names=list(out))
+
+    by_block = _blocks(rows, pattern, None).groupBy("block").cogroup(_encoded(words, path, pattern).groupBy("block"))
+    return by_block.applyInArrow(assemble, "doc_id bigint, ids binary" + ", decoded binary" * round_trip)
 
 
 @cache
@@ -237,17 +270,17 @@ def _token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(table), np.uint8), np.cumsum(sizes) - sizes, sizes
 
 
+def bytes_of(ids: np.ndarray, path: str) -> bytes:
+    data, starts, sizes = _token_bytes(path)
+    index, _ = _ragged(starts[ids], sizes[ids])
+    return data[index].tobytes()
+
+
 def decoded(ids: Column, path: str) -> Column:
-    """The bytes that ``ids`` stand for."""
+    """The bytes that a column of ids stands for."""
 
     @F.arrow_udf("binary")
     def of(column: pa.Array) -> pa.Array:
-        data, starts, sizes = _token_bytes(path)
-        found = []
-        for value in column:
-            own = np.frombuffer(value.as_py(), "<u4")
-            index, _ = _ragged(starts[own], sizes[own])
-            found.append(data[index].tobytes())
-        return pa.array(found, pa.binary())
+        return pa.array([None if v is None else bytes_of(np.frombuffer(v, "<u4"), path) for v in column.to_pylist()], pa.binary())
 
     return of(ids)
