@@ -10,7 +10,7 @@ import json
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ENTITY = "array<struct<surface: string, role: string, confidence: double>>"
@@ -70,3 +70,13 @@ def entities(responses: DataFrame, response_col: str) -> DataFrame:
 
 def cost(tokens: Column, price_per_million: float) -> Column:
     return F.round(tokens * price_per_million / 1_000_000, 8)
+
+
+def halved(tasks: DataFrame, batch: str, order: list[str], failed: str) -> DataFrame:
+    """``batch_id``: batches with a failed task are split in two, with suffixes s1 and s2."""
+    whole = Window.partitionBy(batch)
+    place = F.row_number().over(whole.orderBy(*order))
+    marked = tasks.withColumn("place", place).withColumn("__n", F.count("*").over(whole)).withColumn("__failed", F.bool_or(failed).over(whole))
+    half = F.when(F.col("place") <= F.floor((F.col("__n") + 1) / 2), "_s1").otherwise("_s2")
+    name = F.when(F.col("__failed") & (F.col("__n") > 1), F.concat(F.col(batch).cast("string"), half)).otherwise(F.col(batch).cast("string"))
+    return marked.withColumn("batch_id", name).drop("__n", "__failed")

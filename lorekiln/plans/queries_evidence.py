@@ -380,3 +380,96 @@ def gen_conversation_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     status = F.when(F.col("first_turn") != 0, "starts_late").when(F.col("last_turn") + 1 != F.col("turns"), "has_gaps").when(~F.col("roles").startswith("user"), "wrong_start")
     return windows_.withColumn("status", status.otherwise("ok"))
+
+
+@REGISTRY.query("""
+    WITH r AS (SELECT o_custkey AS rid, c_nationkey AS component, o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey),
+    p AS (SELECT component, rid, count(*) AS members, min(o_orderkey) AS first_member FROM r GROUP BY ALL HAVING count(*) > 1)
+    SELECT component, count(*) AS rejected_groups, sum(members) AS members_count, min(first_member) AS first_member FROM p GROUP BY component
+""")
+def grf_rejected_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected groups of which several members lie in one component."""
+    orders = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    shared = orders.groupBy(F.col("c_nationkey").alias("component"), "o_custkey").agg(F.count("*").alias("members"), F.min("o_orderkey").alias("first_member"))
+    return shared.filter("members > 1").groupBy("component").agg(
+        F.count("*").alias("rejected_groups"), F.sum("members").alias("members_count"), F.min("first_member").alias("first_member")
+    )
+
+
+@REGISTRY.query("""
+    WITH b AS (SELECT l_orderkey AS batch, l_linenumber AS task, count(*) OVER (PARTITION BY l_orderkey) AS n, bool_or(l_returnflag = 'R') OVER (PARTITION BY l_orderkey) AS failed,
+        row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS k FROM lineitem)
+    SELECT batch, task, k AS place, CASE WHEN failed AND n > 1 THEN batch || CASE WHEN k <= (n + 1) // 2 THEN '_s1' ELSE '_s2' END ELSE CAST(batch AS VARCHAR) END AS batch_id FROM b
+""")
+def udf_split_failed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that failed are halved for the next round."""
+    items = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("batch"), F.col("l_linenumber").alias("task"), "l_partkey", "l_suppkey", (F.col("l_returnflag") == "R").alias("failed")
+    )
+    return external.halved(items, "batch", ["task", "l_partkey", "l_suppkey"], "failed").select("batch", "task", "place", "batch_id")
+
+
+@REGISTRY.query("""
+    WITH r AS (SELECT l_orderkey, count(*) AS results, count(DISTINCT l_linenumber) AS tasks, bool_or(l_quantity > 49) AS oversized FROM lineitem GROUP BY l_orderkey)
+    SELECT coalesce(o_orderkey, l_orderkey) AS task_id, array_to_string(list_filter([CASE WHEN results > tasks THEN 'duplicate_results' END, CASE WHEN r.l_orderkey IS NULL THEN 'missing_result' END,
+        CASE WHEN oversized THEN 'over_limit' END, CASE WHEN o_orderkey IS NULL THEN 'unknown_task' END], lambda x: x IS NOT NULL), ',') AS errors
+    FROM orders FULL JOIN r ON o_orderkey = l_orderkey
+""")
+def cls_response_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested and answered tasks against each other."""
+    items = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.count("*").alias("results"), F.countDistinct("l_linenumber").alias("tasks"), F.bool_or(F.col("l_quantity") > 49).alias("oversized")
+    )
+    both = table(spark, sf_dir, "orders").select("o_orderkey").join(items, F.col("o_orderkey") == F.col("l_orderkey"), "full")
+    errors = T.flags(
+        duplicate_results=F.col("results") > F.col("tasks"), missing_result=F.col("l_orderkey").isNull(), over_limit=F.col("oversized"), unknown_task=F.col("o_orderkey").isNull()
+    )
+    return both.select(F.coalesce("o_orderkey", "l_orderkey").alias("task_id"), F.array_join(errors, ",").alias("errors"))
+
+
+@REGISTRY.query("""
+    SELECT p_partkey, upper(array_to_string(list_transform(list_filter(regexp_extract_all(lower(p_name || ' ' || p_type), '[\\p{L}\\p{N}_]+'), lambda t: t NOT IN ('and', 'of', 'the')), lambda t: t[1]), '')) AS acronym,
+        array_to_string(list_transform(regexp_extract_all(p_name || ' (' || p_brand || ') (' || p_type || ')', '\\(([^)]*)\\)', 1), lambda x: lower(x)), '|') AS parenthetical
+    FROM part
+""".replace("\\\\", "\\"))
+def txt_label_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Initials of the words but for short function words, and what stands in parentheses."""
+    label = F.concat_ws(" ", "p_name", "p_type")
+    inside = F.concat("p_name", F.lit(" ("), "p_brand", F.lit(") ("), "p_type", F.lit(")"))
+    return table(spark, sf_dir, "part").select("p_partkey", T.acronym(label).alias("acronym"), F.array_join(T.parenthetical(inside), "|").alias("parenthetical"))
+
+
+@REGISTRY.query("""
+    SELECT doc_id, CASE WHEN length(text) <= 400 THEN length(text) ELSE 400 + 7 END AS prompt_length, CAST(ceil(length(text) / 4.0) AS BIGINT) AS tokens_estimate,
+        round(CAST(ceil(length(text) / 4.0) AS BIGINT) * 0.15 / 1000000, 8) AS cost_usd,
+        sha256(CASE WHEN length(text) <= 400 THEN text ELSE left(text, 200) || chr(10) || '[...]' || chr(10) || right(text, 200) END) AS prompt_sha256 FROM documents
+""")
+def txt_prompt_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts that keep the two ends of long texts, with estimated tokens and cost."""
+    prompt = T.head_and_tail(F.col("text"), 400)
+    tokens = T.estimated_tokens(F.col("text"))
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", F.length(prompt).alias("prompt_length"), tokens.alias("tokens_estimate"), external.cost(tokens, 0.15).alias("cost_usd"), F.sha2(prompt, 256).alias("prompt_sha256")
+    )
+
+
+@REGISTRY.query("""
+    WITH g AS (SELECT source, count(*) FILTER (WHERE quality = 1) AS usable, count(*) AS every, coalesce(bool_or(toxic = 1), FALSE) AS review FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY source)
+    SELECT source, usable, CASE WHEN usable = 0 THEN 'insufficient' WHEN usable <= 3 THEN 'short_article' WHEN review THEN 'reviewed_article' ELSE 'full_article' END AS strategy,
+        round(usable / every, 6) AS coverage FROM g
+""")
+def cls_article_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    found = docs.groupBy("source").agg(F.count_if(F.col("quality") == 1).alias("usable"), F.count("*").alias("every"), F.coalesce(F.bool_or(F.col("toxic") == 1), F.lit(False)).alias("review"))
+    strategy = F.when(F.col("usable") == 0, "insufficient").when(F.col("usable") <= 3, "short_article").when(F.col("review"), "reviewed_article").otherwise("full_article")
+    return found.select("source", "usable", strategy.alias("strategy"), F.round(F.col("usable") / F.col("every"), 6).alias("coverage"))
+
+
+@REGISTRY.query("""
+    SELECT conv_id, string_agg(CASE WHEN role = 'user' THEN '{"type":"header","text":"' ELSE '{"type":"paragraph","text":"' END || length(text) || '"}', ',' ORDER BY turn) AS blocks FROM conversations GROUP BY conv_id
+""")
+def gen_source_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered rows as blocks of one document."""
+    block = F.to_json(F.struct(F.when(F.col("role") == "user", "header").otherwise("paragraph").alias("type"), F.length("text").cast("string").alias("text")))
+    ordered = F.array_sort(F.collect_list(F.struct("turn", block.alias("block"))))
+    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(ordered, lambda b: b["block"]), ",").alias("blocks"))
