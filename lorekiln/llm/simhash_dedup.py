@@ -41,7 +41,7 @@ CODE_BITS = 15
 #: Homes at an anchor that one task holds.
 HOMES = 4096
 #: Pairs that are compared at a time.
-PAIRS = 1 << 20
+PAIRS = 1 << 17
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
