@@ -68,3 +68,26 @@ def quote_status(quote: Column, body: Column, fuzzy: bool = False) -> Column:
         return known.otherwise("not_found")
     rest = known.isNull() & (F.length(key) >= FUZZY_LEAST)
     return F.coalesce(known, F.when(_fuzzy(F.when(rest, key), F.when(rest, place)), "fuzzy"), F.lit("not_found"))
+
+
+def label_match(primary: tuple[Column, Column], aliases: tuple[Column, Column], generic: Column) -> Column:
+    """What two labelled nodes share: the primary label, an alias, only generic aliases, or none."""
+    shared = F.array_intersect(*aliases)
+    own = F.size(F.array_except(shared, generic)) > 0
+    return F.when(primary[0] == primary[1], "primary").when(own, "alias").when(F.size(shared) > 0, "generic_only").otherwise("none")
+
+
+def rolled_up(statuses: Column) -> Column:
+    """One status for the quotes of a row."""
+    every = lambda *names: F.forall(statuses, lambda s: s.isin(*names))
+    none = F.coalesce(F.size(statuses), F.lit(0)) <= 0
+    whole = F.when(none | every("not_found"), "not_found").when(every("exact"), "exact").when(every("exact", "normalized_exact"), "normalized_exact")
+    return whole.when(F.exists(statuses, lambda s: s == "not_found"), "partly_found").otherwise("fuzzy")
+
+
+def title_close(left: Column, right: Column, least: float = 0.74) -> Column:
+    """One title contains the other, or their matching ratio is high enough."""
+    a, b = T.match_key(left), T.match_key(right)
+    inside = ((a != "") & F.contains(b, a)) | ((b != "") & F.contains(a, b))
+    open_a, open_b = F.when(~inside, a), F.when(~inside, b)
+    return inside | (F.coalesce(ratio(open_a, open_b, least), F.lit(0.0)) >= least)

@@ -169,3 +169,30 @@ def integrity_violations(docs: DataFrame, children: DataFrame, id_col: str, chil
     missing = docs.join(children, docs[id_col] == children[child_col], "left_anti").select(F.lit("missing_child"), key)
     wrong = docs.filter(F.col(length_col) != F.length(text_col)).select(F.lit("length_mismatch"), key)
     return repeated.union(orphan).union(missing).union(wrong)
+
+
+def flat_records(df: DataFrame, id_col: str, raw_col: str) -> DataFrame:
+    """Records ``{doc_id, entities: [...]}`` as a row per entity: (id, doc_id, entity_index, entity,
+    invalid). A row with ``invalid`` stands for a record or an entity that is not usable."""
+    raw = F.col(raw_col)
+    listed = df.select(
+        F.col(id_col), F.get_json_object(raw, "$.doc_id").alias("doc_id"), F.get_json_object(raw, "$").isNotNull().alias("__json"),
+        F.get_json_object(raw, "$.entities").alias("__raw"), F.from_json(F.get_json_object(raw, "$.entities"), "array<string>").alias("__list"),
+    )
+    broken = F.when(~F.col("__json"), "invalid_json").when(F.col("doc_id").isNull(), "missing_doc_id")
+    broken = broken.when(F.col("__raw").isNotNull() & ~F.ltrim("__raw").startswith("["), "entities_not_a_list")
+    rows = listed.withColumn("__broken", broken).select(
+        id_col, "doc_id", "__broken", F.posexplode_outer(F.when(F.col("__broken").isNull(), F.col("__list"))).alias("entity_index", "entity")
+    )
+    rows = rows.filter("__broken is not null or entity_index is not null")  # a list without entities gives no row
+    no_object = F.when(F.col("entity").isNull() | ~F.ltrim("entity").startswith("{"), "entity_not_an_object")
+    return rows.withColumn("invalid", F.coalesce("__broken", no_object)).drop("__broken")
+
+
+def block_issues(blocks: DataFrame) -> DataFrame:
+    """Blocks whose structure is not sound, with the issue."""
+    text = F.col("text")
+    issue = F.when(F.col("block_type") == "empty", "empty_block")
+    issue = issue.when((F.col("block_type") == "list") & (F.trim(F.substring(text, 3, 2**31 - 1)) == ""), "empty_list_item")
+    issue = issue.when((F.col("block_type") == "header") & ~text.rlike(r"\p{L}"), "header_without_letters")
+    return blocks.withColumn("issue", issue).filter("issue is not null")

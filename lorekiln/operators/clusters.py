@@ -68,3 +68,24 @@ def tags_by_document(links: DataFrame, doc: str, tag: str, flag: str) -> DataFra
     pairs = links.groupBy(doc, tag).agg(F.bool_or(flag).alias("any"))
     text = F.concat_ws(":", F.col(tag), F.col("any").cast("string"))
     return pairs.groupBy(doc).agg(F.count("*").alias("tags_count"), F.array_join(F.array_sort(F.collect_list(text)), ",").alias("tags"))
+
+
+def first_seen(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """A row per key with its first place and number of rows, instead of arrays that grow with a tag."""
+    return df.groupBy(*keys).agg(F.min(order).alias("first_seen"), F.count("*").alias("mentions_count"))
+
+
+def busiest_nodes(members: DataFrame, group: str, node: str, most: int = 25) -> DataFrame:
+    """The nodes that occur in most groups."""
+    counts = members.groupBy(node).agg(F.countDistinct(group).alias("groups_count"))
+    return counts.orderBy(F.col("groups_count").desc(), node).limit(most)
+
+
+def represented(df: DataFrame, keys: list[str], rank: list, id_col: str, valid: str, review: str) -> DataFrame:
+    """Groups with the id of their best row, counts of layers and how they may be used."""
+    found = df.groupBy(*keys).agg(
+        F.min(F.struct(*[r.alias(f"r{k}") for k, r in enumerate(rank)], F.col(id_col)))[id_col].alias("representative"),
+        F.count("*").alias("rows_count"), F.count_if(valid).alias("valid_count"), F.count_if(review).alias("review_count"),
+    )
+    usage = F.when((F.col("valid_count") == 0) & (F.col("review_count") > 0), "review_only").when(F.col("valid_count") == 0, "not_usable")
+    return found.withColumn("usage", usage.when(F.col("valid_count") >= 2, "core_fact").otherwise("supporting_fact"))

@@ -80,3 +80,11 @@ def halved(tasks: DataFrame, batch: str, order: list[str], failed: str) -> DataF
     half = F.when(F.col("place") <= F.floor((F.col("__n") + 1) / 2), "_s1").otherwise("_s2")
     name = F.when(F.col("__failed") & (F.col("__n") > 1), F.concat(F.col(batch).cast("string"), half)).otherwise(F.col(batch).cast("string"))
     return marked.withColumn("batch_id", name).drop("__n", "__failed")
+
+
+def object_of(response: Column) -> tuple[Column, Column]:
+    """(text, status) of a response without its code fence: ok, not_json or not_an_object."""
+    bare = F.trim(F.regexp_replace(response, r"^\s*```[a-z]*\s*|\s*```\s*$", ""))
+    parsed = F.try_parse_json(bare)
+    status = F.when(parsed.isNull(), "not_json").when(~F.schema_of_variant(parsed).startswith("OBJECT"), "not_an_object").otherwise("ok")
+    return bare, status

@@ -62,3 +62,32 @@ def match_fallback(hits: list[tuple[str, DataFrame]], keys: list[str]) -> DataFr
         every = own if every is None else every.unionByName(own)
     best = F.min(F.struct("rank", "method", "hits")).alias("best")
     return every.groupBy(*keys).agg(best).select(*keys, F.col("best.method").alias("method"), F.col("best.hits").alias("hits"))
+
+
+def first_cluster(mentions: DataFrame, members: DataFrame, mention: str, cluster: str) -> DataFrame:
+    """(mention, cluster, other_clusters): the first cluster that claims a mention wins; mentions
+    that none claims have no cluster."""
+    claimed = members.groupBy(F.col(mention).alias("__mention")).agg(F.min(cluster).alias(cluster), (F.countDistinct(cluster) - 1).alias("other_clusters"))
+    found = mentions.select(mention).join(claimed, F.col(mention) == F.col("__mention"), "left")
+    return found.select(mention, cluster, F.coalesce("other_clusters", F.lit(0)).alias("other_clusters"))
+
+
+def group_edges(members: DataFrame, nodes: DataFrame, group: str, node: str, cluster: str, kind: str, most_kinds: int = 1) -> DataFrame:
+    """(group, clusters_count, first_cluster, last_cluster, verdict) of accepted groups. The first
+    verdict that holds: unknown_node, unknown_cluster, cross_type, no_edge (one cluster), edge."""
+    known = nodes.select(F.col(node).alias("__node"), cluster, kind)
+    found = members.select(group, node).distinct().join(known, F.col(node) == F.col("__node"), "left")
+    sums = found.groupBy(group).agg(
+        F.bool_or(F.col("__node").isNull()).alias("lost"), F.bool_or(F.col("__node").isNotNull() & F.col(cluster).isNull()).alias("unplaced"),
+        F.countDistinct(kind).alias("kinds"), F.countDistinct(cluster).alias("clusters_count"), F.min(cluster).alias("first_cluster"), F.max(cluster).alias("last_cluster"),
+    )
+    verdict = F.when(F.col("lost"), "unknown_node").when(F.col("unplaced"), "unknown_cluster").when(F.col("kinds") > most_kinds, "cross_type")
+    verdict = verdict.when(F.col("clusters_count") < 2, "no_edge").otherwise("edge")
+    return sums.select(group, "clusters_count", "first_cluster", "last_cluster", verdict.alias("verdict"))
+
+
+def sole_candidates(links: DataFrame, doc: str, tag: str, candidate: str) -> DataFrame:
+    """(doc, tag, sole): candidate tags of a document, and whether no other tag competes."""
+    tags = links.filter(candidate).select(doc, tag).distinct()
+    alone = tags.groupBy(doc).agg((F.count("*") == 1).alias("sole"))
+    return tags.join(alone, doc)

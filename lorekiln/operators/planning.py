@@ -39,3 +39,10 @@ def first_source(sources: list[tuple[str, Column]], fallback: str = "missing") -
     for name, there in reversed(sources):
         chain = F.when(there, name).otherwise(chain)
     return chain
+
+
+def group_status(blocked: Column, size: Column, score: Column, most: int, high: float) -> tuple[Column, Column]:
+    """(status, priority) of a candidate group; the first rule that holds decides."""
+    status = F.when(blocked > 0, "blocked").when(size < 2, "singleton").when(size > most, "too_large").when(score >= high, "ready").otherwise("low_confidence")
+    priority = F.when(status == "ready", F.when(score >= (1 + high) / 2, "high").otherwise("normal")).otherwise("none")
+    return status, priority

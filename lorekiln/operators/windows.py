@@ -63,18 +63,21 @@ def within_budget(df: DataFrame, group: str, order: list[str], cost: str, cap: f
     return df.withColumn("running_cost", F.sum(cost).over(frame)).filter(F.col("running_cost") <= cap)
 
 
-def bin_fill(df: DataFrame, group: str, order: str, size: str, most_rows: int, most_size: int) -> DataFrame:
-    """(group, order, batch): consecutive rows until a batch has enough rows or size. The fold is
-    sequential by definition; groups are independent."""
+def bin_fill(df: DataFrame, group: str, order: str, size: str, most_rows: int, most_size: int, alone_over: float = float("inf")) -> DataFrame:
+    """(group, order, batch): consecutive rows until a batch has enough rows or size; a row larger
+    than ``alone_over`` is a batch of its own. The fold is sequential by definition; groups are
+    independent."""
 
     def fold(table: pd.DataFrame) -> pd.DataFrame:
         table = table.sort_values(order, kind="stable")
         batch, rows, total, out = 0, 0, 0, []
         for n in table[size]:
-            if rows and (rows >= most_rows or total + n > most_size):
+            if rows and (rows >= most_rows or total + n > most_size or n > alone_over):
                 batch, rows, total = batch + 1, 0, 0
             rows, total = rows + 1, total + n
             out.append(batch)
+            if n > alone_over:
+                batch, rows, total = batch + 1, 0, 0
         return table[[group, order]].assign(batch=out)
 
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
@@ -88,3 +91,26 @@ def ranked_soft_cap(df: DataFrame, group: str, order: list[str], size: str, most
     by = Window.partitionBy(group).orderBy(*order)
     ranked = df.withColumn("rank", F.row_number().over(by)).withColumn("before", F.coalesce(F.sum(size).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
     return ranked.filter((F.col("rank") == 1) | ((F.col("rank") <= most_rows) & (F.col("before") < soft)))
+
+
+def heading_context(df: DataFrame, keys: list[str], order: str, header: Column, reach: int) -> DataFrame:
+    """``headings``: places of the headers within ``reach`` of a row, and the one before those."""
+    by = Window.partitionBy(*keys).orderBy(order)
+    place = F.when(header, F.col(order))
+    inside = F.collect_list(place).over(by.rangeBetween(-reach, reach))
+    before = F.max(place).over(by.rangeBetween(Window.unboundedPreceding, -reach - 1))
+    return df.withColumn("headings", F.array_sort(F.array_distinct(F.array_compact(F.concat(F.array(before), inside)))))
+
+
+def first_of_each(df: DataFrame, category: str, order: list[Column], each: int) -> DataFrame:
+    """The first rows of every category, for people to look at."""
+    by = Window.partitionBy(category).orderBy(*order)
+    return df.withColumn("sample_rank", F.row_number().over(by)).filter(F.col("sample_rank") <= each)
+
+
+def smoke_selection(tasks: DataFrame, id_col: str, group: str, volume: str, busiest: int, each: int) -> DataFrame:
+    """(id, picked_by): the tasks of greatest volume, then the first of every group among the rest."""
+    top = tasks.orderBy(F.col(volume).desc(), id_col).limit(busiest).select(F.col(id_col), F.lit("volume").alias("picked_by"))
+    rest = tasks.join(top.select(id_col), id_col, "left_anti")
+    spread = first_of_each(rest, group, [F.col(volume).desc(), F.col(id_col)], each)
+    return top.union(spread.select(id_col, F.lit("group")))
