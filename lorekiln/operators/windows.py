@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from typing import NamedTuple
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lorekiln.sources.shared import Workspace
+
+_EXIT = pa.struct([("begun", pa.int64()), ("rows", pa.int64()), ("total", pa.float64())])
+_ENDS = pa.schema([
+    ("part", pa.int64()), ("first_key", pa.string()), ("last_key", pa.string()), ("whole", pa.bool_()), ("length", pa.int64()),
+    ("head", pa.list_(pa.float64())), ("exits", pa.list_(_EXIT)),
+])
+
 
 def neighbour_frame(df: DataFrame, keys: list[str], order: str, hit: Column, reach: int) -> DataFrame:
     """Rows at most ``reach`` steps from a hit."""
@@ -63,26 +73,105 @@ def within_budget(df: DataFrame, group: str, order: list[str], cost: str, cap: f
     return df.withColumn("running_cost", F.sum(cost).over(frame)).filter(F.col("running_cost") <= cap)
 
 
-def bin_fill(df: DataFrame, group: str, order: str, size: str, most_rows: int, most_size: int, alone_over: float = float("inf")) -> DataFrame:
+class Limits(NamedTuple):
+    rows: int
+    size: float
+    alone: float
+
+    def add(self, rows: int, total: float, n: float) -> tuple[int, float] | None:
+        """The open batch with one more row, or None if a new one has to begin. A row that goes
+        alone leaves a full batch behind."""
+        if rows and (rows >= self.rows or total + n > self.size or n > self.alone):
+            return None
+        return (self.rows if n > self.alone else rows + 1), total + n
+
+
+def _filled(sizes: list[float], limits: Limits) -> tuple[list[int], int, float]:
+    """Batch of every row if one begins at the first, and rows and size of the last batch."""
+    batch, rows, total, out = 0, 0, 0.0, []
+    for n in sizes:
+        grown = limits.add(rows, total, n)
+        if grown is None:
+            batch, grown = batch + 1, limits.add(0, 0.0, n)
+        rows, total = grown
+        out.append(batch)
+    return out, rows, total
+
+
+def _segments(table: pa.Table) -> list[tuple[str, list[float]]]:
+    """(key, sizes) of the runs of one group, in the order of the rows."""
+    keys, sizes = table.column("__key").to_pylist(), table.column("__size").to_pylist()
+    out: list[tuple[str, list[float]]] = []
+    for key, n in zip(keys, sizes, strict=True):
+        if not out or out[-1][0] != key:
+            out.append((key, []))
+        out[-1][1].append(n)
+    return out
+
+
+def _chained(parts: list, limits: Limits) -> dict[int, tuple[int, int]]:
+    """part -> (rows that still belong to the batch before it, batches of its first group so far)."""
+    begins, key, batches, rows, total = {}, None, 0, 0, 0.0
+    for part in sorted(parts, key=lambda p: p["part"]):
+        joins, at = part["first_key"] == key, 0
+        if joins:
+            for n in part["head"]:
+                grown = limits.add(rows, total, n)
+                if grown is None:
+                    break
+                (rows, total), at = grown, at + 1
+        begins[part["part"]] = (at, batches if joins else 0)
+        if joins and part["whole"]:
+            if at < part["length"]:
+                after = part["exits"][at]
+                batches, rows, total = batches + after["begun"], after["rows"], after["total"]
+        else:
+            after = part["exits"][0]
+            key, batches, rows, total = part["last_key"], after["begun"], after["rows"], after["total"]
+    return begins
+
+
+def bin_fill(df: DataFrame, group: str, order: str, size: str, most_rows: int, most_size: float, alone_over: float = float("inf")) -> DataFrame:
     """(group, order, batch): consecutive rows until a batch has enough rows or size; a row larger
-    than ``alone_over`` is a batch of its own. The fold is sequential by definition; groups are
-    independent."""
-
-    def fold(table: pd.DataFrame) -> pd.DataFrame:
-        table = table.sort_values(order, kind="stable")
-        batch, rows, total, out = 0, 0, 0, []
-        for n in table[size]:
-            if rows and (rows >= most_rows or total + n > most_size or n > alone_over):
-                batch, rows, total = batch + 1, 0, 0
-            rows, total = rows + 1, total + n
-            out.append(batch)
-            if n > alone_over:
-                batch, rows, total = batch + 1, 0, 0
-        return table[[group, order]].assign(batch=out)
-
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    narrow = df.select(group, order, size)
-    return narrow.groupBy(group).applyInPandas(fold, f"{group} {kinds[group]}, {order} {kinds[order]}, batch int")
+    than ``alone_over`` is a batch of its own. A null size counts as 0.
+
+    Rows are dealt by ranges of (group, order), so a large group lies in many tasks. A batch that
+    is open where a range begins ends within ``most_rows`` rows. So each task tells how its range
+    would end for each of those beginnings, the driver chains these few numbers per task, and
+    tasks number their batches from there.
+    """
+    limits = Limits(most_rows, most_size, alone_over)
+    work = Workspace(df.sparkSession, "bin-fill")
+    key = F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit("null"))
+    dealt = df.select(group, order, key.alias("__key"), F.coalesce(F.col(size).cast("double"), F.lit(0.0)).alias("__size"))
+    dealt = dealt.repartitionByRange(group, order).sortWithinPartitions(group, order)
+    rows = work.keep(dealt.withColumn("__at", F.monotonically_increasing_id()), "rows")
+    rows = rows.withColumn("__part", F.shiftright("__at", 33))
+
+    def ends(table: pa.Table) -> pa.Table:
+        part, segments = table.column("__part")[0].as_py(), _segments(table.sort_by("__at"))
+        first, last = segments[0], segments[-1]
+        whole, exits = len(segments) == 1, []
+        for at in range(min(limits.rows, len(last[1])) if whole else 1):
+            batches, n, total = _filled(last[1][at:], limits)
+            exits.append({"begun": batches[-1] + 1, "rows": n, "total": total})
+        row = {"part": part, "first_key": first[0], "last_key": last[0], "whole": whole, "length": len(first[1]), "head": first[1][: limits.rows], "exits": exits}
+        return pa.Table.from_pylist([row], schema=_ENDS)
+
+    ends_sql = "part long, first_key string, last_key string, whole boolean, length long, head array<double>, exits array<struct<begun: long, rows: long, total: double>>"
+    begins = _chained(rows.groupBy("__part").applyInArrow(ends, ends_sql).collect(), limits)
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+
+    def number(table: pa.Table) -> pa.Table:
+        table = table.sort_by("__at")
+        at, before = begins[table.column("__part")[0].as_py()]
+        batches: list[int] = []
+        for _, sizes in _segments(table):
+            batches += [before - 1] * min(at, len(sizes)) + [before + b for b in _filled(sizes[at:], limits)[0]]
+            at, before = 0, 0
+        return table.select([group, order]).append_column("batch", pa.array(batches, pa.int32()))
+
+    return rows.groupBy("__part").applyInArrow(number, f"{group} {kinds[group]}, {order} {kinds[order]}, batch int")
 
 
 def ranked_soft_cap(df: DataFrame, group: str, order: list[str], size: str, most_rows: int, soft: float) -> DataFrame:
