@@ -42,20 +42,22 @@ def _similar(a: dict, b: dict) -> bool:
 def fact_groups(claims: DataFrame, tag: str, id_col: str, claim: str) -> DataFrame:
     """Greedy groups of similar claims of a tag, in order of their ids: a claim joins the first
     group whose first member it resembles. Over the cap, a group keeps its first claim only and
-    is marked for review."""
+    is marked for review. Like claims always meet the same fate, so they are one row with a count
+    before the fold."""
     rows = claims.select(tag, id_col, T.match_key(F.col(claim)).alias("claim"), T.tokens(F.col(claim)).alias("words"), T.numbers(F.col(claim)).alias("numbers"))
+    rows = rows.groupBy(tag, "claim", "words", "numbers").agg(F.min(id_col).alias(id_col), F.count("*").alias("copies"))
 
     def fold(table: pd.DataFrame) -> pd.DataFrame:
-        groups: list[list] = []
+        groups: list[list] = []  # first claim, its id, number of claims
         for row in table.sort_values(id_col).itertuples(index=False):
             one = {"claim": row.claim, "words": set(row.words), "numbers": set(row.numbers)}
-            for first, members in groups:
-                if _similar(first, one):
-                    members.append(getattr(row, id_col))
+            for group in groups:
+                if _similar(group[0], one):
+                    group[2] += row.copies
                     break
             else:
-                groups.append([one, [getattr(row, id_col)]])
-        out = [(table[tag].iloc[0], m[0], len(m) if k < MOST_GROUPS else 1, k >= MOST_GROUPS) for k, (_, m) in enumerate(groups)]
+                groups.append([one, getattr(row, id_col), row.copies])
+        out = [(table[tag].iloc[0], first, n if k < MOST_GROUPS else 1, k >= MOST_GROUPS) for k, (_, first, n) in enumerate(groups)]
         return pd.DataFrame(out, columns=[tag, "representative", "claims_count", "needs_review"])
 
     kinds = {f.name: f.dataType.simpleString() for f in claims.schema.fields}
