@@ -1,0 +1,134 @@
+"""Near-duplicates by verified Jaccard similarity of word shingles.
+
+MinHash bands only propose: documents that share a band's bucket are compared by their whole
+shingle sets, so every link is a real one. A pair at the threshold shares no bucket with a
+chance of (1 - 0.8 ** 5) ** 24, about 0.0001; more similar pairs with less.
+
+Equal sets are one row from the start, and buckets with equal members are one bucket. In a
+bucket, documents that are connected already are not compared again.
+
+Defined results
+    null texts have no words; texts without words are copies of each other.
+    null ids never name a component that has another id.
+    an empty table gives an empty result; other columns are left alone.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lorekiln.llm.batches import small_batches
+from lorekiln.llm.simhash_dedup import name_components, shingles
+from lorekiln.sources.shared import Workspace
+
+SHINGLE = 5
+SIMILARITY = 0.8
+#: Bands of a signature and minima of a band.
+BANDS, BAND_ROWS = 24, 5
+#: Shingles hashed at a time.
+HASHED = 4096
+
+_RNG = np.random.default_rng(42)
+_MASK, _FACTOR = _RNG.integers(0, 1 << 64, (2, BANDS * BAND_ROWS), np.uint64)
+_FACTOR |= np.uint64(1)
+
+
+def bands(hashes: np.ndarray) -> list[int]:
+    """A signed 64-bit bucket per band; sets without shingles have none."""
+    if not len(hashes):
+        return []
+    parts = [((hashes[at : at + HASHED, None] ^ _MASK) * _FACTOR).min(0) for at in range(0, len(hashes), HASHED)]
+    least = np.min(parts, axis=0).reshape(BANDS, BAND_ROWS)
+    keys = np.array([xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(least)], np.uint64)
+    return keys.view(np.int64).tolist()
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of sorted arrays without repeats."""
+    both = np.concatenate([a, b])
+    both.sort()
+    shared = int((both[1:] == both[:-1]).sum())
+    return shared / (len(both) - shared)
+
+
+def sets(docs: DataFrame, text_col: str, shingle: int = SHINGLE) -> DataFrame:
+    """``docs`` with ``__set``: struct<hashes, bands>."""
+    small_batches(docs.sparkSession)
+
+    @F.arrow_udf("struct<hashes: binary, bands: array<bigint>>")
+    def of(texts: pa.Array) -> pa.Array:
+        found = [np.unique(shingles(t.as_py(), shingle)) for t in texts]
+        columns = [pa.array([h.tobytes() for h in found], pa.binary()), pa.array([bands(h) for h in found], pa.list_(pa.int64()))]
+        return pa.StructArray.from_arrays(columns, names=["hashes", "bands"])
+
+    return docs.withColumn("__set", of(F.col(text_col)))
+
+
+def _linked(similarity: float):
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (band, row, hashes) sorted by band, as links that connect all similar rows."""
+        last, parts = None, []  # parts: the components so far, each a list of (row, set)
+        for batch in batches:
+            src, dst = [], []
+            for band, row, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if band != last:
+                    last, parts = band, []
+                own = np.frombuffer(data, "<u8")
+                apart, joined = [], [(row, own)]
+                for part in parts:
+                    for other, seen in part:
+                        if min(len(own), len(seen)) >= similarity * max(len(own), len(seen)) and jaccard(own, seen) >= similarity:
+                            src.append(row)
+                            dst.append(other)
+                            part.extend(joined)
+                            joined = part
+                            break
+                    else:
+                        apart.append(part)
+                parts = [*apart, joined]
+            yield pa.record_batch([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], ["src", "dst"])
+
+    return link
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """A row per document: its id, digest of its set, component_id and row, a number of its
+    own, and whether it is the one of its component that stays."""
+    work = Workspace(docs.sparkSession, "jaccard")
+    rows = sets(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", shingle)
+    rows = rows.select("id", F.monotonically_increasing_id().alias("row"), F.md5("__set.hashes").alias("digest"), "__set.*")
+    rows = work.keep(rows, "rows")
+    first = F.min(F.struct(F.isnull("id").alias("no_id"), "id", "row"))
+    distinct = rows.groupBy("digest").agg(first.alias("first")).withColumn("fp", F.col("first.row"))
+    distinct = work.keep(distinct, "distinct")
+    one = rows.join(distinct.select(F.col("fp").alias("row")), "row", "left_semi")
+    members = work.keep(one.select("row", F.explode("bands").alias("band")), "members")
+    same = [F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("x"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("y")]
+    buckets = members.groupBy("band").agg(*same).filter("n > 1").groupBy("n", "x", "y").agg(F.min("band").alias("band"))
+    asked = work.keep(members.join(buckets.select("band"), "band"), "asked")
+    asked = asked.join(rows.select("row", "hashes"), "row").select("band", "row", "hashes")
+    links = asked.repartition("band").sortWithinPartitions("band").mapInArrow(_linked(similarity), "src bigint, dst bigint")
+    links = work.keep(links, "links")
+    numbered = rows.select("id", "row", "digest").join(distinct.select("digest", "fp"), "digest")
+    named = name_components(numbered, distinct.select("fp", "first"), links, work, id_col)
+    return named.join(distinct.select("fp", "digest"), "fp").select(id_col, "digest", "row", "component_id", "kept")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each component, with all their columns."""
+    work = Workspace(docs.sparkSession, "drop-near-copies")
+    found = work.keep(classes(docs, id_col, text_col, shingle, similarity), "classes")
+    kept = found.filter("kept").select(F.col(id_col).alias("__id"), F.col("digest").alias("__kept"))
+    same = F.col(id_col).eqNullSafe(F.col("__id"))
+    staying = docs.join(kept, same, "left_semi")
+    if found.groupBy(id_col).count().filter("count > 1").isEmpty():
+        return staying
+    # An id that several rows share: the kept row's set tells which of them stays.
+    marked = sets(staying, text_col, shingle).withColumn("__digest", F.md5("__set.hashes")).drop("__set")
+    return marked.join(kept, same & (F.col("__digest") == F.col("__kept")), "left_semi").dropDuplicates([id_col, "__digest"]).drop("__digest")

@@ -46,20 +46,27 @@ PAIRS = 1 << 17
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def fingerprint(text: str | None) -> int:
-    """Majority bits over the XXH64 of all shingles, repeats included."""
+def shingles(text: str | None, length: int) -> np.ndarray:
+    """XXH64 of all runs of ``length`` words, repeats included; shorter texts are one run."""
     words = (text or "").encode().translate(_LOWER).split()  # bytes: ASCII white space only
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    if len(words) < SHINGLE:
+    if len(words) < length:
         starts, ends = starts[:1], ends[-1:]
     else:
-        starts, ends = starts[: 1 - SHINGLE], ends[SHINGLE - 1 :]
+        starts, ends = starts[: len(starts) - length + 1], ends[length - 1 :]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], "<u8")
+    return np.array([digest(line[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], "<u8")
+
+
+def fingerprint(text: str | None) -> int:
+    """Majority bits over the XXH64 of all shingles, repeats included."""
+    hashes = shingles(text, SHINGLE)
+    if not len(hashes):
+        return 0
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         counts += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
@@ -194,7 +201,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     first = F.min(F.struct(F.isnull("id").alias("no_id"), "id", "row"))
     distinct = work.keep(rows.groupBy("fp").agg(first.alias("first")), "distinct")
     links = work.keep(link_fingerprints(distinct, work), "links")
-    labels = work.keep(connected_components(links, Workspace(docs.sparkSession, "simhash-components")), "labels")
+    return name_components(rows, distinct, links, work, id_col)
+
+
+def name_components(rows: DataFrame, distinct: DataFrame, links: DataFrame, work: Workspace, id_col: str) -> DataFrame:
+    """Rows (id, fp, row), distinct (fp, first) and links between fp, as rows of :func:`classes`."""
+    labels = work.keep(connected_components(links, Workspace(rows.sparkSession, "simhash-components")), "labels")
     placed = distinct.join(labels, distinct["fp"] == labels["node"], "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("component")
     )
