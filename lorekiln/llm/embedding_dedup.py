@@ -30,9 +30,9 @@ THRESHOLD = 0.95
 #: Vectors of a shard at most, shards at least; queries of a task at least and at most.
 SHARD_ROWS, LEAST_SHARDS = 100_000, 4
 LEAST_QUERIES, MOST_QUERIES, BLOCKS = 8192, 200_000, 64
-#: First width of a beam; queries that an audit compares with the whole shard, and the share
-#: of their links that has to be found.
-WIDTH, AUDITED, RECALL = 16, 64, 0.99
+#: First width of a beam; queries with few links that an audit wants, queries it looks at for
+#: them at most, and the share of a query's links that has to be found in the mean.
+WIDTH, AUDITED, MOST_AUDITED, RECALL = 16, 64, 8192, 0.99
 #: Queries searched at a time, pairs verified at a time, and how far single precision errs.
 SEARCHED, VERIFIED, ERROR = 1024, 100_000, 1e-5
 
@@ -58,14 +58,15 @@ def _build(table: pa.Table) -> pa.Table:
     return pa.table([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=["dim", "shard", "reps", "copies", "raw", "graph"])
 
 
-def _candidates(graph: Graph, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) pairs that may reach the threshold."""
-    found, rows = [], np.arange(len(queries))
+def _searched(graph: Graph, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, node) pairs that may reach the threshold, and the queries compared with the shard."""
+    found, rows, whole = [], np.arange(len(queries)), np.zeros(0, np.int64)
     least, n = THRESHOLD - ERROR, len(graph.vectors)
     while len(rows):
         if 2 * width >= n:  # no beam is narrower than the shard
             q, node = np.nonzero(queries[rows] @ graph.vectors.T >= least)
             found.append((rows[q], node))
+            whole = rows
             break
         ids, sims = graph.search(queries[rows], width)
         above = sims >= least
@@ -74,16 +75,57 @@ def _candidates(graph: Graph, queries: np.ndarray, width: int) -> tuple[np.ndarr
         found.append((rows[q], ids[q, at]))
         rows, width = rows[~wide], width * 2
     q, node = zip(*found, strict=True)
-    return np.concatenate(q), np.concatenate(node)
+    return np.concatenate(q), np.concatenate(node), whole
+
+
+def _candidates(graph: Graph, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    return _searched(graph, queries, width)[:2]
+
+
+def _audit_sample(graph: Graph, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(vectors with links, query and node of each link), without self matches. It grows until
+    enough of them have few links, or ``MOST_AUDITED`` vectors were looked at."""
+    rng = np.random.default_rng(len(queries))
+    pool = np.concatenate([rng.permutation(queries)[: MOST_AUDITED // 2], rng.permutation(graph.vectors)[: MOST_AUDITED // 2]])
+    pool = rng.permutation(pool)
+    kept, asked, nodes, few, size = [], [], [], 0, 0
+    for at in range(0, len(pool), 4 * AUDITED):
+        block = pool[at : at + 4 * AUDITED]
+        sims = block @ graph.vectors.T
+        links = (sims >= THRESHOLD) & (sims < 1 - ERROR)
+        count = links.sum(1)
+        some = np.flatnonzero(count)
+        q, node = np.nonzero(links[some])
+        kept.append(block[some])
+        asked.append(q + size)
+        nodes.append(node)
+        size += len(some)
+        few += int((2 * count[some] <= WIDTH).sum())
+        if few >= AUDITED:
+            break
+    return np.concatenate(kept), np.concatenate(asked), np.concatenate(nodes)
 
 
 def audited_width(graph: Graph, queries: np.ndarray) -> int:
-    """The first beam width at which a sample of ``queries`` finds its links in the shard."""
-    sample = queries[:: max(1, len(queries) // AUDITED)][:AUDITED]
-    sample = np.concatenate([sample, graph.vectors[:: max(1, len(graph.vectors) // AUDITED)][:AUDITED]])
-    links = int((sample @ graph.vectors.T >= THRESHOLD).sum())
-    width = WIDTH
-    while 2 * width < len(graph.vectors) and len(_candidates(graph, sample, width)[0]) < RECALL * links:
+    """The first beam width at which a sample of ``queries`` finds its links in the shard.
+
+    Recall is a mean over queries, apart for those with few links and those with many, so that
+    no hot cluster outweighs the rest; queries compared with the whole shard don't count.
+    """
+    width, n = WIDTH, len(graph.vectors)
+    if 2 * width >= n:
+        return width
+    sample, asked, nodes = _audit_sample(graph, queries)
+    counts = np.bincount(asked, minlength=len(sample))
+    few = 2 * counts <= WIDTH
+    while 2 * width < n and len(sample):
+        q, node, whole = _searched(graph, sample, width)
+        hits = np.bincount(asked[np.isin(asked * n + nodes, q * n + node)], minlength=len(sample))
+        ordinary = np.ones(len(sample), bool)
+        ordinary[whole] = False
+        groups = [g & ordinary for g in (few, ~few)]
+        if all((hits[g] / counts[g]).mean() >= RECALL for g in groups if g.any()):
+            break
         width *= 2
     return width
 

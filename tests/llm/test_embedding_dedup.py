@@ -65,6 +65,24 @@ def test_narrow_beams_are_widened_until_the_audit_passes():
     assert len(exact & set(zip(q.tolist(), node.tolist(), strict=True))) >= 0.99 * len(exact)
 
 
+def test_hot_cluster_does_not_hide_sparse_pairs(monkeypatch):
+    rng = np.random.default_rng(9)
+    centre, pairs = rng.normal(size=32), rng.normal(size=(600, 32))
+    v = np.concatenate([centre + rng.normal(size=(900, 32)) * 0.03, pairs, pairs + rng.normal(size=pairs.shape) * 0.05]).astype(np.float32)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    graph, search = Graph.load(Graph.build(v).dump()), Graph.search
+
+    def poor(self, queries, width):  # a graph in which narrow beams find no neighbour of an ordinary vector
+        ids, sims = search(self, queries, width)
+        ordinary = (sims >= embedding_dedup.THRESHOLD).sum(1) < 8
+        if width < 64:
+            sims = np.where(ordinary[:, None] & (sims < 1 - embedding_dedup.ERROR), 0, sims)
+        return ids, sims
+
+    monkeypatch.setattr(Graph, "search", poor)
+    assert embedding_dedup.audited_width(graph, v) >= 64
+
+
 def test_small_graphs():
     for n in (1, 2, 3, 70):
         v = np.random.default_rng(n).normal(size=(n, 12)).astype(np.float32)
