@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lorekiln.functions import text as T
@@ -252,12 +252,15 @@ def udf_budget_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @REGISTRY.query()
 def udf_stub_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", T.head_and_tail(F.col("text"), 4000).alias("text"))
-    requests = docs.select("doc_id", external.request_of(F.col("text"), "v1").alias("request"))
+    """Entities of whole texts: a request per window, a surface once per document where it comes first."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(T.prompt_windows(F.col("text"), 4000)).alias("window", "text"))
+    requests = docs.select("doc_id", "window", external.request_of(F.col("text"), "v1").alias("request"))
     found = external.entities(external.call(requests, "request", external.stub_model), "response").filter("size(errors) = 0")
-    return found.select("doc_id", external.cache_key(F.col("request")).alias("request_key"), F.posexplode("entities").alias("entity_index", "e")).select(
-        "doc_id", "request_key", "entity_index", "e.surface", "e.role", "e.confidence"
-    )
+    found = found.select("doc_id", "window", external.cache_key(F.col("request")).alias("request_key"), F.posexplode("entities").alias("at", "e"))
+    first = F.min(F.struct("window", "at", "request_key", "e.role", "e.confidence")).alias("first")
+    found = found.groupBy("doc_id", F.col("e.surface").alias("surface")).agg(first)
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("first.window", "first.at")) - 1
+    return found.select("doc_id", "first.request_key", place.alias("entity_index"), "surface", "first.role", "first.confidence")
 
 
 @REGISTRY.query("""
