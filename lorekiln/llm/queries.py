@@ -106,42 +106,55 @@ QUERIES = {
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
-
-
-def _secret_sql() -> str:
-    """The scan with the same patterns: match positions from gaps and matches, windows row by row."""
-    quoted = lambda p: "'" + p.replace("'", "''") + "'"
-    named = {"assign": secrets.ASSIGN, "access": secrets.ACCESS, "hex": secrets.HEX, "candidate": secrets.CANDIDATE}
-    found = " UNION ALL ".join(
-        f"SELECT doc_id, '{k}' AS kind, regexp_extract_all(t, {quoted(p)}) AS m, regexp_split_to_array(t, {quoted(p)}) AS g FROM d" for k, p in named.items()
+#: The scan once more: match positions from gaps and matches, windows row by row. Patterns and
+#: thresholds are written out, so that they don't come from the operator.
+SECRET_SQL = r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    f AS (
+        SELECT doc_id, 'assign' AS kind, regexp_extract_all(t, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)') AS m,
+            regexp_split_to_array(t, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)') AS g FROM d
+        UNION ALL SELECT doc_id, 'access', regexp_extract_all(t, 'AKIA[A-Z0-9]{16,}'), regexp_split_to_array(t, 'AKIA[A-Z0-9]{16,}') FROM d
+        UNION ALL SELECT doc_id, 'hex', regexp_extract_all(t, '[0-9a-f]{24,}'), regexp_split_to_array(t, '[0-9a-f]{24,}') FROM d
+        UNION ALL SELECT doc_id, 'hex_run', regexp_extract_all(t, '[0-9a-fA-F]{20,}'), regexp_split_to_array(t, '[0-9a-fA-F]{20,}') FROM d
+        UNION ALL SELECT doc_id, 'candidate', regexp_extract_all(t, '[A-Za-z0-9+/_=-]{20,}'), regexp_split_to_array(t, '[A-Za-z0-9+/_=-]{20,}') FROM d
+    ), i AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM f),
+    p AS (SELECT doc_id, kind, m[i] AS word, list_sum([length(x) for x in g[1:i]])::BIGINT + coalesce(list_sum([length(x) for x in m[1:i - 1]]), 0)::BIGINT AS start FROM i),
+    base AS (
+        SELECT doc_id, kind, start, start + length(word) AS stop FROM p WHERE kind IN ('access', 'hex') OR kind = 'assign'
+            AND length(regexp_extract(word, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2)) >= 6
+    ), classed AS (
+        SELECT doc_id, start, word, 'entropy_hex' AS kind, 3.05 AS bits FROM p WHERE kind = 'hex_run' AND regexp_matches(word, '[0-9]') AND regexp_matches(word, '[a-fA-F]')
+        UNION ALL
+        SELECT doc_id, start, word,
+            CASE WHEN regexp_matches(word, '[a-z]') AND regexp_matches(word, '[A-Z]') AND regexp_matches(word, '[0-9]') THEN 'entropy_mixed'
+                WHEN regexp_matches(word, '[A-Za-z]') AND regexp_matches(word, '[0-9]') THEN 'entropy_single_case' ELSE 'entropy_letters' END,
+            CASE WHEN regexp_matches(word, '[a-z]') AND regexp_matches(word, '[A-Z]') AND regexp_matches(word, '[0-9]') THEN 3.75
+                WHEN regexp_matches(word, '[A-Za-z]') AND regexp_matches(word, '[0-9]') THEN 3.65 ELSE 4.0 END
+        FROM p WHERE kind = 'candidate' AND regexp_matches(word, '[^0-9a-fA-F]')
+            AND NOT regexp_matches(word, '^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$')
+            AND NOT regexp_matches(word, '^[A-Za-z]+[-_]?[0-9]{1,4}$') AND NOT regexp_matches(word, '^/?([A-Za-z]+|[0-9]+)([/_-]+([A-Za-z]+|[0-9]+))+/?$')
+    ), w AS (SELECT *, unnest(range(0, length(word) - 20 + 1)) AS a FROM classed),
+    hot AS (SELECT * FROM w WHERE list_aggregate(string_split(substr(word, a + 1, 20), ''), 'entropy') >= bits),
+    fresh AS (SELECT *, CASE WHEN lag(a) OVER o IS NULL OR a > lag(a) OVER o + 20 THEN 1 ELSE 0 END AS f FROM hot WINDOW o AS (PARTITION BY doc_id, start, kind ORDER BY a)),
+    run AS (SELECT *, sum(f) OVER (PARTITION BY doc_id, start, kind ORDER BY a) AS r FROM fresh),
+    more AS (
+        SELECT doc_id, kind, start + min(a) AS start, start + max(a) + 20 AS stop, substr(any_value(word), min(a) + 1, max(a) + 20 - min(a)) AS own
+        FROM run GROUP BY doc_id, kind, start, r
+    ), every AS (
+        SELECT *, list_position(['assign', 'access', 'hex', 'entropy_hex', 'entropy_mixed', 'entropy_single_case', 'entropy_letters'], kind) AS rank,
+            kind || ':' || start || ':' || stop AS span
+        FROM (SELECT doc_id, kind, start, stop FROM base UNION ALL SELECT doc_id, kind, start, stop FROM more
+            WHERE (length(own) - length(regexp_replace(own, '(?i)example|placeholder|changeme|abcdefgh|12345678|x{6,}|0{6,}', '', 'g'))) * 8 < length(own))
+    ), n AS (
+        SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+            string_agg(span, ',' ORDER BY start, rank, stop) FILTER (WHERE rank <= 3) AS named, string_agg(span, ',' ORDER BY start, rank, stop) AS spans FROM every GROUP BY doc_id
     )
-    windows = " UNION ALL ".join(
-        f"""SELECT doc_id, start, '{c.kind}' AS kind, {c.window} AS w, unnest(range(0, length(word) - {c.window} + 1)) AS a, word, {c.bits} AS bits FROM cand
-            WHERE {' AND '.join(f'regexp_matches(word, {quoted(p)})' for p in c.needs)}
-            {' '.join(f"AND NOT ({' AND '.join(f'regexp_matches(word, {quoted(p)})' for p in e.needs)})" for e in secrets.CLASSES[: secrets.CLASSES.index(c)])}"""
-        for c in secrets.CLASSES
-    )
-    rank = " ".join(f"WHEN '{k}' THEN {n}" for n, k in enumerate(secrets.KINDS))
-    return f"""
-        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS ({found}), i AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM f),
-        p AS (SELECT doc_id, kind, m[i] AS word, list_sum([length(x) for x in g[1:i]])::BIGINT + coalesce(list_sum([length(x) for x in m[1:i - 1]]), 0)::BIGINT AS start FROM i),
-        base AS (SELECT doc_id, kind, start, start + length(word) AS stop FROM p
-            WHERE kind <> 'candidate' AND (kind <> 'assign' OR length(regexp_extract(word, {quoted(secrets.ASSIGN)}, 2)) >= {secrets.ASSIGN_LEAST})),
-        cand AS (SELECT doc_id, start, word FROM p WHERE kind = 'candidate' {' '.join(f'AND NOT regexp_matches(word, {quoted(q)})' for q in secrets.ALLOWED)}),
-        w AS ({windows}), hot AS (SELECT * FROM w WHERE list_aggregate(string_split(substr(word, a + 1, w), ''), 'entropy') >= bits),
-        fresh AS (SELECT *, CASE WHEN lag(a) OVER o IS NULL OR a > lag(a) OVER o + w THEN 1 ELSE 0 END AS f FROM hot WINDOW o AS (PARTITION BY doc_id, start, kind ORDER BY a)),
-        run AS (SELECT *, sum(f) OVER (PARTITION BY doc_id, start, kind ORDER BY a) AS r FROM fresh),
-        more AS (SELECT doc_id, kind, start + min(a) AS start, start + max(a) + max(w) AS stop FROM run GROUP BY doc_id, kind, start, r),
-        every AS (SELECT *, CASE kind {rank} END AS rank, kind || ':' || start || ':' || stop AS span FROM (SELECT * FROM base UNION ALL SELECT * FROM more)),
-        n AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
-            string_agg(span, ',' ORDER BY start, rank, stop) FILTER (WHERE rank < 3) AS named, string_agg(span, ',' ORDER BY start, rank, stop) AS spans FROM every GROUP BY doc_id)
-        SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-            sha256(coalesce(named, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN n ON d.doc_id = n.doc_id
-    """
-
+    SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+        sha256(coalesce(named, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN n ON d.doc_id = n.doc_id
+"""
 
 ORACLE_SQL = {
-    "op2_secret_scan": _secret_sql(),
+    "op2_secret_scan": SECRET_SQL,
     "op1_warc_archive": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
         g AS (SELECT payload, max(page_id) AS response FROM p GROUP BY payload),

@@ -14,28 +14,35 @@ from lorekiln.llm import secrets
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 
+KINDS_OF = [("entropy_hex", 3.05), ("entropy_mixed", 3.75), ("entropy_single_case", 3.65), ("entropy_letters", 4.0)]
+NOT_SECRET = [
+    "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$", "^[A-Za-z]+[-_]?[0-9]{1,4}$", "^/?([A-Za-z]+|[0-9]+)([/_-]+([A-Za-z]+|[0-9]+))+/?$"
+]
+
+
 def brute_force(text):
     text = text or ""
     named = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     named += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     named += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
     found = []
-    for m in re.finditer(secrets.CANDIDATE, text):
-        word = m[0]
-        if any(re.search(p, word) for p in secrets.ALLOWED):
-            continue
-        for cls in secrets.CLASSES:
-            if all(re.search(p, word) for p in cls.needs):
-                spans = []
-                for at in range(len(word) - cls.window + 1):
-                    counts = Counter(word[at : at + cls.window]).values()
-                    if math.log2(cls.window) - sum(n * math.log2(n) for n in counts) / cls.window >= cls.bits:
-                        if spans and spans[-1][1] >= at:
-                            spans[-1][1] = at + cls.window
-                        else:
-                            spans.append([at, at + cls.window])
-                found += [(m.start() + a, secrets.KINDS.index(cls.kind), m.start() + b) for a, b in spans]
-                break
+    runs = [(m, KINDS_OF[0]) for m in re.finditer("[0-9a-fA-F]{20,}", text) if re.search("[0-9]", m[0]) and re.search("[a-fA-F]", m[0])]
+    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+        lower, upper, digit = (re.search(p, m[0]) for p in ("[a-z]", "[A-Z]", "[0-9]"))
+        if re.search("[^0-9a-fA-F]", m[0]) and not any(re.search(p, m[0]) for p in NOT_SECRET):
+            runs.append((m, KINDS_OF[1 if lower and upper and digit else 2 if digit and (lower or upper) else 3]))
+    for m, (kind, bits) in runs:
+        spans, word = [], m[0]
+        for at in range(len(word) - 19):
+            counts = Counter(word[at : at + 20]).values()
+            if math.log2(20) - sum(n * math.log2(n) for n in counts) / 20 >= bits:
+                if spans and spans[-1][1] >= at:
+                    spans[-1][1] = at + 20
+                else:
+                    spans.append([at, at + 20])
+        for a, b in spans:
+            if (b - a - len(re.sub("(?i)example|placeholder|changeme|abcdefgh|12345678|x{6,}|0{6,}", "", word[a:b]))) * 8 < b - a:
+                found.append((m.start() + a, secrets.KINDS.index(kind), m.start() + b))
     return sorted(named), sorted(named + found)
 
 
@@ -53,6 +60,8 @@ def random_text(rng):
                 lambda: rng.choice(["password", "API_KEY", "apikey", "Token", "secret", "PASSWD"]) + rng.choice(["=", " : ", '": "', "  =  '"]) + "".join(rng.choices(string.ascii_letters + ".=-_", k=rng.randrange(1, 12))),
                 lambda: "AKIA" + "".join(rng.choices(string.ascii_uppercase + string.digits, k=rng.randrange(24))), lambda: "Привет 😀 wörld", lambda: "aB1" * (n // 3 + 7),
                 lambda: "123e4567-e89b-12d3-a456-426614174000", lambda: "token token = secret: token",
+                lambda: "".join(rng.choices(string.ascii_lowercase + string.digits, k=n)), lambda: "".join(rng.choices(string.ascii_uppercase + "234567", k=n)),
+                lambda: "".join(rng.choices(string.ascii_letters, k=n)), lambda: rng.choice(["/example/", "EXAMPLE", "000000", "key-"]) + "".join(rng.choices("0123456789abcdef", k=n)),
             ])()
         )
     return rng.choice(["", " ", "\n"]).join(parts)
@@ -82,5 +91,30 @@ def test_redact(spark):
     assert secrets.redact(df).columns == df.columns
 
 
+def test_long_texts(spark):
+    rng = random.Random(3)
+    long_key = "".join(rng.choices(secrets.ALPHABET, k=9000)) + "a" * 30 + "".join(rng.choices(secrets.ALPHABET, k=5000))
+    rows = [(1, "a/" * 500_000 + "b"), (2, "token=abcdef1 " * 100_000), (3, "key " + long_key), (4, "/" + "-".join(["word"] * 100_000)), (5, "😀" * 2000 + "token=abcdef1" + "é" * 3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.named, r.text) for r in secrets.find_secrets(df).selectExpr("doc_id", "size(named) named", "cast(size(secrets) as string) text").collect()}
+    masked = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert found[1] == (0, "0") and masked[1] == rows[0][1]
+    assert found[2] == (100_000, "100000") and masked[2] == "[SECRET] " * 100_000
+    spans = brute_force(rows[2][1])[1]
+    text, out, at = rows[2][1], "", 0
+    for begin, _, end in spans:
+        out, at = out + text[at:begin] + "[SECRET]", end
+    assert len(spans) == int(found[3][1]) > 1 and masked[3] == out + text[at:]
+    assert found[4] == (0, "0") and masked[5] == "😀" * 2000 + "[SECRET]" + "é" * 3000
+
+
+def test_clashing_columns(spark):
+    rows = [(1, "token = abcdef1", "n", "s", "c", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, named string, secrets string, masked string, more int")
+    assert [tuple(r) for r in secrets.redact(df).collect()] == [(1, "[SECRET]", "n", "s", "c", 3)]
+    kept = secrets.find_secrets(df, named="base_spans", secrets="all_spans")
+    assert kept.columns == [*df.columns, "base_spans", "all_spans"] and kept.first()["named"] == "n"
+
+
 def test_empty_table(spark):
     assert secrets.find_secrets(spark.createDataFrame([], "doc_id long, text string")).count() == 0
