@@ -1,10 +1,12 @@
 """SimHash near-duplicates by covering codes.
 
-A fingerprint has 64 bits in three blocks. Of two fingerprints that differ in at most 4 bits,
-some block differs in at most 1. In each block, the anchors are a covering code: the perfect
-Hamming code over 15 bits, of covering radius 1, with all values of the other bits. Each
-fingerprint has its nearest anchor as home and goes to every anchor within radius plus 1;
-at an anchor, all that came meet those at home there, so no link is missed.
+A fingerprint has 64 bits, cut into blocks. With three blocks, of two fingerprints that differ in
+at most 4 bits some block differs in at most 1; with two blocks, in at most 2. In each block, the
+anchors are a covering code: a perfect Hamming code, of covering radius 1, with all values of
+the bits beyond it. Each fingerprint has its nearest anchor as home and goes to every anchor
+within radius plus what its block may differ in; at an anchor, all that came meet those at home
+there, so no link is missed. Three blocks have 2 ** 17 anchors and visits to about 15 of them;
+two blocks, for very many fingerprints, 2 ** 27 and about 170.
 
 Equal fingerprints are one row from the start. Homes of a crowded anchor are dealt over
 several tasks, and what meets them streams by, so a task holds at most ``HOMES`` of them.
@@ -18,7 +20,9 @@ Defined results
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -35,14 +39,34 @@ from lorekiln.sources.shared import Workspace
 SHINGLE = 4
 SEED = 42
 DISTANCE = 4
-#: First bit and number of bits of each block; the low 15 are the Hamming code's.
-BLOCKS = ((0, 21), (21, 21), (42, 22))
-CODE_BITS = 15
 #: Homes at an anchor that one task holds.
 HOMES = 4096
 #: Pairs that are compared at a time.
 PAIRS = 1 << 17
 
+
+@dataclass(frozen=True)
+class Layout:
+    """First bit and number of bits of each block, of which the low ``code_bits`` are the
+    Hamming code's; a block differs in at most ``threshold`` bits."""
+
+    blocks: tuple[tuple[int, int], ...]
+    code_bits: int
+    threshold: int
+
+
+THREE_BLOCKS = Layout(((0, 21), (21, 21), (42, 22)), 15, 1)
+TWO_BLOCKS = Layout(((0, 32), (32, 32)), 31, 2)
+#: Distinct fingerprints from which the two blocks compare less than three: an anchor of three
+#: has n / 2 ** 17 homes, so pairs grow with the square of n, and visits don't.
+MANY = 1 << 26
+
+
+def layout_of(n: int) -> Layout:
+    """Both layouts find the same links."""
+    return THREE_BLOCKS if n < MANY else TWO_BLOCKS
+
+
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -84,112 +108,131 @@ def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "fp") -> Da
     return docs.withColumn(out, of(F.col(text_col)))
 
 
-def _decoded(words: np.ndarray) -> np.ndarray:
-    """The codeword nearest to each 15-bit word: its syndrome is the place of the wrong bit."""
-    syndrome = np.zeros_like(words)
-    for bit in range(CODE_BITS):
-        syndrome ^= np.where(words >> np.uint64(bit) & np.uint64(1), np.uint64(bit + 1), np.uint64(0))
-    wrong = np.where(syndrome > 0, np.uint64(1) << (np.maximum(syndrome, np.uint64(1)) - np.uint64(1)), np.uint64(0))
-    return words ^ wrong
+def syndromes(words: np.ndarray, code_bits: int) -> np.ndarray:
+    """Of the low bits of each word: 0 at a codeword, else the place of the wrong bit, from 1."""
+    found = np.zeros_like(words)
+    for bit in range(code_bits):
+        found ^= np.where(words >> np.uint64(bit) & np.uint64(1), np.uint64(bit + 1), np.uint64(0))
+    return found
 
 
-def anchors(fps: np.ndarray, block: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """(home of each, [(rows, anchors)] within covering radius plus 1). Anchors carry the block."""
-    first, bits = BLOCKS[block]
-    value = fps >> np.uint64(first) & np.uint64((1 << bits) - 1)
-    code, rest = value & np.uint64((1 << CODE_BITS) - 1), value & np.uint64(((1 << bits) - 1) ^ ((1 << CODE_BITS) - 1))
-    mark = np.uint64(block << 32)
-    near = _decoded(code)
-    home = near | rest | mark
-    every = np.arange(len(fps))
-    found = [(every, home)]
-    words = [near]
-    for bit in range(CODE_BITS):  # codewords at distance 2: one bit towards them, then decode
-        other = _decoded(code ^ np.uint64(1 << bit))
-        fresh = np.all([other != w for w in words], axis=0)
-        words.append(other)
-        found.append((every[fresh], (other | rest | mark)[fresh]))
-    free = [np.uint64(1 << bit) for bit in range(CODE_BITS, bits)]
-    found += [(every, home ^ flip) for flip in free]
-    exact = every[near == code]
-    found += [(exact, home[exact] ^ a ^ b) for a, b in combinations(free, 2)]
-    return home, found
-
-
-def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        fps = batch.column(0).to_numpy().view(np.uint64)
-        homes = np.concatenate([anchors(fps, block)[0] for block in range(len(BLOCKS))])
-        yield pa.record_batch([pa.array(homes.view(np.int64))], ["anchor"])
+def corrected(words: np.ndarray, wrong: np.ndarray) -> np.ndarray:
+    """The anchor nearest to each word."""
+    return words ^ np.where(wrong > 0, np.uint64(1) << (np.maximum(wrong, np.uint64(1)) - np.uint64(1)), np.uint64(0))
 
 
-def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        fps = batch.column(0).to_numpy().view(np.uint64)
-        for block in range(len(BLOCKS)):
-            home, found = anchors(fps, block)
-            rows = np.concatenate([r for r, _ in found])
-            at = np.concatenate([home, *(a for _, a in found)])
-            sent = np.concatenate([fps, fps[rows]]).view(np.int64)
-            visits = np.arange(len(at)) >= len(home)
-            yield pa.record_batch([pa.array(at.view(np.int64)), pa.array(sent), pa.array(visits)], ["anchor", "fp", "visits"])
+@cache
+def _flips(bits: int, code_bits: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """All words of at most ``most`` ones, none first, and their syndromes."""
+    words = np.array([sum(1 << b for b in some) for k in range(most + 1) for some in combinations(range(bits), k)], np.uint64)
+    return words, syndromes(words, code_bits)
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (group, fp, visits) sorted by group with homes first, as links of visitors and
-    homes. Links of a batch are reduced to a star per component; none is lost that way."""
-    last, held = None, np.zeros(0, np.uint64)
+def anchors(fps: np.ndarray, layout: Layout, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(home of each, rows and anchors within covering radius plus threshold). Such an anchor
+    is the home of what differs from the fingerprint in ``threshold`` bits at most. Anchors
+    carry the block."""
+    first, bits = layout.blocks[block]
+    value = fps >> np.uint64(first) & np.uint64((1 << bits) - 1)
+    flips, turned = _flips(bits, layout.code_bits, layout.threshold)
+    every = corrected(value[:, None] ^ flips, syndromes(value, layout.code_bits)[:, None] ^ turned)
+    home = every[:, 0].copy()
+    every.sort(axis=1)
+    fresh = np.concatenate([np.ones((len(every), 1), bool), every[:, 1:] != every[:, :-1]], axis=1)
+    mark = np.uint64(block << 40)
+    return home | mark, np.nonzero(fresh)[0], every[fresh] | mark
+
+
+def _homes(layout: Layout):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = batch.column(0).to_numpy().view(np.uint64)
+            homes = np.concatenate([anchors(fps, layout, block)[0] for block in range(len(layout.blocks))])
+            yield pa.record_batch([pa.array(homes.view(np.int64))], ["anchor"])
+
+    return run
+
+
+def _sent(layout: Layout):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = batch.column(0).to_numpy().view(np.uint64)
+            for block in range(len(layout.blocks)):
+                home, rows, near = anchors(fps, layout, block)
+                at, sent = np.concatenate([home, near]).view(np.int64), np.concatenate([fps, fps[rows]]).view(np.int64)
+                yield pa.record_batch([pa.array(at), pa.array(sent), pa.array(np.arange(len(at)) >= len(home))], ["anchor", "fp", "visits"])
+
+    return run
+
+
+def meetings(batches: Iterator[pa.RecordBatch], near: Callable[[np.ndarray, np.ndarray], np.ndarray], among_homes: bool) -> Iterator[np.ndarray]:
+    """Rows (group, visits, ...) sorted by group with homes first, the other columns integers.
+    Of each batch, yields the pairs that are ``near``: an array of (row, home) columns per pair.
+    Visitors meet the homes of their group; with ``among_homes``, homes meet each other."""
+    last, held = None, None
     for batch in batches:
         if not batch.num_rows:
             continue
-        group = np.asarray(batch.column(0).to_numpy(zero_copy_only=False))
-        fps = batch.column(1).to_numpy().view(np.uint64)
-        visits = batch.column(2).to_numpy(zero_copy_only=False)
-        if last is not None and group[0] == last and len(held):
-            group = np.concatenate([np.full(len(held), last), group])
-            fps = np.concatenate([held, fps])
-            visits = np.concatenate([np.zeros(len(held), bool), visits])
+        group = batch.column(0).to_numpy(zero_copy_only=False)
+        visits = batch.column(1).to_numpy(zero_copy_only=False)
+        data = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[2:]], axis=1)
+        known = 0
+        if last is not None and group[0] == last:
+            known = len(held)
+            group = np.concatenate([np.full(known, last), group])
+            data, visits = np.concatenate([held, data]), np.concatenate([np.zeros(known, bool), visits])
         begins = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         homes = np.add.reduceat(~visits, begins)
         index = np.searchsorted(begins, np.arange(len(group)), side="right") - 1
-        last, held = group[-1], fps[begins[-1] : begins[-1] + homes[-1]].copy()
-        visitors = np.flatnonzero(visits & (homes[index] > 0))
-        counts = homes[index[visitors]]
+        last, held = group[-1], data[begins[-1] : begins[-1] + homes[-1]].copy()
+        counts = np.where(visits, homes[index], np.arange(len(group)) - begins[index] if among_homes else 0)
+        counts[:known] = 0
+        asking = np.flatnonzero(counts)
+        counts = counts[asking]
         ends = np.cumsum(counts)
-        a, b, at = [], [], 0
-        while at < len(visitors):
+        found, at = [], 0
+        while at < len(asking):
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, side="right")))
-            rows, n = visitors[at:to], counts[at:to]
+            rows, n = asking[at:to], counts[at:to]
             within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            left = fps[np.repeat(rows, n)]
-            right = fps[np.repeat(begins[index[rows]], n) + within]
-            near = (np.bitwise_count(left ^ right) <= DISTANCE) & (left != right)
-            if near.any():
-                x, y = spanning_stars(left[near].view(np.int64), right[near].view(np.int64))
-                a.append(x)
-                b.append(y)
+            left, right = data[np.repeat(rows, n)], data[np.repeat(begins[index[rows]], n) + within]
+            some = near(left, right)
+            if some.any():
+                found.append(np.stack([left[some], right[some]], axis=1))
             at = to
-        if a:
-            x, y = spanning_stars(np.concatenate(a), np.concatenate(b))
-            yield pa.record_batch([pa.array(x), pa.array(y)], ["src", "dst"])
+        if found:
+            yield np.concatenate(found)
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of visitors and homes. Those of a batch are reduced to a star per component;
+    none is lost that way."""
+
+    def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (np.bitwise_count((a ^ b)[:, 0].view(np.uint64)) <= DISTANCE) & (a != b)[:, 0]
+
+    for pairs in meetings(batches, near, among_homes=False):
+        x, y = spanning_stars(pairs[:, 0, 0], pairs[:, 1, 0])
+        yield pa.record_batch([pa.array(x), pa.array(y)], ["src", "dst"])
 
 
 def link_fingerprints(distinct: DataFrame, work: Workspace) -> DataFrame:
     """(src, dst): links between distinct fingerprints of the column ``fp``, enough to
     connect all that are within the distance."""
     fps = distinct.select("fp")
-    crowded = fps.mapInArrow(_homes, "anchor bigint").groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > HOMES)
+    layout = layout_of(distinct.count())
+    crowded = fps.mapInArrow(_homes(layout), "anchor bigint").groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > HOMES)
     crowded = work.keep(crowded.select("anchor", F.ceil(F.col("n") / (HOMES // 2)).cast("int").alias("tasks")), "crowded")
-    sent = fps.mapInArrow(_sent, "anchor bigint, fp bigint, visits boolean")
+    sent = fps.mapInArrow(_sent(layout), "anchor bigint, fp bigint, visits boolean")
     if crowded.isEmpty():
         sent = sent.withColumn("deal", F.lit(0))
     else:
         own = F.pmod(F.xxhash64("fp"), F.col("tasks")).cast("int")
         deals = F.when(F.col("tasks").isNull(), F.array(F.lit(0))).when(F.col("visits"), F.sequence(F.lit(0), F.col("tasks") - 1))
         sent = sent.join(crowded, "anchor", "left").withColumn("deal", F.explode(deals.otherwise(F.array(own))))
-    group = F.col("anchor") * 1_000_003 + F.col("deal")
+    group = F.xxhash64("anchor", "deal")  # groups of equal hash are one: more meets, nothing is lost
     dealt = sent.withColumn("group", group).repartition("group").sortWithinPartitions("group", "visits")
-    return dealt.select("group", "fp", "visits").mapInArrow(_links, "src bigint, dst bigint")
+    return dealt.select("group", "visits", "fp").mapInArrow(_links, "src bigint, dst bigint")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -9,8 +9,8 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from test_near_copies import brute_force as near_of
 from test_secrets import brute_force as secrets_of
-from test_simhash_dedup import plain_fingerprint
 from tokenizers import Tokenizer
 
 import __spark_entry__
@@ -47,16 +47,8 @@ def test_stages(spark):
             state = {k: state[k] for k in first.values()}
         elif name == "simhash_dedup":
             ids = sorted(state)
-            fps = np.array([plain_fingerprint(state[k]) for k in ids], np.uint64)
-            near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4
-            gone = set()
-            for k in range(len(ids)):
-                if k not in gone:
-                    seen = near[k]
-                    while not (near[seen].any(0) == seen).all():
-                        seen = near[seen].any(0)
-                    gone |= {int(j) for j in np.flatnonzero(seen)} - {k}
-            state = {k: state[k] for j, k in enumerate(ids) if j not in gone}
+            component, _ = near_of([(k, state[k]) for k in ids])
+            state = {k: state[k] for k in set(component)}
         elif name == "secret_scan":
             state = {k: redacted(t) for k, t in state.items()}
         else:

@@ -49,9 +49,10 @@ def brute_force(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("homes", [4096, 3])
-def test_matches_brute_force(spark, monkeypatch, homes):
+@pytest.mark.parametrize("homes, many", [(4096, 1 << 26), (3, 1 << 26), (4096, 1), (3, 1)])
+def test_matches_brute_force(spark, monkeypatch, homes, many):
     monkeypatch.setattr(simhash_dedup, "HOMES", homes)
+    monkeypatch.setattr(simhash_dedup, "MANY", many)
     rows = rows_of()
     found = simhash_dedup.classes(spark.createDataFrame(rows, SCHEMA).repartition(4))
     found = found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0"), "component_id").collect()
@@ -66,14 +67,18 @@ def test_one_of_each_component_stays(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in brute_force(rows)})
 
 
-def test_anchors_cover():
+@pytest.mark.parametrize("layout", [simhash_dedup.THREE_BLOCKS, simhash_dedup.TWO_BLOCKS])
+def test_anchors_cover(layout):
     rng = np.random.default_rng(0)
-    fps = rng.integers(0, 1 << 64, 300, np.uint64)
-    for block, (first, bits) in enumerate(simhash_dedup.BLOCKS):
-        home, _ = simhash_dedup.anchors(fps, block)
-        for flip in [None, *range(bits)]:
-            other = fps if flip is None else fps ^ np.uint64(1 << (first + flip))
-            reached = {(int(r), int(a)) for rows, at in simhash_dedup.anchors(other, block)[1] for r, a in zip(rows, at, strict=True)}
+    fps = rng.integers(0, 1 << 64, 40, np.uint64)
+    for block, (first, bits) in enumerate(layout.blocks):
+        home, *_ = simhash_dedup.anchors(fps, layout, block)
+        near = [0, *(1 << k for k in range(bits))]
+        if layout.threshold == 2:
+            near += [(1 << a) ^ (1 << b) for a, b in rng.integers(0, bits, (150, 2)).tolist()]
+        for flip in near:
+            _, rows, at = simhash_dedup.anchors(fps ^ np.uint64(flip << first), layout, block)
+            reached = set(zip(rows.tolist(), at.tolist(), strict=True))
             assert all((k, int(home[k])) in reached for k in range(len(fps)))
 
 
