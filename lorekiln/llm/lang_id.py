@@ -9,7 +9,7 @@ Defined results
     null texts and texts without a letter are ``und``, with score 0, and rejected.
     equal sizes: the language with more labelled texts, then the first in alphabetical order.
     without labelled texts every text is ``und``; an empty table gives an empty result.
-    other columns are left alone.
+    other columns are left alone; one with the name of the result, ``out``, is replaced by it.
 """
 
 from __future__ import annotations
@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 from lorekiln.llm.batches import small_batches
 
 UNDETERMINED = "und"
-#: Of each language, texts for its dictionary and code points taken from each at most. This
-#: bounds what the driver gathers and every task receives; texts are picked by hash.
-SAMPLE_TEXTS = 275
-SAMPLE_CHARS = 400
+#: Labelled rows that a language's dictionary is made of at most: whole texts, picked by hash. This
+#: bounds what the driver gathers and every task receives.
+SAMPLE_ROWS = 60
+#: Texts of up to this many bytes are picked where a language has enough of them.
+SHORT_BYTES = 8192
 LEVEL = 9
 #: Bytes compressed at a time.
 PIECE = 1000
@@ -48,28 +49,32 @@ class Model:
     dictionaries: tuple[bytes, ...]
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Dictionaries from a bounded sample of the rows that have both columns."""
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
+    """Dictionaries from whole texts of ``sample_rows`` rows of each language at most. Copies of
+    a text are one row of the sample; they are folded before anything is gathered."""
     rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    short = F.octet_length("text") <= SHORT_BYTES
+    counts = {r["lang"]: r for r in rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(short).alias("short")).collect()}
     if not counts:
         return Model((), ())
-    share = F.lit(0.0)
-    for lang, count in counts.items():
-        share = F.when(F.col("lang") == lang, min(1.0, 1.5 * SAMPLE_TEXTS / count)).otherwise(share)
-    place = F.xxhash64("text", F.lit("sample"))
+    chance, pool = F.lit(0.0), F.lit(True)
+    for lang, n in counts.items():
+        only_short = n["short"] >= 2 * sample_rows
+        chance = F.when(F.col("lang") == lang, min(1.0, 1.5 * sample_rows / n["short" if only_short else "n"])).otherwise(chance)
+        pool = F.when(F.col("lang") == lang, short | F.lit(not only_short)).otherwise(pool)
     picked = (
-        rows.withColumn("place", place)
-        .filter(F.pmod("place", F.lit(1_000_000)) < share * 1_000_000)
-        .select("lang", "place", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+        rows.withColumn("place", F.xxhash64("text", F.lit("sample")))
+        .filter(pool & (F.pmod("place", F.lit(1_000_000)) < chance * 1_000_000))
+        .groupBy("lang", "place")
+        .agg(F.min("text").alias("text"))
         .collect()
     )
     texts: dict[str, list[str]] = {lang: [] for lang in counts}
-    for row in sorted(set(map(tuple, picked))):
-        if len(texts[row[0]]) < SAMPLE_TEXTS:
+    for row in sorted(map(tuple, picked)):
+        if len(texts[row[0]]) < sample_rows:
             texts[row[0]].append(row[2])
-    languages = tuple(sorted(texts, key=lambda lang: (-counts[lang], lang)))
+    languages = tuple(sorted(texts, key=lambda lang: (-counts[lang]["n"], lang)))
     return Model(languages, tuple(letters(" ".join(texts[lang])).encode() for lang in languages))
 
 

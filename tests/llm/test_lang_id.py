@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from lorekiln.llm import lang_id
@@ -56,3 +58,28 @@ def test_without_labels(spark):
 
 def test_ties_go_to_the_more_frequent_language():
     assert lang_id.classify("qq", lang_id.Model(("b", "a"), (b"same text", b"same text")))[0] == "b"
+
+
+def test_sizes_of_whole_texts(spark, labelled):
+    """Against a plain computation: one compression of each piece, dictionaries not prepared."""
+    model, rng = lang_id.fit(labelled), random.Random(6)
+    rows = [(k, text_of(rng.choice(list(VOCABULARY)), rng, rng.choice([1, 3, 60, 3000]))) for k in range(40)]
+    for r in lang_id.identify(spark.createDataFrame(rows, "doc_id long, text string"), model).collect():
+        data = " ".join(re.findall(r"[^\W\d_]+", r.text.lower())).encode()
+        sizes = []
+        for name, dictionary in zip(model.languages, model.dictionaries, strict=True):
+            content = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            content.precompute_compress(level=9)
+            plain = zstandard.ZstdCompressor(level=9, dict_data=content, write_content_size=False, write_checksum=False)
+            sizes.append((sum(len(plain.compress(data[at : at + 1000])) for at in range(0, len(data), 1000)), model.languages.index(name)))
+        sizes.sort()
+        assert tuple(r.found) == (model.languages[sizes[0][1]], 1 - sizes[0][0] / sizes[1][0], 1 - sizes[0][0] / sizes[1][0] < lang_id.MARGIN)
+
+
+def test_fit_takes_whole_texts_of_few_distinct_rows(spark):
+    copies = spark.range(100_000).selectExpr("'kala mula tika' text", "'aa' lang")
+    others = [(f"long {'x' * 50_000} end{k}", "bb") for k in range(5)] + [(f"{w} end", "cc") for w in ("queux", "chat")]
+    model = lang_id.fit(copies.union(spark.createDataFrame(others, "text string, lang string")), sample_rows=3)
+    held = dict(zip(model.languages, (d.decode() for d in model.dictionaries), strict=True))
+    assert held["aa"] in ("kala mula tika", "") and held["bb"].count("x" * 50_000 + " end") == 3
+    assert sorted(held["cc"].split()) == ["chat", "end", "end", "queux"]
