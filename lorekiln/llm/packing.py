@@ -2,9 +2,10 @@
 
 Overlong documents are cut into full windows first. What remains of each document goes,
 longest first, to the open window with the tightest room, which a segment tree indexed by
-remaining capacity finds. Windows that stay too empty are cut up again among themselves, so
-that padding stays low whatever the lengths are. Tasks pack their own documents; nothing is
-shuffled, and a task holds at most ``HELD_TOKENS`` of remainders.
+remaining capacity finds. What lies in windows that stay too empty is placed once more, and now
+a piece that fits nowhere is cut to fill the widest room, so that padding stays low whatever the
+lengths are. Tasks pack their own documents; nothing is shuffled. A task holds ``HELD_TOKENS`` of
+remainders and one slice of texts at most: then all of them are packed but for one window.
 
 Defined results
     null texts count as empty: such a document is its end token alone.
@@ -59,7 +60,17 @@ class Rooms:
             at += 1
             while at < self.leaves:
                 at = 2 * at if has[2 * at] else 2 * at + 1
-        room = at - self.leaves
+        return self._pop(at)
+
+    def take_widest(self, least: int) -> tuple[int, int] | None:
+        """(room, window) with the largest room, if that is ``least`` or more."""
+        at = 1
+        while at < self.leaves:
+            at = 2 * at + self.has[2 * at + 1]
+        return self._pop(at) if self.has[at] and at - self.leaves >= least else None
+
+    def _pop(self, at: int) -> tuple[int, int]:
+        has, room = self.has, at - self.leaves
         window = self.windows[room].pop()
         if not self.windows[room]:
             while at and not (at < self.leaves and (has[2 * at] or has[2 * at + 1])):
@@ -86,22 +97,24 @@ def padding(used: int, window: int = WINDOW) -> int:
     return 0 if used & (used - 1) == 0 else window - used
 
 
-def refill(pieces: list[tuple], window: int = WINDOW) -> list[list[tuple]]:
-    """Pieces (doc_id, start, ids, doc_tokens) in a row, cut at every full window."""
-    packed: list[list[tuple]] = []
-    room = 0
-    for doc, start, ids, total in pieces:
+def best_fit_cut(pieces: list[tuple], window: int = WINDOW, least: int = SLACK) -> list[list[tuple]]:
+    """Pieces (doc_id, start, ids, doc_tokens) by window, best-fit decreasing; one that fits
+    nowhere is cut to fill the widest room of ``least`` or more, and what is left is placed next."""
+    rooms, packed = Rooms(window), []
+    for doc, start, ids, total in sorted(pieces, key=lambda p: -len(p[2])):
         while len(ids):
-            if not room:
+            room, at = rooms.take(len(ids)) or rooms.take_widest(least) or (window, len(packed))
+            if at == len(packed):
                 packed.append([])
-                room = window
-            packed[-1].append((doc, start, ids[:room], total))
-            start, ids, room = start + len(ids[:room]), ids[room:], room - len(ids[:room])
+            packed[at].append((doc, start, ids[:room], total))
+            if room > len(ids):
+                rooms.add(room - len(ids), at)
+            start, ids = start + len(ids[:room]), ids[room:]
     return packed
 
 
 def pack_pieces(pieces: list[tuple], last: bool) -> tuple[list[list[tuple]], list[tuple]]:
-    """(sequences, pieces that wait for more); none wait at the last call."""
+    """(sequences, pieces of one window at most that wait for more); none wait at the last call."""
     sequences, loose = [], []
     for members in best_fit([len(p[2]) for p in pieces]):
         chosen = [pieces[k] for k in members]
@@ -109,9 +122,11 @@ def pack_pieces(pieces: list[tuple], last: bool) -> tuple[list[list[tuple]], lis
             loose += chosen
         else:
             sequences.append(chosen)
-    if last:
-        return sequences + refill(loose), []
-    return sequences, loose
+    sequences += (again := best_fit_cut(loose))
+    if last or not again:
+        return sequences, []
+    emptiest = min(range(len(sequences) - len(again), len(sequences)), key=lambda k: sum(len(p[2]) for p in sequences[k]))
+    return sequences[:emptiest] + sequences[emptiest + 1 :], sequences[emptiest]
 
 
 def _rows(sequences: list[list[tuple]], first: int) -> pa.RecordBatch:
@@ -153,7 +168,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_id
                     following += len(full)
                 if held > HELD_TOKENS:
                     packed, waiting = pack_pieces(waiting, last=False)
-                    held = sum(len(p[2]) for p in waiting)
+                    held = sum(len(p[2]) for p in waiting)  # less than a window
                     if packed:
                         yield _rows(packed, following)
                         following += len(packed)

@@ -73,3 +73,42 @@ def test_best_fit_matches_a_search_over_all_windows():
             else:
                 rooms.append(1024 - size)
         assert sorted(1024 - sum(sizes[k] for k in w) for w in packing.best_fit(sizes)) == sorted(rooms)
+
+
+def pieces_of(sizes):
+    return [(k, 0, np.full(size, k, "<u4"), size) for k, size in enumerate(sizes)]
+
+
+@pytest.mark.parametrize("size", [600, 513, 1023, 300, 1])
+def test_equal_remainders_do_not_pile_up(size):
+    held, waiting, sequences, first = 0, [], [], 0
+    for _ in range(20):
+        fresh = [(first + k, 0, np.full(size, first + k, "<u4"), size) for k in range(200)]
+        first += 200
+        packed, waiting = packing.pack_pieces(waiting + fresh, last=False)
+        held = max(held, sum(len(p[2]) for p in waiting))
+        sequences += packed
+    assert held < packing.WINDOW
+    packed, none = packing.pack_pieces(waiting, last=True)
+    sequences += packed
+    assert not none and all(sum(len(p[2]) for p in s) <= packing.WINDOW for s in sequences)
+    whole = {}
+    for doc, start, ids, _ in (p for s in sequences for p in s):
+        assert (ids == doc).all()
+        whole.setdefault(doc, []).append((start, len(ids)))
+    assert len(whole) == 4000
+    for parts in whole.values():
+        at = 0
+        for start, n in sorted(parts):
+            assert start == at
+            at += n
+        assert at == size
+    assert sum(packing.padding(sum(len(p[2]) for p in s)) for s in sequences) < 0.06 * 4000 * size + packing.WINDOW
+
+
+def test_cut_pieces_leave_one_window_open():
+    rng = random.Random(4)
+    for _ in range(50):
+        sizes = [rng.randint(1, 1024) for _ in range(rng.randint(1, 300))]
+        used = [sum(len(p[2]) for p in s) for s in packing.best_fit_cut(pieces_of(sizes))]
+        assert sum(used) == sum(sizes) and sum(u < packing.WINDOW - packing.SLACK for u in used) <= 1
