@@ -13,15 +13,16 @@ SCHEMA = "page_id long, url string, html string, digest string"
 
 def brute_force(rows, least=0):
     newest = {}
-    for page, _, html, _ in rows:
-        if page is not None:
-            newest[html or ""] = max(page, newest.get(html or "", page))
+    for k, (page, _, html, _) in enumerate(rows):
+        own = (page is not None, page or 0, k)
+        newest[html or ""] = max(own, newest.get(html or "", own))
     out = []
-    for page, _, html, _ in rows:
+    for k, (page, _, html, _) in enumerate(rows):
         data = (html or "").encode()
-        response = newest.get(html or "")
-        refers = response if len(data) >= least and response is not None and page != response else None
-        out.append((page, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "response" if refers is None else "revisit", refers))
+        named, response, at = newest[html or ""]
+        revisit = len(data) >= least and k != at
+        digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
+        out.append((page, len(data), digest, "revisit" if revisit else "response", response if revisit and named else None))
     return sorted(out, key=repr)
 
 
@@ -43,7 +44,7 @@ def test_round_trip(spark):
 
 def test_files_are_frames_behind_a_dictionary(spark):
     folder = warc.archive(spark.createDataFrame(ROWS, SCHEMA).coalesce(1))
-    files = glob.glob(folder.removeprefix("file://") + "/part-*")
+    files = glob.glob(folder.removeprefix("file://") + "/*/part-*")
     assert files
     for name in files:
         content = open(name, "rb").read()
@@ -55,6 +56,15 @@ def test_files_are_frames_behind_a_dictionary(spark):
         assert first.startswith(b"WARC/1.1\r\n") and first.endswith(b"\r\n\r\n") and first.count(b"WARC-Record-ID") == 1
 
 
+def test_long_partitions_are_several_archives(spark):
+    folder = warc.archive(spark.createDataFrame(ROWS, SCHEMA).coalesce(1), archive_bytes=3000)
+    files = glob.glob(folder.removeprefix("file://") + "/*/part-*")
+    assert len(files) > 5
+    names = [head["WARC-Record-ID"] for name in files for head, _ in warc.records_of(open(name, "rb").read())]
+    assert len(names) == len(set(names)) == len(ROWS)
+    assert found(warc.read_archives(spark, folder)) == brute_force(ROWS)
+
+
 def test_dictionary_helps():
     records = [f"<html><head><title>{k}</title></head><body class='main'>record {k * 7919}</body></html>".encode() * 2 for k in range(400)]
     trained = warc.build_dictionary(records)
@@ -64,7 +74,7 @@ def test_dictionary_helps():
 
 def test_damage_is_found(spark):
     folder = warc.archive(spark.createDataFrame([(1, "u", "abc", "d")], SCHEMA))
-    name = next(n for n in glob.glob(folder.removeprefix("file://") + "/part-*") if open(n, "rb").read())
+    name = next(n for n in glob.glob(folder.removeprefix("file://") + "/*/part-*") if open(n, "rb").read())
     content = open(name, "rb").read()
     (head, block), = warc.records_of(content)
     assert head["WARC-Type"] == "response" and block.endswith(b"abc")
