@@ -1,15 +1,18 @@
 """A content-addressed store of token ids.
 
 A rolling hash over a document's ids cuts them into chunks. The store holds each distinct
-chunk once, under its SHA-256. A document's recipe lists its chunks and their Merkle root;
-the manifest holds a root for every block of recipes. Recipes lie in ascending id order.
+chunk once, under its SHA-256. A document's recipe lists its chunks and their Merkle root.
+Recipes lie in ascending id order, in blocks. Blocks are the leaves of a Merkle tree as well:
+a block's root is over its documents (id, place, size and root), a part's over its blocks, and
+the store's over its parts. Reading works out the whole tree from the recipes and compares.
 
 Files below the folder of a store (Parquet tables)
     chunks:   digest, data (ids as unsigned 16-bit integers: low bytes, then high bytes, Zstandard)
     recipes:  doc_id, start (ids of all documents before it), n_tokens, digests, root, part, block
-    manifest: part, block, first_start, n_docs, n_tokens, root
+    manifest: level (block, part or store), part, block, first_start, n_docs, n_tokens, root
 
 Defined results
+    ids have to be below 65 536, as they are stored in 16 bits; a larger one raises ValueError.
     null texts count as empty: such a document is its end token alone.
     null ids come first; repeated rows are stored once each, their chunks once for all.
     an empty table gives an empty store; other columns are left alone.
@@ -24,8 +27,9 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from lorekiln.llm.batches import slices, small_batches
 from lorekiln.llm.word_encoder import word_encoder
@@ -38,6 +42,7 @@ LEAST, MOST = 256, 16384
 IDS = 1 << 16
 BLOCK_DOCS = 1000
 
+MANIFEST = ("level", "part", "block", "first_start", "n_docs", "n_tokens", "root")
 PARTS = "doc_id bigint, n_tokens bigint, digests array<binary>, root binary, digest binary, data binary"
 
 
@@ -108,6 +113,8 @@ def _chunked(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col
                 sizes = np.array([len(ids) for ids in each])
                 ends = np.cumsum(sizes)
                 ids = np.concatenate(each)
+                if ids.max() >= IDS:
+                    raise ValueError(f"id {ids.max()} does not fit into 16 bits")
                 # Windows that reach into the document before end before LEAST, where no cut is made.
                 places = np.flatnonzero((rolling_hash(ids) & MASK) == 0) + 1
                 bounds = np.searchsorted(places, np.concatenate([[0], ends]), side="right").tolist()
@@ -157,6 +164,31 @@ def _placed(recipes: DataFrame, work: Workspace) -> DataFrame:
     )
 
 
+@F.arrow_udf(BinaryType())
+def _root_of(lists: pa.Array) -> pa.Array:
+    return pa.array([merkle_root(digests) for digests in lists.to_pylist()], pa.binary())
+
+
+def _manifest(recipes: DataFrame) -> DataFrame:
+    """The Merkle tree over ``recipes``. A list has BLOCK_DOCS documents, the blocks of a shuffle
+    partition's share, or all parts: as many as there are shuffle partitions."""
+
+    def roots(leaf: Column) -> Column:
+        return F.transform(F.array_sort(F.collect_list(F.struct("first_start", leaf.alias("leaf")))), lambda r: r["leaf"])
+
+    def level(rows: DataFrame, name: str, keys: list[str], leaf: Column) -> DataFrame:
+        sums = [F.min("first_start").alias("first_start"), F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")]
+        found = rows.groupBy(*keys).agg(*sums, roots(leaf).alias("leaves"))
+        none = [F.lit(None).cast("int").alias(k) for k in ("part", "block") if k not in keys]
+        return found.select(F.lit(name).alias("level"), *keys, *none, "first_start", "n_docs", "n_tokens", _root_of("leaves").alias("root")).select(*MANIFEST)
+
+    leaf = F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "first_start", "n_tokens", F.hex("root")), 256)
+    documents = recipes.select("part", "block", F.col("start").alias("first_start"), F.lit(1).cast("long").alias("n_docs"), "n_tokens", F.unhex(leaf).alias("root"))
+    blocks = level(documents, "block", ["part", "block"], F.col("root"))
+    parts = level(blocks, "part", ["part"], F.col("root"))
+    return blocks.union(parts).union(level(parts, "store", [], F.col("root")).filter("n_docs is not null"))
+
+
 def write_store(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Tokenizes ``docs`` into a new store and returns its folder."""
     small_batches(docs.sparkSession)
@@ -167,14 +199,7 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str =
     recipes = work.keep(_placed(both.filter("digests is not null").select("doc_id", "n_tokens", "digests", "root"), work), "recipes")
     work.drop("chunked")
     work.drop("ranged")
-    roots = F.array_sort(F.collect_list(F.struct("start", "root")))  # of BLOCK_DOCS documents at most
-    blocks = recipes.groupBy("part", "block").agg(
-        F.min("start").alias("first_start"),
-        F.count("*").alias("n_docs"),
-        F.sum("n_tokens").alias("n_tokens"),
-        F.sha2(F.array_join(F.transform(roots, lambda r: F.hex(r["root"])), ""), 256).alias("root"),
-    )
-    work.keep(blocks, "manifest")
+    work.keep(_manifest(recipes), "manifest")
     return work.root
 
 
@@ -215,8 +240,11 @@ def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids (little-endian unsigned 32-bit) of every document, read
-    from the store and checked against digests, roots and counts."""
+    from the store. Recipes are checked against the manifest first, documents while they are
+    put together against digests, roots and counts."""
     small_batches(spark)
+    if damaged := damaged_blocks(spark, folder).limit(3).collect():
+        raise ValueError(f"recipes and manifest don't agree: {[(r['level'], r['part'], r['block']) for r in damaged]}")
     recipes, chunks = spark.read.parquet(f"{folder}/recipes"), spark.read.parquet(f"{folder}/chunks")
     wanted = recipes.select("doc_id", "start", "n_tokens", "root", F.posexplode("digests").alias("at", "digest"))
     # Both sides are plain tables, so the partition of a chunk that many documents share can be split.
@@ -228,8 +256,6 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def damaged_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """Blocks of the manifest that the recipes don't match; none in a sound store."""
-    recipes, manifest = spark.read.parquet(f"{folder}/recipes"), spark.read.parquet(f"{folder}/manifest")
-    roots = F.array_sort(F.collect_list(F.struct("start", "root")))
-    again = recipes.groupBy("part", "block").agg(F.sha2(F.array_join(F.transform(roots, lambda r: F.hex(r["root"])), ""), 256).alias("found"))
-    return manifest.join(again, ["part", "block"], "full").filter(~F.col("root").eqNullSafe(F.col("found")))
+    """Nodes of the manifest's tree that the recipes don't give again; none in a sound store."""
+    manifest, again = spark.read.parquet(f"{folder}/manifest"), _manifest(spark.read.parquet(f"{folder}/recipes"))
+    return manifest.exceptAll(again).union(again.exceptAll(manifest))

@@ -41,7 +41,12 @@ def test_round_trip_in_id_order(spark):
     stored = sum(len(token_store.unpacked(r.data)) for r in chunks.collect())
     assert stored < 0.7 * at
     assert token_store.damaged_blocks(spark, folder).count() == 0
-    assert spark.read.parquet(f"{folder}/manifest").agg(F.sum("n_docs")).first()[0] == len(rows)
+    manifest = spark.read.parquet(f"{folder}/manifest")
+    assert {r.level: r.n for r in manifest.groupBy("level").agg(F.sum("n_docs").alias("n")).collect()} == dict.fromkeys(("block", "part", "store"), len(rows))
+    tree = {level: sorted(manifest.filter(F.col("level") == level).collect(), key=lambda r: r.first_start) for level in ("block", "part", "store")}
+    for part in tree["part"]:
+        assert part.root == token_store.merkle_root([b.root for b in tree["block"] if b.part == part.part])
+    assert tree["store"][0].root == token_store.merkle_root([p.root for p in tree["part"]])
 
 
 def test_damage_is_found(spark):
@@ -53,6 +58,18 @@ def test_damage_is_found(spark):
         token_store.read_documents(spark, folder).collect()
 
 
+@pytest.mark.parametrize("change", ["doc_id <> 2", "doc_id <> 1", "doc_id is not null"])
+def test_lost_or_changed_recipes_are_found(spark, monkeypatch, change):
+    monkeypatch.setattr(token_store, "BLOCK_DOCS", 2)
+    folder = token_store.write_store(spark.createDataFrame([(k, f"text {k % 2}", "s") for k in range(7)], SCHEMA), PATH)
+    recipes = spark.read.parquet(f"{folder}/recipes")
+    kept = recipes.filter(change) if "<>" in change else recipes.withColumn("start", F.col("start") + F.when(F.col("doc_id") == 3, 1).otherwise(0))
+    rows = kept.collect()
+    spark.createDataFrame(rows, recipes.schema).write.mode("overwrite").parquet(f"{folder}/recipes")
+    with pytest.raises(ValueError, match="don't agree"):
+        token_store.read_documents(spark, folder)
+
+
 def test_cuts_and_roots():
     assert token_store.cuts(10, []) == [10]
     assert token_store.cuts(token_store.MOST * 2 + 5, []) == [token_store.MOST, 2 * token_store.MOST, 2 * token_store.MOST + 5]
