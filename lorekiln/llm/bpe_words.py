@@ -4,7 +4,9 @@ Texts are cut into blocks. A block lists its distinct pre-tokens and, for each d
 places of its pre-tokens in that list. The lists are dealt by a hash of the word, so that
 each distinct word of the corpus is encoded once; the ids travel back to the blocks and are
 put together by position. A word takes part once per block, however often it occurs, and
-what a block sends to a group of words is one compressed row, so no word is hot.
+what a block sends to a group of words is one compressed row. Beyond ``MOST_GROUPS`` groups, a
+group is split by ranges of blocks, so that the group of a word that every block has does not
+grow with the corpus; such a word is encoded once per range.
 
 Decoding looks ids up in the table of token bytes, whose size is the vocabulary's.
 
@@ -26,6 +28,7 @@ import base64
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +46,7 @@ from lorekiln.llm.word_encoder import TOGETHER
 #: Bytes of text in a block; bytes of a corpus per group of words; places in a row.
 BLOCK_BYTES = 8 << 20
 GROUP_BYTES = 16 << 20
-LEAST_GROUPS = 64
+LEAST_GROUPS, MOST_GROUPS = 64, 4096
 ROW_PLACES = 1 << 20
 
 DOCUMENTS = "block bigint, digest binary, doc_ids array<bigint>, counts array<bigint>, places binary"
@@ -80,7 +83,8 @@ def _pattern(pattern: str) -> regex.Pattern:
 
 
 def _spans(texts: pa.Array) -> pa.ListArray:
-    """Texts cut before spaces that a pre-token begins with; others stay whole."""
+    """Texts cut before single spaces and line breaks, where the patterns of this family begin a
+    pre-token; texts in which these are not single stay whole."""
     cut = pc.replace_substring(pc.replace_substring(texts, " ", "\x00 "), "\n", "\x00\n")
     together = pc.match_substring_regex(texts, TOGETHER)
     if not pc.any(together).as_py():
@@ -103,16 +107,11 @@ def block_parts(texts: pa.Array, pattern: str) -> tuple[list[bytes], np.ndarray,
     bounds = lists.offsets.to_numpy()
     spans = lists.flatten().dictionary_encode()
     codes, distinct = spans.indices.to_numpy(), spans.dictionary
-    plain = pc.match_substring_regex(distinct, "^ ?[A-Za-z]+$").to_numpy(zero_copy_only=False)
     find = _pattern(pattern).findall
-    tokens, sizes = [], np.ones(len(distinct), np.int64)
-    for k, (text, simple) in enumerate(zip(distinct.to_pylist(), plain.tolist(), strict=True)):
-        if simple:
-            tokens.append(text)
-        else:
-            found = find(text)
-            tokens += found
-            sizes[k] = len(found)
+    found = [find(text) for text in distinct.to_pylist()]
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    tokens = list(chain.from_iterable(found))
+    del found
     words = pa.array(tokens, pa.string()).dictionary_encode()
     del tokens
     which = words.indices.to_numpy().astype(np.int64)
@@ -186,22 +185,23 @@ def _blocks(docs: DataFrame, pattern: str, groups: int | None) -> DataFrame:
 
 
 @cache
-def _encoding(path: str, pattern: str):
+def _encoding(path: str):
+    """Takes what it is given as one pre-token."""
     import tiktoken
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
 
 
-def _encoded(words: DataFrame, path: str, pattern: str) -> DataFrame:
+def _encoded(words: DataFrame, path: str, ranges: int) -> DataFrame:
     """Ids of every block's words; each distinct word is encoded once."""
 
     def run(table: pa.Table) -> pa.Table:
         lists = [_unpacked_words(w) for w in table["words"].to_pylist()]
         every = pa.concat_arrays(lists).dictionary_encode()
-        encode = _encoding(path, pattern)._encode_single_piece
-        ids = pa.array([encode(w) for w in every.dictionary.to_pylist()], pa.list_(pa.uint32()))
+        encode = _encoding(path).encode_ordinary
+        ids = pa.array([encode(w.decode()) for w in every.dictionary.to_pylist()], pa.list_(pa.uint32()))
         flat, bounds = ids.flatten().to_numpy(), ids.offsets.to_numpy().astype(np.int64)
         starts, sizes = bounds[:-1], np.diff(bounds)
         codes, at, out = every.indices.to_numpy(), 0, []
@@ -215,7 +215,8 @@ def _encoded(words: DataFrame, path: str, pattern: str) -> DataFrame:
             {"block": table["block"], "digest": table["digest"], "places": table["places"], "sizes": pa.array(sizes_out, pa.binary()), "ids": pa.array(ids_out, pa.binary())}
         )
 
-    return words.groupBy("words_group").applyInArrow(run, ENCODED)
+    dealt = words.withColumn("range", F.pmod(F.xxhash64("block"), F.lit(ranges)).cast("int"))
+    return dealt.groupBy("words_group", "range").applyInArrow(run, ENCODED)
 
 
 def _assembled(documents: pa.Table, words: pa.Table) -> Iterator[tuple[int | None, np.ndarray]]:
@@ -245,7 +246,9 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    words = _blocks(rows, pattern, max(LEAST_GROUPS, -(-size // GROUP_BYTES)))
+    parts = max(LEAST_GROUPS, -(-size // GROUP_BYTES))
+    groups = min(parts, MOST_GROUPS)
+    words = _blocks(rows, pattern, groups)
 
     def assemble(documents: pa.Table, encoded: pa.Table) -> pa.Table:
         out: dict[str, list] = {"doc_id": [], "ids": [], **({"decoded": []} if round_trip else {})}
@@ -256,7 +259,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
                 out["decoded"].append(bytes_of(ids, path))
         return pa.table([pa.array(c, pa.int64() if n == "doc_id" else pa.binary()) for n, c in out.items()], names=list(out))
 
-    by_block = _blocks(rows, pattern, None).groupBy("block").cogroup(_encoded(words, path, pattern).groupBy("block"))
+    by_block = _blocks(rows, pattern, None).groupBy("block").cogroup(_encoded(words, path, -(-parts // groups)).groupBy("block"))
     return by_block.applyInArrow(assemble, "doc_id bigint, ids binary" + ", decoded binary" * round_trip)
 
 

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import base64
 import random
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 from lorekiln.llm import bpe_words
@@ -17,15 +19,23 @@ ODD = ["a  b", "  x ", "a\n\nb", "a \n b", "tab\tx  y\t", "x y z", "\x00 a", "do
 def texts():
     rng = random.Random(6)
     pieces = ["Hello", "world", ",", ".", " ", "\n", "ß", "日本", "😀", "1", "'s", "-", "\t", "\x00"]
-    return ODD + ["".join(rng.choices(pieces, k=rng.randrange(1, 20))) for _ in range(400)] + ["word " * 30_000]
+    return ODD + ["".join(rng.choices(pieces, k=rng.randrange(1, 20))) for _ in range(400)] + ["word " * 30_000, "x" * 20_000 + " 日" * 5000]
 
 
-def test_ids_are_the_library_s(spark, monkeypatch):
+def whole_texts():
+    with open(PATH, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    return tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.mark.parametrize("most_groups", [4096, 3])
+def test_ids_are_the_library_s(spark, monkeypatch, most_groups):
     monkeypatch.setattr(bpe_words, "ROW_PLACES", 100)
+    monkeypatch.setattr(bpe_words, "MOST_GROUPS", most_groups)
     rows = list(enumerate(texts()))
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit("clash")).repartition(3, "doc_id")
     found = bpe_words.encode(df, PATH, PATTERN, round_trip=True).collect()
-    library = bpe_words._encoding(PATH, PATTERN)
+    library = whole_texts()
     assert sorted(r.doc_id for r in found) == [k for k, _ in rows]
     for r in found:
         text = rows[r.doc_id][1] or ""
