@@ -27,15 +27,19 @@ from lorekiln.operators.graph import connected_components
 from lorekiln.sources.shared import Workspace
 
 THRESHOLD = 0.95
-#: Vectors of a shard at most, shards at least; queries of a task at least and at most.
-SHARD_ROWS, LEAST_SHARDS = 100_000, 4
+#: Bytes of a shard's vectors and graph at most, as they are one row that goes to every block of
+#: queries; shards at least; queries of a task at least and at most.
+SHARD_BYTES, LEAST_SHARDS = 80 << 20, 4
 LEAST_QUERIES, MOST_QUERIES, BLOCKS = 8192, 200_000, 64
 #: First width of a beam; queries with few links that an audit wants, queries it looks at for
 #: them at most, and the share of a query's links that has to be found in the mean.
 WIDTH, AUDITED, MOST_AUDITED, RECALL = 16, 64, 8192, 0.99
-#: Queries searched at a time, pairs verified at a time, and how far single precision errs.
-SEARCHED, VERIFIED, ERROR = 1024, 100_000, 1e-5
+#: Queries searched at a time, pairs verified at a time, and how far single precision errs: at
+#: least, and by component. Pairs further from the threshold than that need no second look.
+SEARCHED, VERIFIED, ERROR, DIM_ERROR = 1024, 100_000, 1e-5, 1.2e-7
 
+#: Bytes of a vector's neighbours and numbers, beside its components in double and single precision.
+ROW_BYTES = 200
 INDEX = "dim int, shard int, reps binary, copies binary, raw binary, graph binary"
 
 
@@ -58,24 +62,29 @@ def _build(table: pa.Table) -> pa.Table:
     return pa.table([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=["dim", "shard", "reps", "copies", "raw", "graph"])
 
 
-def _searched(graph: Graph, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, node) pairs that may reach the threshold, and the queries compared with the shard."""
+def _error(dim: int) -> float:
+    return max(ERROR, DIM_ERROR * dim)
+
+
+def _searched(graph: Graph, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(query, node, similarity) of pairs that may reach the threshold, and the queries compared
+    with the shard."""
     found, rows, whole = [], np.arange(len(queries)), np.zeros(0, np.int64)
-    least, n = THRESHOLD - ERROR, len(graph.vectors)
+    least, n = THRESHOLD - _error(queries.shape[1]), len(graph.vectors)
     while len(rows):
         if 2 * width >= n:  # no beam is narrower than the shard
-            q, node = np.nonzero(queries[rows] @ graph.vectors.T >= least)
-            found.append((rows[q], node))
+            product = queries[rows] @ graph.vectors.T
+            q, node = np.nonzero(product >= least)
+            found.append((rows[q], node, product[q, node]))
             whole = rows
             break
         ids, sims = graph.search(queries[rows], width)
         above = sims >= least
         wide = above.sum(1) * 2 <= width
         q, at = np.nonzero(above & wide[:, None])
-        found.append((rows[q], ids[q, at]))
+        found.append((rows[q], ids[q, at], sims[q, at]))
         rows, width = rows[~wide], width * 2
-    q, node = zip(*found, strict=True)
-    return np.concatenate(q), np.concatenate(node), whole
+    return *(np.concatenate(part) for part in zip(*found, strict=True)), whole
 
 
 def _candidates(graph: Graph, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +128,7 @@ def audited_width(graph: Graph, queries: np.ndarray) -> int:
     counts = np.bincount(asked, minlength=len(sample))
     few = 2 * counts <= WIDTH
     while 2 * width < n and len(sample):
-        q, node, whole = _searched(graph, sample, width)
+        q, node, _, whole = _searched(graph, sample, width)
         hits = np.bincount(asked[np.isin(asked * n + nodes, q * n + node)], minlength=len(sample))
         ordinary = np.ones(len(sample), bool)
         ordinary[whole] = False
@@ -147,12 +156,15 @@ def _search(index: pa.Table, queries: pa.Table) -> pa.Table:
         width = audited_width(graph, unit)
         stars = []
         for begin in range(0, len(asked), SEARCHED):
-            q, node = _candidates(graph, unit[begin : begin + SEARCHED], width)
-            q = q + begin
+            q, node, sims, _ = _searched(graph, unit[begin : begin + SEARCHED], width)
+            q, close = q + begin, np.flatnonzero(np.abs(sims - THRESHOLD) <= 2 * _error(dim))
+            real = (sims >= THRESHOLD) & (asked[q] != reps[node])
+            for at in range(0, len(close), VERIFIED):
+                some = close[at : at + VERIFIED]
+                real[some] = (_cosines(own[q[some]], raw[node[some]]) >= THRESHOLD) & (asked[q[some]] != reps[node[some]])
+            q, node = q[real], node[real]
             for at in range(0, len(q), VERIFIED):
                 some, nodes = q[at : at + VERIFIED], node[at : at + VERIFIED]
-                real = (_cosines(own[some], raw[nodes]) >= THRESHOLD) & (asked[some] != reps[nodes])
-                some, nodes = some[real], nodes[real]
                 if len(some):
                     linked, where = np.unique(some, return_inverse=True)
                     out["rep"].append(asked[linked])
@@ -174,7 +186,7 @@ def link_vectors(distinct: DataFrame, work: Workspace) -> DataFrame:
     sizes = work.keep(
         sizes.select(
             "dim",
-            F.greatest(F.lit(LEAST_SHARDS), F.ceil(F.col("n") / SHARD_ROWS)).cast("int").alias("shards"),
+            F.greatest(F.lit(LEAST_SHARDS), F.ceil(F.col("n") * (12 * F.col("dim") + ROW_BYTES) / SHARD_BYTES)).cast("int").alias("shards"),
             F.ceil(F.col("n") / queries_each).cast("int").alias("blocks"),
         ),
         "sizes",

@@ -12,12 +12,12 @@ import io
 import numpy as np
 
 #: Neighbours on the lowest and on other layers, and the beam that finds them.
-LOW_DEGREE, DEGREE, BUILD_BEAM = 24, 12, 40
+LOW_DEGREE, DEGREE, BUILD_BEAM = 16, 12, 32
 #: Nodes of a beam that are expanded in a round; beam on the upper layers.
-EXPANDED, UPPER_BEAM = 4, 8
+EXPANDED, UPPER_BEAM = 8, 8
 TOP_NODES = 64
 #: Marks of visited nodes that a search holds at a time.
-MARKS = 1 << 23
+MARKS = 1 << 21
 
 
 def _beam(vectors: np.ndarray, links: np.ndarray, queries: np.ndarray, entry: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
