@@ -1,7 +1,10 @@
 """Shards of near equal bytes by k-d partitioning of document metadata.
 
 A node is split along the dimension in which its documents spread widest, at the weighted
-median that gives each side its share of the shards, until a leaf holds one shard's bytes.
+median that gives each side its share of the shards, until a leaf holds one shard's bytes: those
+of ``target_bytes``, or an equal share. Spread is the range between two quantiles, so that a
+few outliers don't decide; dimensions are scaled by quantiles as well, and what lies beyond
+them counts as the last value there.
 Medians are found for all nodes of a level at once, by sums over ranges of key bits that
 narrow from pass to pass; the driver sees a few numbers per node. Keys end in a hash, so a
 value that very many documents share is split as evenly as any other.
@@ -21,6 +24,9 @@ from pyspark.sql import functions as F
 from lorekiln.sources.shared import Workspace
 
 OVERHEAD = 16
+#: Quantiles that a dimension's scale spans, and those that a node's spread lies between.
+SCALE, SPREAD = (0.01, 0.99), (0.1, 0.9)
+ACCURACY = 10_000
 #: Bits of a dimension's value, of the hash that breaks ties, and that one pass resolves.
 VALUE_BITS, TIE_BITS, PASS_BITS = 20, 22, 14
 #: Rows that one task numbers at most, and the least number of groups in a shard.
@@ -36,53 +42,59 @@ def document_dimensions(docs: DataFrame, text_col: str = "text") -> dict[str, Co
     return found
 
 
+def _quantiles(column: Column | str, shares: tuple[float, float]) -> Column:
+    return F.percentile_approx(column, list(shares), ACCURACY)
+
+
 def _scaled(rows: DataFrame, count: int) -> DataFrame:
-    """Raw dimensions as whole numbers of VALUE_BITS over each one's range."""
-    ends = rows.agg(*[f(f"raw{k}").alias(f"{n}{k}") for k in range(count) for n, f in (("low", F.min), ("high", F.max))]).first()
+    """Raw dimensions as whole numbers of VALUE_BITS over each one's scale."""
+    ends = rows.agg(F.lit(0), *[_quantiles(f"raw{k}", SCALE).alias(f"ends{k}") for k in range(count)]).first()
     top, values = (1 << VALUE_BITS) - 1, []
     for k in range(count):
-        low, high = ends[f"low{k}"] or 0.0, ends[f"high{k}"] or 0.0
-        scaled = (F.col(f"raw{k}") - low) * (top / (high - low)) if high > low else F.lit(0.0)
-        values.append(F.coalesce(F.floor(scaled).cast("long"), F.lit(0).cast("long")))
+        low, high = ends[f"ends{k}"] or (0.0, 0.0)
+        # A scale without width still tells what lies below, on and above it.
+        scaled = (F.col(f"raw{k}") - low) * (top / (high - low)) if high > low else F.signum(F.col(f"raw{k}") - low) + 1
+        values.append(F.greatest(F.lit(0), F.least(F.lit(top), F.coalesce(F.floor(scaled), F.lit(0)))).cast("long"))
     return rows.select("id", "row", "size", "crc", F.array(*values).alias("values"), F.pmod(F.xxhash64("id", "row"), F.lit(1 << TIE_BITS)).alias("tie"))
 
 
-def _by_node(values: dict[int, int | float], shards: int) -> Column:
-    """The value for the node that a row is in; nodes go by their first shard."""
-    return F.get(F.array(*[F.lit(values.get(k)) for k in range(shards)]), F.col("node"))
+NODES = "node int, half int, dim int, want double, base bigint, bound bigint"
 
 
-def _split(rows: DataFrame, nodes: dict[int, int], count: int, shards: int) -> Column:
-    """The node of each row after all ``nodes`` (first shard: number of shards) are split."""
-    placed = rows.filter(F.col("node").isin(list(nodes)))
-    spread = placed.groupBy("node").agg(
-        F.sum("size").alias("size"), *[(F.max(F.col("values")[k]) - F.min(F.col("values")[k])).alias(f"w{k}") for k in range(count)]
-    )
-    seen = {r["node"]: r for r in spread.collect()}  # a row per node
-    widest, want = {}, {}
-    for first, n in nodes.items():
-        row = seen.get(first)
-        widths = [row[f"w{k}"] if row else 0 for k in range(count)]
-        widest[first] = widths.index(max(widths))
-        want[first] = (row["size"] if row else 0) * (n // 2) / n
-    base, bound = dict.fromkeys(nodes, 0), dict.fromkeys(nodes, 0)
-    key = F.get(F.col("values"), _by_node(widest, shards)) * (1 << TIE_BITS) + F.col("tie")
+def _split(rows: DataFrame, nodes: dict[int, int], count: int) -> DataFrame:
+    """``rows`` with the node of each after all ``nodes`` (first shard: number of shards) are
+    split. What is known of the nodes is a small table, a row per node, that meets the rows."""
+    spark = rows.sparkSession
+
+    def table() -> DataFrame:
+        return F.broadcast(spark.createDataFrame([(node, *known[node]) for node in known], NODES))  # fewer rows than shards
+
+    spread = rows.groupBy("node").agg(F.sum("size").alias("size"), *[_quantiles(F.col("values")[k], SPREAD).alias(f"q{k}") for k in range(count)])
+    known = {}
+    for row in spread.collect():  # a row per node
+        if row["node"] in nodes:
+            n = nodes[row["node"]]
+            widths = [row[f"q{k}"][1] - row[f"q{k}"][0] for k in range(count)]
+            known[row["node"]] = [n // 2, widths.index(max(widths)), row["size"] * (n // 2) / n, 0, 0]
+    if not known:
+        return rows
+    key = F.get("values", "dim") * (1 << TIE_BITS) + F.col("tie")
     bits = VALUE_BITS + TIE_BITS
     while bits > 0:
         bits -= PASS_BITS
-        cells = placed.select("node", "size", F.shiftright(key, bits).alias("cell"))
-        cells = cells.filter(F.shiftright("cell", PASS_BITS) == _by_node(bound, shards))
-        sums = cells.groupBy("node", "cell").agg(F.sum("size").alias("size"))
+        cells = rows.join(table(), "node").withColumn("cell", F.shiftright(key, bits)).filter(F.shiftright("cell", PASS_BITS) == F.col("bound"))
+        sums = cells.groupBy("node", "cell", "want", "base").agg(F.sum("size").alias("size"))
         upto = F.sum("size").over(Window.partitionBy("node").orderBy("cell"))  # 2 ** PASS_BITS cells at most
-        sums = sums.withColumn("upto", upto + _by_node(base, shards)).filter(F.col("upto") >= _by_node(want, shards))
+        sums = sums.withColumn("upto", upto + F.col("base")).filter("upto >= want")
         for r in sums.groupBy("node").agg(F.min(F.struct("cell", "size", "upto")).alias("at")).collect():
             cell, size, upto = r["at"]
-            bound[r["node"]], base[r["node"]] = cell, upto - size
+            _, _, want, _, _ = known[r["node"]]
             if not bits:  # the last cell goes to the side that comes closer
-                bound[r["node"]] += int(upto - want[r["node"]] <= want[r["node"]] - upto + size)
-    half = {first: n // 2 for first, n in nodes.items()}
-    right = key >= _by_node(bound, shards)
-    return F.when(F.col("node").isin(list(nodes)) & right, F.col("node") + _by_node(half, shards)).otherwise(F.col("node"))
+                cell += int(upto - want <= want - upto + size)
+            known[r["node"]][3:] = [upto - size, cell]
+    placed = rows.join(table(), "node", "left")
+    right = F.coalesce(key >= F.col("bound"), F.lit(False))
+    return placed.withColumn("node", F.when(right, F.col("node") + F.col("half")).otherwise(F.col("node"))).select(rows.columns)
 
 
 def _numbered(rows: DataFrame, most: int) -> DataFrame:
@@ -103,8 +115,10 @@ def shard(
     dimensions: dict[str, Column] | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
+    target_bytes: int | None = None,
 ) -> DataFrame:
-    """A row per document: its id, size, text_crc32, shard and slot."""
+    """A row per document: its id, size, text_crc32, shard and slot. With ``target_bytes``, there
+    are as many shards as that size asks for, whatever ``shards`` says."""
     work = Workspace(docs.sparkSession, "kd-sharding")
     chosen = list((dimensions or document_dimensions(docs, text_col)).values())
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -116,11 +130,13 @@ def shard(
         *[d.cast("double").alias(f"raw{k}") for k, d in enumerate(chosen)],
     )
     rows = work.keep(_scaled(work.keep(raw, "raw"), len(chosen)), "rows")
+    if target_bytes:
+        shards = max(1, -(-(rows.agg(F.sum("size")).first()[0] or 0) // target_bytes))
     placed = rows.withColumn("node", F.lit(0))
     nodes = {0: shards} if not rows.isEmpty() else {}
     level = 0
     while nodes := {first: n for first, n in nodes.items() if n > 1}:
-        placed = work.keep(placed.withColumn("node", _split(placed, nodes, len(chosen), shards)), f"level-{level}")
+        placed = work.keep(_split(placed, nodes, len(chosen)), f"level-{level}")
         if level:
             work.drop(f"level-{level - 1}")
         nodes = {first: n // 2 for first, n in nodes.items()} | {first + n // 2: n - n // 2 for first, n in nodes.items()}
