@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorekiln.llm.batches import slices, small_batches
+from lorekiln.llm.batches import release_memory, slices, small_batches
 from lorekiln.llm.word_encoder import word_encoder
 
 WINDOW = 1024
@@ -175,6 +175,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_id
         packed, _ = pack_pieces(waiting, last=True)
         if packed:
             yield _rows(packed, following)
+        del packed, waiting
+        release_memory()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, PIECES)

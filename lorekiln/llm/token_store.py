@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from lorekiln.llm.batches import slices, small_batches
+from lorekiln.llm.batches import release_memory, slices, small_batches
 from lorekiln.llm.word_encoder import word_encoder
 from lorekiln.sources.shared import Workspace
 
@@ -141,6 +141,7 @@ def _chunked(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col
                     ],
                     ["doc_id", "n_tokens", "digests", "root", "digest", "data"],
                 )
+        release_memory()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, PARTS)
