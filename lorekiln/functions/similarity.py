@@ -39,23 +39,25 @@ def ratio(left: Column, right: Column, least: float) -> Column:
     return F.when(able, _ratio(F.when(able, left), F.when(able, right))).otherwise(0.0)
 
 
+def fuzzy_match(quote: str, body: str) -> bool:
+    """Whether a window of the quote's length is close enough to it. Quotes longer than
+    ``FUZZY_LONGEST`` or than the text match nothing."""
+    size = len(quote)
+    if not quote or size > min(FUZZY_LONGEST, len(body)):
+        return False
+    bound = SequenceMatcher(None, "", quote)  # its quick ratio is no smaller than the ratio either way
+    for at in range(0, len(body) - size + 1, max(1, size // 12)):
+        window = body[at : at + size]
+        bound.set_seq1(window)
+        if bound.quick_ratio() >= FUZZY_RATIO and SequenceMatcher(None, quote, window).ratio() >= FUZZY_RATIO:
+            return True
+    return False
+
+
 @F.arrow_udf(types.BooleanType())
 def _fuzzy(quotes: pa.Array, texts: pa.Array) -> pa.Array:
-    out = []
-    for quote, body in zip(quotes.to_pylist(), texts.to_pylist(), strict=True):
-        if quote is None or body is None:
-            out.append(None)
-            continue
-        size = min(len(quote), FUZZY_LONGEST)
-        matcher = SequenceMatcher(None, "", quote[:size])
-        hit = False
-        for at in range(0, max(1, len(body) - size + 1), max(1, size // 12)):
-            matcher.set_seq1(body[at : at + size])
-            if matcher.quick_ratio() >= FUZZY_RATIO and matcher.ratio() >= FUZZY_RATIO:
-                hit = True
-                break
-        out.append(hit)
-    return pa.array(out, pa.bool_())
+    pairs = zip(quotes.to_pylist(), texts.to_pylist(), strict=True)
+    return pa.array([None if quote is None or body is None else fuzzy_match(quote, body) for quote, body in pairs], pa.bool_())
 
 
 def quote_status(quote: Column, body: Column, fuzzy: bool = False) -> Column:

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lorekiln.sources.shared import Workspace
 
-#: Rounds grow with the logarithm of the longest chain; this many are never needed.
-MOST_ROUNDS = 60
-
 
 def _state(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(F.count("*"), F.sum(F.xxhash64("big", "small").cast("decimal(20,0)"))).first()
@@ -24,12 +23,13 @@ def _smallest(rows: DataFrame, work: Workspace, table: str) -> DataFrame:
 
 def connected_components(edges: DataFrame, work: Workspace, left: str = "src", right: str = "dst") -> DataFrame:
     """(node, component) for every node of ``edges``: component is the smallest node that
-    links reach. Null ends and loops link nothing; loops keep their node."""
+    links reach. Null ends and loops link nothing; loops keep their node. Rounds go on until the
+    edges stay as they are; their number grows with the logarithm of the longest chain."""
     pairs = edges.filter(F.col(left).isNotNull() & F.col(right).isNotNull())
     pairs = work.keep(pairs.select(F.greatest(left, right).alias("big"), F.least(left, right).alias("small")).distinct(), "links")
     now = pairs.filter("big <> small")
     state, table = None, None
-    for turn in range(MOST_ROUNDS):
+    for turn in count():
         # Large star: larger neighbours of a node move to the least of its neighbourhood.
         both = now.select(F.col("big").alias("node"), F.col("small").alias("other")).union(
             now.select(F.col("small").alias("node"), F.col("big").alias("other"))

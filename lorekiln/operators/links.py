@@ -31,22 +31,45 @@ def _leads(words: Column, n: int) -> Column:
 def quote_hits(quotes: DataFrame, quote_id: str, quote: str, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(quote id, document id) where the quote's words stand in the document in a row.
 
-    A quote's leading words are an equi-join key, so no text meets all quotes; the whole
-    quote is then looked up. Quotes shorter than that join by all their words.
+    A quote's leading words are an equi-join key, so no text meets all quotes. Only ids and
+    hashes of word runs are exploded and shuffled; texts are fetched for the pairs that remain,
+    and the whole quote is looked up there. Quotes shorter than that join by all their words.
     """
     asked = quotes.select(F.col(quote_id).alias("__quote_id"), T.match_key(F.col(quote)).alias("__quote")).filter("__quote <> ''")
     words = F.split("__quote", " ")
     asked = asked.withColumn("__n", F.least(F.size(words), F.lit(LEAD)))
-    asked = asked.withColumn("__lead", F.array_join(F.slice(words, F.lit(1), F.col("__n")), " "))
+    lead = F.array_join(F.slice(words, F.lit(1), F.col("__n")), " ")
     lengths = sorted(r[0] for r in asked.select("__n").distinct().collect())  # LEAD values at most
-    body = docs.select(F.col(doc_id).alias("__doc_id"), T.match_key(F.col(text)).alias("__body")).withColumn("__words", F.split("__body", " "))
+    body = docs.select(F.col(doc_id).alias("__doc_id"), T.match_key(F.col(text)).alias("__body"))
     leads = [_leads(F.col("__words"), n) for n in lengths] or [F.array().cast("array<string>")]
-    places = body.select("__doc_id", "__body", F.explode(F.array_distinct(F.concat(*leads))).alias("__lead"))
+    places = _exploded(body.select("__doc_id", F.split("__body", " ").alias("__words")), "__doc_id", F.concat(*leads))
+    pairs = places.join(asked.select("__quote_id", F.xxhash64(lead).alias("__run")), "__run").select("__quote_id", "__doc_id").distinct()
     padded = F.contains(F.concat(F.lit(" "), F.col("__body"), F.lit(" ")), F.concat(F.lit(" "), F.col("__quote"), F.lit(" ")))
-    hits = places.join(asked, "__lead").filter(padded)
+    hits = pairs.join(asked.select("__quote_id", "__quote"), "__quote_id").join(body, "__doc_id").filter(padded)
     return hits.select(F.col("__quote_id").alias(quote_id), F.col("__doc_id").alias(doc_id)).distinct()
 
 
+def _exploded(rows: DataFrame, key: str, runs: Column) -> DataFrame:
+    """(key, __run): hashes of the distinct runs of words of each row."""
+    return rows.select(key, F.explode(F.array_distinct(F.transform(runs, lambda r: F.xxhash64(r)))).alias("__run"))
+
+
+def shared_runs(quotes: DataFrame, quote_id: str, quote: str, docs: DataFrame, doc_id: str, text: str, n: int = 3) -> DataFrame:
+    """(quote id, document id) of those that have ``n`` words in a row in common, anywhere in
+    the quote. A quote that stands in a document with changes is left out only if there is a
+    change in every ``n`` words; quotes of fewer words have to stand there whole."""
+
+    def runs(df: DataFrame, key: str, column: str) -> DataFrame:
+        words = df.select(F.col(key), F.split(T.match_key(F.col(column)), " ").alias("__words")).filter("__words[0] <> ''")
+        return words.withColumn("__size", F.size("__words"))
+
+    asked, body = runs(quotes, quote_id, quote), runs(docs, doc_id, text)
+    short = sorted(r[0] for r in asked.filter(F.col("__size") < n).select("__size").distinct().collect())  # fewer than n
+    own = F.when(F.col("__size") < n, F.array(F.array_join("__words", " "))).otherwise(_leads(F.col("__words"), n))
+    places = _exploded(body, doc_id, F.concat(*[_leads(F.col("__words"), k) for k in (*short, n)]))
+    return _exploded(asked, quote_id, own).join(places, "__run").select(quote_id, doc_id).distinct()
+
+
 def alias_hits(aliases: DataFrame, alias_id: str, alias: str, docs: DataFrame, doc_id: str, text: str, least: int = 3) -> DataFrame:
     """(alias id, document id) where a one-word alias is a word of the document."""
     asked = aliases.select(alias_id, F.lower(F.col(alias)).alias("word")).filter(F.length("word") >= least)

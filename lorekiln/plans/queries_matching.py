@@ -241,10 +241,9 @@ def sim_quote_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @REGISTRY.query()
 def sim_quote_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quotes against documents that share their first words but for the last ones."""
+    """Quotes against documents that share three words in a row with them, wherever in the quote."""
     quotes = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("quote"))
-    near = quotes.withColumn("lead", F.array_join(F.slice(F.split(T.match_key(F.col("quote")), " "), 1, 6), " "))
     docs = table(spark, sf_dir, "documents")
-    hits = links.quote_hits(near, "item_id", "lead", docs, "doc_id", "text")
+    hits = links.shared_runs(quotes, "item_id", "quote", docs, "doc_id", "text")
     found = hits.join(quotes, "item_id").join(docs.select("doc_id", "text"), "doc_id")
     return found.select("item_id", "doc_id", S.quote_status(F.col("quote"), F.col("text"), fuzzy=True).alias("quote_status"))

@@ -1,11 +1,12 @@
 """Intermediate tables in the folder that driver and executors share.
 
-``spark.checkpoint.dir`` names that folder on a cluster. Only where it is unset, as in
-local tests, a temporary folder of this machine stands in for it.
+``spark.checkpoint.dir`` names that folder on a cluster. Only where it is unset and Spark runs in
+one process, as in local tests, a temporary folder of this machine stands in for it.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,6 +20,8 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_ROOT:
         _LOCAL_ROOT[app] = "file://" + tempfile.mkdtemp(prefix="lorekiln-")
