@@ -165,10 +165,17 @@ def _sent(layout: Layout):
     return run
 
 
-def meetings(batches: Iterator[pa.RecordBatch], near: Callable[[np.ndarray, np.ndarray], np.ndarray], among_homes: bool) -> Iterator[np.ndarray]:
+def meetings(
+    batches: Iterator[pa.RecordBatch],
+    near: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    among_homes: bool,
+    crowd: int | None = None,
+    forest: Callable[[np.ndarray], np.ndarray] | None = None,
+) -> Iterator[np.ndarray]:
     """Rows (group, visits, ...) sorted by group with homes first, the other columns integers.
     Of each batch, yields the pairs that are ``near``: an array of (row, home) columns per pair.
-    Visitors meet the homes of their group; with ``among_homes``, homes meet each other."""
+    Visitors meet the homes of their group; with ``among_homes``, homes meet each other. Of a
+    group with more than ``crowd`` rows, ``forest`` gives pairs that connect what is near."""
     last, held = None, None
     for batch in batches:
         if not batch.num_rows:
@@ -187,10 +194,16 @@ def meetings(batches: Iterator[pa.RecordBatch], near: Callable[[np.ndarray, np.n
         last, held = group[-1], data[begins[-1] : begins[-1] + homes[-1]].copy()
         counts = np.where(visits, homes[index], np.arange(len(group)) - begins[index] if among_homes else 0)
         counts[:known] = 0
+        found = []
+        if crowd:
+            ends = np.append(begins[1:], len(group))
+            for k in np.flatnonzero(ends - begins > crowd).tolist():
+                counts[begins[k] : ends[k]] = 0
+                found.append(forest(data[begins[k] : ends[k]]))
         asking = np.flatnonzero(counts)
         counts = counts[asking]
         ends = np.cumsum(counts)
-        found, at = [], 0
+        at = 0
         while at < len(asking):
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, side="right")))
             rows, n = asking[at:to], counts[at:to]
