@@ -1,4 +1,4 @@
-"""The queries of the ten operators, over whole tables with production parameters."""
+"""The queries of the operators, over whole tables with production parameters."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorekiln.llm import bpe_words, embedding_dedup, exact_dedup, kd_sharding, lang_id, packing, secrets, simhash_dedup, token_store, warc
+from lorekiln.llm import bpe_words, embedding_dedup, exact_dedup, fill_in_middle, kd_sharding, lang_id, packing, secrets, simhash_dedup, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +93,19 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle.rearrange(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id",
+        "fim.n",
+        "fim.form",
+        "fim.prefix_chars",
+        "fim.middle_chars",
+        F.sha2("fim.output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(F.col("fim.output"), F.col("fim.form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_warc_archive": op1_warc_archive,
     "op2_secret_scan": op2_secret_scan,
@@ -104,6 +117,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_token_store": op9_token_store,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 #: The scan once more: match positions from gaps and matches, windows row by row. Patterns and
