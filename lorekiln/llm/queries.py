@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorekiln.llm import bpe_words, embedding_dedup, exact_dedup, fill_in_middle, kd_sharding, lang_id, packing, secrets, simhash_dedup, token_store, warc
+from lorekiln.llm import bpe_words, embedding_dedup, exact_dedup, fill_in_middle, kd_sharding, lang_id, licenses, packing, secrets, simhash_dedup, token_store, turn_repair, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +97,72 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults, by a hash of conversation and turn: one in twenty turns each is
+    dropped, loses its text, loses its full stops, comes twice, is a user's."""
+    conv, turn = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn"))
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    fault = F.crc32(F.concat(conv, F.lit(":"), turn)) % 20
+    copies = F.array_repeat(F.lit(0), F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1))
+    return turns.select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(role).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"), F.explode(copies).alias("copy"),
+    ).drop("copy")
+
+
+def _hashed_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines in order of their conversation to a hash of each conversation's lines."""
+    conv, digest, schema = None, None, None
+    for batch in batches:
+        schema = pa.schema([batch.schema.field("conv"), ("repaired_sha256", pa.string())])
+        out = []
+        for key, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if digest is None or key != conv:
+                if digest is not None:
+                    out.append({"conv": conv, "repaired_sha256": digest.hexdigest()})
+                conv, digest = key, hashlib.sha256(line.encode())
+            else:
+                digest.update(b"\n" + line.encode())
+        yield pa.RecordBatch.from_pylist(out, schema)
+    if digest is not None:
+        yield pa.RecordBatch.from_pylist([{"conv": conv, "repaired_sha256": digest.hexdigest()}], schema)
+
+
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hash over a conversation's lines can only be worked out from first to last: sorted lines
+    pass through a task one by one, and nothing of them is held."""
+    turns = _table(spark, sf_dir, "conversations")
+    repaired = turn_repair.repair(damaged(turns))
+    lines = repaired.turns.select("conv", F.concat_ws(":", "role", "text").alias("line"), "at", "k")
+    kind = turns.schema["conv_id"].dataType.simpleString()
+    lines = lines.repartition("conv").sortWithinPartitions("conv", "at", "k").select("conv", "line")
+    digests = lines.mapInArrow(_hashed_lines, f"conv {kind}, repaired_sha256 string")
+    every = turns.select("conv_id").distinct()
+    report, digests = repaired.report.withColumnRenamed("conv", "__conv"), digests.withColumnRenamed("conv", "__hashed")
+    found = every.join(report, F.col("conv_id").eqNullSafe(F.col("__conv")), "left").join(digests, F.col("conv_id").eqNullSafe(F.col("__hashed")), "left")
+    counts = ["blank", "duplicate", "truncated", "illegal", "cost"]
+    gaps = F.when(F.col("audit").isNull(), 0).otherwise(F.col("gaps")).alias("gaps")
+    return found.select(
+        "conv_id", gaps, *[F.coalesce(c, F.lit(0)).alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    joined = lambda labels: F.array_join(F.array_sort(F.coalesce(labels, F.array().cast("array<string>"))), ",")
+    named = F.col("named")
+    sums = found.spans.groupBy("row").agg(
+        F.count(F.when(named, 1)).alias("n_base"), F.min(F.when(named, F.col("start"))).cast("long").alias("first_word"),
+        F.max(F.when(named, F.col("start"))).cast("long").alias("last_word"), F.collect_set(F.when(named, F.col("label"))).alias("base"),
+        F.collect_set("label").alias("every"), F.max("score").alias("score"),
+    )
+    return found.documents.join(sums, "row", "left").select(
+        F.col("id").alias("doc_id"), "n_words", F.coalesce("n_base", F.lit(0)).alias("n_base"), "first_word", "last_word",
+        joined(F.col("base")).alias("base_labels"), joined(F.col("every")).alias("labels"), F.coalesce("score", F.lit(0.0)).alias("score"),
+    )
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fill_in_middle.rearrange(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(
@@ -117,6 +187,8 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_token_store": op9_token_store,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op11_turn_repair": op11_turn_repair,
+    "op12_license_scan": op12_license_scan,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
