@@ -18,6 +18,7 @@ Defined results
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
@@ -100,7 +101,9 @@ def _grams(spark: SparkSession, templates: tuple[Template, ...]) -> tuple[DataFr
     for number, t in enumerate(templates):
         words = t.words
         rows += [(number, at, " ".join(words[at : at + t.k])) for at in range(len(words) - t.k + 1)]
-    grams = spark.createDataFrame(rows, "template int, t int, template_gram string")
+    kind = "array<struct<template: int, t: int, template_gram: string>>"
+    listed = F.from_json(F.lit(json.dumps([dict(zip(("template", "t", "template_gram"), row, strict=True)) for row in rows])), kind)
+    grams = spark.range(1).select(F.inline(listed))
     return grams.withColumn("hash", F.xxhash64("template_gram")), len(rows)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorekiln.llm import bpe_words, embedding_dedup, exact_dedup, fill_in_middle, kd_sharding, lang_id, licenses, packing, secrets, simhash_dedup, token_store, turn_repair, warc
+from lorekiln.llm.sql import LICENSE_SQL, REPAIR_SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -241,6 +242,8 @@ SECRET_SQL = r"""
 
 ORACLE_SQL = {
     "op2_secret_scan": SECRET_SQL,
+    "op11_turn_repair": REPAIR_SQL,
+    "op12_license_scan": LICENSE_SQL,
     "op1_warc_archive": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
         g AS (SELECT payload, max(page_id) AS response FROM p GROUP BY payload),
