@@ -60,12 +60,37 @@ def _fuzzy(quotes: pa.Array, texts: pa.Array) -> pa.Array:
     return pa.array([None if quote is None or body is None else fuzzy_match(quote, body) for quote, body in pairs], pa.bool_())
 
 
+@F.arrow_udf(types.BooleanType())
+def fuzzy_near(quotes: pa.Array, parts: pa.Array, first: pa.Array, starts: pa.Array) -> pa.Array:
+    """As :func:`fuzzy_match`, of the windows that begin at ``starts`` places from ``first`` on, where
+    ``parts`` begin; null where there is no part."""
+    rows = zip(quotes.to_pylist(), parts.to_pylist(), first.to_pylist(), starts.to_pylist(), strict=True)
+    return pa.array([None if part is None else _fuzzy_windows(quote, part, begin, count) for quote, part, begin, count in rows], pa.bool_())
+
+
+def _fuzzy_windows(quote: str, part: str, first: int, count: int) -> bool:
+    size = len(quote)
+    step = max(1, size // 12)
+    bound = SequenceMatcher(None, "", quote)
+    for at in range(-(-first // step) * step - first, min(count, len(part) - size + 1), step):
+        window = part[at : at + size]
+        bound.set_seq1(window)
+        if bound.quick_ratio() >= FUZZY_RATIO and SequenceMatcher(None, quote, window).ratio() >= FUZZY_RATIO:
+            return True
+    return False
+
+
+def has_ellipsis(quote: Column) -> Column:
+    return F.contains(quote, F.lit("...")) | F.contains(quote, F.lit("…"))
+
+
 def quote_status(quote: Column, body: Column, fuzzy: bool = False) -> Column:
-    """exact, normalized_exact, fuzzy or not_found."""
-    key, place = T.match_key(quote), T.match_key(body)
-    empty = F.trim(T.text_or_empty(quote)) == ""
-    known = F.when(empty, "not_found").when(F.contains(body, quote), "exact")
-    known = known.when(F.contains(F.concat(F.lit(" "), place, F.lit(" ")), F.concat(F.lit(" "), key, F.lit(" "))), "normalized_exact")
+    """exact, normalized_exact, fuzzy or not_found. Punctuation counts; a quote with an ellipsis
+    is stitched together and never found."""
+    raw = F.regexp_replace(T.text_or_empty(quote), f"^{T.SPACES}|{T.SPACES}$", "")
+    key, place = T.quote_key(quote), T.quote_key(body)
+    none = (raw == "") | has_ellipsis(raw)
+    known = F.when(none, "not_found").when(F.contains(T.text_or_empty(body), raw), "exact").when((key != "") & F.contains(place, key), "normalized_exact")
     if not fuzzy:
         return known.otherwise("not_found")
     rest = known.isNull() & (F.length(key) >= FUZZY_LEAST)

@@ -54,22 +54,6 @@ def _exploded(rows: DataFrame, key: str, runs: Column) -> DataFrame:
     return rows.select(key, F.explode(F.array_distinct(F.transform(runs, lambda r: F.xxhash64(r)))).alias("__run"))
 
 
-def shared_runs(quotes: DataFrame, quote_id: str, quote: str, docs: DataFrame, doc_id: str, text: str, n: int = 3) -> DataFrame:
-    """(quote id, document id) of those that have ``n`` words in a row in common, anywhere in
-    the quote. A quote that stands in a document with changes is left out only if there is a
-    change in every ``n`` words; quotes of fewer words have to stand there whole."""
-
-    def runs(df: DataFrame, key: str, column: str) -> DataFrame:
-        words = df.select(F.col(key), F.split(T.match_key(F.col(column)), " ").alias("__words")).filter("__words[0] <> ''")
-        return words.withColumn("__size", F.size("__words"))
-
-    asked, body = runs(quotes, quote_id, quote), runs(docs, doc_id, text)
-    short = sorted(r[0] for r in asked.filter(F.col("__size") < n).select("__size").distinct().collect())  # fewer than n
-    own = F.when(F.col("__size") < n, F.array(F.array_join("__words", " "))).otherwise(_leads(F.col("__words"), n))
-    places = _exploded(body, doc_id, F.concat(*[_leads(F.col("__words"), k) for k in (*short, n)]))
-    return _exploded(asked, quote_id, own).join(places, "__run").select(quote_id, doc_id).distinct()
-
-
 def alias_hits(aliases: DataFrame, alias_id: str, alias: str, docs: DataFrame, doc_id: str, text: str, least: int = 3) -> DataFrame:
     """(alias id, document id) where a one-word alias is a word of the document."""
     asked = aliases.select(alias_id, F.lower(F.col(alias)).alias("word")).filter(F.length("word") >= least)

@@ -225,25 +225,3 @@ def jn_match_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     hits = [("quote", _quote_hits(spark, sf_dir)), ("alias", _alias_hits(spark, sf_dir)), ("short_document", docs.filter(F.length("text") < 500)), ("mention_only", docs)]
     return links.match_fallback(hits, ["doc_id"])
-
-
-@REGISTRY.query(f"""
-    WITH {SQL_HITS}, x AS (SELECT DISTINCT item_id, doc_id FROM hits)
-    SELECT x.item_id, x.doc_id, CASE WHEN contains(d.text, b.text) THEN 'exact' ELSE 'normalized_exact' END AS quote_status
-    FROM x JOIN benchmark b USING (item_id) JOIN documents d USING (doc_id)
-""")
-def sim_quote_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = _quote_hits(spark, sf_dir)
-    quotes = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("quote"))
-    found = hits.join(quotes, "item_id").join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    return found.select("item_id", "doc_id", S.quote_status(F.col("quote"), F.col("text")).alias("quote_status"))
-
-
-@REGISTRY.query()
-def sim_quote_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quotes against documents that share three words in a row with them, wherever in the quote."""
-    quotes = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("quote"))
-    docs = table(spark, sf_dir, "documents")
-    hits = links.shared_runs(quotes, "item_id", "quote", docs, "doc_id", "text")
-    found = hits.join(quotes, "item_id").join(docs.select("doc_id", "text"), "doc_id")
-    return found.select("item_id", "doc_id", S.quote_status(F.col("quote"), F.col("text"), fuzzy=True).alias("quote_status"))

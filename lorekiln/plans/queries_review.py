@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from lorekiln.functions import similarity as S
 from lorekiln.functions import text as T
-from lorekiln.operators import blocks, clusters, evidence, external, links, pairs, planning, windows
-from lorekiln.plans.queries_matching import CAPS, SQL_HITS, SQL_PAIRS
+from lorekiln.operators import blocks, clusters, evidence, external, links, pairs, planning, quotes, windows
+from lorekiln.plans.queries_matching import CAPS, SQL_PAIRS
+from lorekiln.plans.queries_quotes import SQL_FOUND
 from lorekiln.plans.queries_text import SQL_LINES
 from lorekiln.plans.registry import Registry, table
 
@@ -93,16 +94,14 @@ def sim_title_close(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @REGISTRY.query(f"""
-    WITH {SQL_HITS}, x AS (SELECT b.item_id, CASE WHEN contains(d.text, b.text) THEN 'exact' WHEN h.doc_id IS NOT NULL THEN 'normalized_exact' ELSE 'not_found' END AS s
-        FROM benchmark b LEFT JOIN (SELECT DISTINCT * FROM hits) h ON h.item_id = b.item_id LEFT JOIN documents d ON d.doc_id = h.doc_id)
+    WITH {SQL_FOUND}, x AS (SELECT q.item_id, coalesce(quote_status, 'not_found') AS s FROM q LEFT JOIN found USING (item_id))
     SELECT item_id, CASE WHEN bool_and(s = 'not_found') THEN 'not_found' WHEN bool_and(s = 'exact') THEN 'exact' WHEN bool_and(s <> 'not_found') THEN 'normalized_exact' ELSE 'partly_found' END AS status FROM x GROUP BY item_id
 """)
 def sim_quote_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One status per quote, from the distinct statuses of its hits."""
-    quotes = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("quote"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    hits = links.quote_hits(quotes, "item_id", "quote", docs, "doc_id", "text").join(docs, "doc_id")
-    checked = quotes.join(hits, "item_id", "left").select("item_id", S.quote_status(F.col("quote"), F.col("text")).alias("s"))
+    asked = table(spark, sf_dir, "benchmark")
+    hits = quotes.find_quotes(asked, "item_id", "text", table(spark, sf_dir, "documents"), "doc_id", "text", fuzzy=False)
+    checked = asked.select("item_id").join(hits, "item_id", "left").select("item_id", F.coalesce("quote_status", F.lit("not_found")).alias("s"))
     return checked.groupBy("item_id").agg(S.rolled_up(F.collect_set("s")).alias("status"))
 
 

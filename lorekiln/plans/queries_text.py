@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lorekiln.functions import text as T
 from lorekiln.operators import blocks, clusters
 from lorekiln.plans.registry import Registry, table
+from lorekiln.plans.sql_text import sql_basic
 
 REGISTRY = Registry()
 QUERIES, ORACLE_SQL = REGISTRY.queries, REGISTRY.sql
@@ -124,16 +125,9 @@ def val_parsed_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.integrity_violations(docs, labels, "doc_id", "doc_id", "n_chars", "text")
 
 
-SQL_BASIC = (
-    r"regexp_replace(regexp_replace(trim(regexp_replace(regexp_replace(translate(lower(translate(coalesce({0}, ''), "
-    + repr(T.DASHES)
-    + r", '------')), 'ё', 'е'), ' *([-/]) *', '\1', 'g'), '[ \t\n\r\f\x0B]+', ' ', 'g')), '[.,:;]+$', '', 'g'), '^[\"''(\[]+|[\"'')\]]+$', '', 'g')"
-).replace('\\"', '"')
-
-
 @REGISTRY.query(f"""
-    SELECT 'document' AS kind, doc_id AS id, sha256({SQL_BASIC.format('text')}) AS key_sha256 FROM documents
-    UNION ALL SELECT 'part', p_partkey, sha256({SQL_BASIC.format("p_name || ' / ' || p_brand || '.'")}) FROM part
+    SELECT 'document' AS kind, doc_id AS id, sha256({sql_basic('text')}) AS key_sha256 FROM documents
+    UNION ALL SELECT 'part', p_partkey, sha256({sql_basic("p_name || ' / ' || p_brand || '.'")}) FROM part
 """)
 def txt_normalize_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.col("text").alias("t"))
@@ -146,21 +140,20 @@ def txt_normalize_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.sha2(T.normalize_label(F.col("html")), 256).alias("key_sha256"))
 
 
-SQL_VARIANT = r"""
-    CASE WHEN regexp_matches(x, '(?i)^(q10|b12|il-?[0-9]+|fgfr[0-9]+|covid-?[0-9]+|vitamin .*)$')
-            OR trim(regexp_replace(x, '[ #_-]*[0-9]+$', '')) = '' THEN x
-        ELSE trim(regexp_replace(x, '[ #_-]*[0-9]+$', '')) END
-"""
+SQL_PROTECTED = " OR ".join(f"regexp_matches({{0}}, '(?i){p}')" for p in T.PROTECTED_NUMBERS)
+SQL_STEM = r"regexp_replace(regexp_extract({0}, '^(.+?)\s+(\d+[a-zа-я]?)$', 1), '^[ -]+|[ -]+$', '', 'g')"
 
 
 @REGISTRY.query(f"""
-    SELECT name_key, count(*) AS rows_count FROM (SELECT {SQL_VARIANT} AS name_key FROM
-        (SELECT s_name AS x FROM supplier UNION ALL SELECT c_name FROM customer UNION ALL SELECT p_brand FROM part)) GROUP BY name_key
+    WITH n AS (SELECT replace(x, '#', ' ') AS x FROM (SELECT s_name AS x FROM supplier UNION ALL SELECT c_name FROM customer UNION ALL SELECT p_brand FROM part)),
+    k AS (SELECT {sql_basic('x')} AS k FROM n), v AS (SELECT k, {SQL_STEM.format('k')} AS stem FROM k)
+    SELECT CASE WHEN stem = '' OR {SQL_PROTECTED.format('k')} OR {SQL_PROTECTED.format('stem')} THEN k ELSE stem END AS name_key, count(*) AS rows_count FROM v GROUP BY ALL
 """)
 def txt_strip_numeric_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("x"))
     names = names.union(table(spark, sf_dir, "customer").select("c_name")).union(table(spark, sf_dir, "part").select("p_brand"))
-    return names.groupBy(T.strip_numeric_variant(F.col("x")).alias("name_key")).agg(F.count("*").alias("rows_count"))
+    keys = names.select(T.normalize_basic(F.replace("x", F.lit("#"), F.lit(" "))).alias("k"))
+    return keys.groupBy(T.strip_numeric_variant(F.col("k")).alias("name_key")).agg(F.count("*").alias("rows_count"))
 
 
 @REGISTRY.query(r"""

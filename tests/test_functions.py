@@ -15,7 +15,7 @@ def one(spark, value, expression):
     ("value", "wanted"),
     [
         ("  Vitamin   D3. ", "vitamin d3"),
-        ("«A» – B", "«a»-b"),
+        ("«A» – B", "a»-b"),
         ("Anti - HIV / AIDS;", "anti-hiv/aids"),
         ('"quoted"', "quoted"),
         ("Ёлка", "елка"),
@@ -33,7 +33,7 @@ def test_normalize_label_resolves_entities_and_forms(spark):
     assert one(spark, None, T.normalize_label) == ""
 
 
-@pytest.mark.parametrize(("value", "wanted"), [("Supplier#000000012", "Supplier"), ("Q10", "Q10"), ("IL-6", "IL-6"), ("12", "12"), ("vitamin B 12", "vitamin B 12")])
+@pytest.mark.parametrize(("value", "wanted"), [("supplier 000000012", "supplier"), ("coenzyme q10", "coenzyme q10"), ("il-6", "il-6"), ("12", "12"), ("vitamin b 12", "vitamin b")])
 def test_strip_numeric_variant(spark, value, wanted):
     assert one(spark, value, T.strip_numeric_variant) == wanted
 
@@ -64,7 +64,9 @@ def test_quote_status(spark):
     text = "The quick brown fox jumps over the lazy dog near the old river bank today."
     rows = [
         ("quick brown fox", "exact"),
-        ("QUICK, brown   fox", "normalized_exact"),
+        ("QUICK  brown   fox", "normalized_exact"),
+        ("quick, brown fox", "not_found"),
+        ("quick ... fox", "not_found"),
         ("the quick brown fox jumps over the lasy dog near the old river", "fuzzy"),
         ("nothing of that kind stands here, and it is long enough", "not_found"),
         ("", "not_found"),

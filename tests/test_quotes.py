@@ -1,27 +1,107 @@
-"""Quotes with changes, and the reach of a fuzzy match."""
+"""Quotes with changes anywhere, against a look at every window of every document."""
 
 from __future__ import annotations
 
+import random
+import re
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pytest
 
 from lorekiln.functions.similarity import fuzzy_match
-from lorekiln.operators import links
+from lorekiln.operators import links, quotes
 from lorekiln.sources import shared
 
 WORDS = [f"word{k:02d}" for k in range(40)]
 QUOTE = " ".join(WORDS)
 
 
-@pytest.mark.parametrize("changed", [0, 3, 20, 39])
-def test_a_changed_word_anywhere_is_found(spark, changed):
-    words = list(WORDS)
-    words[changed] = "other9"
-    body = "before that " + " ".join(words) + " and after"
-    quotes = spark.createDataFrame([(1, QUOTE), (2, "two words"), (3, "nothing of it here")], "item_id long, quote string")
-    docs = spark.createDataFrame([(10, body), (11, "some two words more"), (12, None), (13, "")], "doc_id long, text string")
-    assert sorted(map(tuple, links.shared_runs(quotes, "item_id", "quote", docs, "doc_id", "text").collect())) == [(1, 10), (2, 11)]
+def key(text):
+    return re.sub(r"[ \t\n\r\f\x0b]+", " ", text.replace("\xa0", " ").replace("ё", "е").replace("Ё", "Е").lower()).strip()
+
+
+def close(quote, window):
+    counts = Counter(quote)
+    counts.subtract(window)  # characters without a partner are not matched, whatever the order
+    return sum(abs(c) for c in counts.values()) <= 0.13 * len(quote) and SequenceMatcher(None, quote, window).ratio() >= 0.94
+
+
+def brute_force(quote, text):
+    """The rule by definition: every twelfth of a window is tried, no bound, no candidates."""
+    raw, text = (quote or "").strip(" \t\n\r\f\x0b"), text or ""
+    if not raw or "..." in raw or "…" in raw:
+        return None
+    if raw in text:
+        return "exact"
+    q, body = key(raw), key(text)
+    if q in body:
+        return "normalized_exact"
+    n = len(q)
+    near = 32 <= n <= min(500, len(body)) and any(close(q, body[at : at + n]) for at in range(0, len(body) - n + 1, max(1, n // 12)))
+    return "fuzzy" if near else None
+
+
+def changed(rng, quote, every, kinds="sid"):
+    out = []
+    for k, c in enumerate(quote):
+        if k % every == every // 2:
+            kind = rng.choice(kinds)
+            out.append({"s": rng.choice("xyz"), "i": c + rng.choice("xyz"), "d": ""}[kind])
+        else:
+            out.append(c)
+    return "".join(out)
+
+
+def corpus():
+    rng = random.Random(4)
+    letters = "abcdefghij"
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 12))) for _ in range(300)] + ["the", "of", "and"] * 40
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    asked = [prose(rng.choice([6, 9, 14, 25, 45])) for _ in range(9)] + ["ab", "Abc!", "the of", "a", " ", None, "one ... two", "stitched… here", "Q" * 600, "aaaa " * 20, prose(90)]
+    docs = [None, "", prose(50), "aaaa " * 200, "Q" * 700, "x the  OF y"]
+    for quote in asked:
+        for every in (17, 20, 24, 31, 60):
+            body = changed(rng, quote or "", every, rng.choice(["s", "sid", "id"]))
+            docs.append(f"{prose(rng.randint(0, 60))}, {body} {prose(rng.randint(0, 30))}")
+        docs.append(f"{prose(rng.randint(0, 700))} {quote}. {prose(3)}")
+        docs.append(f"{prose(20)} {(quote or '').upper()}  {prose(3)}")
+    return asked, docs
+
+
+@pytest.mark.parametrize("fuzzy", [True, False])
+def test_all_pairs_are_brute_force(spark, fuzzy):
+    asked, bodies = corpus()
+    q = spark.createDataFrame(list(enumerate(asked)), "item_id long, quote string")
+    d = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string")
+    got = {(r[0], r[1]): r[2] for r in quotes.find_quotes(q, "item_id", "quote", d, "doc_id", "text", fuzzy).collect()}
+    wanted = {(i, j): s for i, quote in enumerate(asked) for j, body in enumerate(bodies) if (s := brute_force(quote, body)) and (fuzzy or s != "fuzzy")}
+    assert got == wanted
+    assert {"exact", "normalized_exact"} | ({"fuzzy"} if fuzzy else set()) == set(wanted.values())
+
+
+@pytest.mark.parametrize("shape", [(20, 8), (18, 9), (14, 12), (10, 8)])
+def test_a_letter_changed_in_every_third_word_is_found(spark, shape):
+    """No three words of quote and text are the same in a row."""
+    rng = random.Random(shape[0])
+    rows, bodies = [], []
+    for k in range(12):
+        words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(shape[1])) for _ in range(shape[0])]
+        rows.append((k, " ".join(words)))
+        for at in range(1, len(words), 3):
+            words[at] = words[at][:3] + "Z" + words[at][4:]
+        bodies.append((k, " ".join(words) + " and behind"))
+    q, d = spark.createDataFrame(rows, "item_id long, quote string"), spark.createDataFrame(bodies, "doc_id long, text string")
+    found = quotes.find_quotes(q, "item_id", "quote", d, "doc_id", "text")
+    assert sorted(map(tuple, found.collect())) == [(k, k, "fuzzy") for k in range(12) if brute_force(rows[k][1], bodies[k][1])]
+    assert found.count() == 12
+
+
+def test_no_quotes_and_no_documents(spark):
+    q, d = spark.createDataFrame([(1, "a quote")], "item_id long, quote string"), spark.createDataFrame([(1, "a quote")], "doc_id long, text string")
+    for one, other in ((q.limit(0), d), (q, d.limit(0)), (q.limit(0), d.limit(0))):
+        found = quotes.find_quotes(one, "item_id", "quote", other, "doc_id", "text")
+        assert (found.columns, found.count()) == (["item_id", "doc_id", "quote_status"], 0)
 
 
 def plain(quote, body):
