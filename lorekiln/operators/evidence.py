@@ -1,19 +1,12 @@
-"""Evidence: layers, duplicates, fact groups, coverage."""
+"""Evidence: layers, duplicates, coverage."""
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lorekiln.functions import text as T
 
-#: Fixed thresholds: similar claims by ratio or by shared words; fact groups of a tag.
-CLAIM_RATIO, CLAIM_JACCARD, MOST_GROUPS = 0.88, 0.82, 200
-
-
 def evidence_layer(rejected: dict[str, Column], review: dict[str, Column]) -> tuple[Column, Column]:
     """(layer, reasons): rejected if any rule of the first kind holds, review by the second."""
     no, maybe = T.flags(**rejected), T.flags(**review)
@@ -26,44 +19,6 @@ def first_of_equals(df: DataFrame, keys: list[str], id_col: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(id_col).alias(id_col), F.count("*").alias("duplicates"))
 
 
-def _similar(a: dict, b: dict) -> bool:
-    if a["claim"] == b["claim"]:
-        return True
-    if a["numbers"] != b["numbers"]:
-        return False
-    union = len(a["words"] | b["words"])
-    if union and len(a["words"] & b["words"]) / union >= CLAIM_JACCARD:
-        return True
-    x, y = a["claim"], b["claim"]
-    bound = 2 * min(len(x), len(y)) / max(1, len(x) + len(y))
-    return bound >= CLAIM_RATIO and SequenceMatcher(None, x, y).ratio() >= CLAIM_RATIO
-
-
-def fact_groups(claims: DataFrame, tag: str, id_col: str, claim: str) -> DataFrame:
-    """Greedy groups of similar claims of a tag, in order of their ids: a claim joins the first
-    group whose first member it resembles. Over the cap, a group keeps its first claim only and
-    is marked for review. Like claims always meet the same fate, so they are one row with a count
-    before the fold."""
-    rows = claims.select(tag, id_col, T.match_key(F.col(claim)).alias("claim"), T.tokens(F.col(claim)).alias("words"), T.numbers(F.col(claim)).alias("numbers"))
-    rows = rows.groupBy(tag, "claim", "words", "numbers").agg(F.min(id_col).alias(id_col), F.count("*").alias("copies"))
-
-    def fold(table: pd.DataFrame) -> pd.DataFrame:
-        groups: list[list] = []  # first claim, its id, number of claims
-        for row in table.sort_values(id_col).itertuples(index=False):
-            one = {"claim": row.claim, "words": set(row.words), "numbers": set(row.numbers)}
-            for group in groups:
-                if _similar(group[0], one):
-                    group[2] += row.copies
-                    break
-            else:
-                groups.append([one, getattr(row, id_col), row.copies])
-        out = [(table[tag].iloc[0], first, n if k < MOST_GROUPS else 1, k >= MOST_GROUPS) for k, (_, first, n) in enumerate(groups)]
-        return pd.DataFrame(out, columns=[tag, "representative", "claims_count", "needs_review"])
-
-    kinds = {f.name: f.dataType.simpleString() for f in claims.schema.fields}
-    return rows.groupBy(tag).applyInPandas(fold, f"{tag} {kinds[tag]}, representative {kinds[id_col]}, claims_count int, needs_review boolean")
-
-
 def coverage(tags: DataFrame, tag: str, parts: dict[str, DataFrame]) -> DataFrame:
     """Every tag with its number of rows in each part; tags without any have zeros."""
     out = tags.select(tag).distinct()

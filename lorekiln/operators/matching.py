@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lorekiln.functions import text as T
+from lorekiln.operators.quotes import small
 from lorekiln.sources.shared import Workspace
 
 #: Order of methods and qualities, and lengths.
@@ -91,15 +92,26 @@ def find_match_hits(
     candidate the tag is, and at last the first block.
     """
     work = Workspace(links.sparkSession, "match-hits")
-    rows = blocks.filter(F.trim(F.regexp_replace(T.text_or_empty(F.col("text")), T.SPACES, " ")) != "").filter("doc is not null and block_index is not null")
+    links = links.select("tag", "doc", F.col("mention").cast("string").alias("mention"), "sole").filter("tag is not null and doc is not null")
+    links = work.keep(links, "links")
+    pairs = links.groupBy("tag", "doc").agg(_listed(F.col("mention")).alias("mentions"), F.bool_or("sole").alias("sole"))
+    rows = blocks.filter(F.trim(F.regexp_replace(T.text_or_empty(F.col("text")), T.SPACES, " ")) != "").filter("block_index is not null")
+    rows = rows.join(small(links.select("doc").distinct()), "doc", "left_semi")
     places = work.keep(rows.select("doc", "block_index", T.normalize_label(F.col("text")).alias("norm")), "blocks")
     words = places.select("doc", "block_index", F.explode(F.array_distinct(_words(F.col("norm")))).alias("word"))
-    counted = work.keep(words.groupBy("word").agg(F.count("*").alias("times")), "words")
-    pairs = links.filter("tag is not null and doc is not null").groupBy("tag", "doc").agg(_listed(F.col("mention")).alias("mentions"), F.bool_or("sole").alias("sole"))
+    asked = quotes.filter("mention is not null").select(F.col("mention").cast("string").alias("mention"), T.normalize_label(F.trim(F.col("quote"))).alias("wanted"))
+    asked = work.keep(asked.filter(F.length("wanted") >= LEAST_QUOTE).distinct(), "quotes")
+    terms = work.keep(terms, "all-terms")
+    # Only words of phrases are counted, and only the rarest of each phrase leave their blocks.
+    used = terms.select(F.explode(_whole_words(F.col("term"))).alias("word")).union(asked.select(F.explode(_inner_words(F.col("wanted"))).alias("word")))
+    counted = work.keep(words.join(small(work.keep(used.distinct(), "used")), "word").groupBy("word").agg(F.count("*").alias("times")), "counted")
+    keyed = work.keep(_with_rarest(terms, _whole_words(F.col("term")), counted), "terms")
+    asked = work.keep(_with_rarest(asked, _inner_words(F.col("wanted")), counted), "asked")
+    rarest = keyed.select(F.col("rarest").alias("word")).union(asked.select("rarest")).filter("word is not null").distinct()
+    words = work.keep(words.join(small(work.keep(rarest, "rarest")), "word"), "words")
     filled = places.groupBy("doc").agg(F.array_sort(F.collect_list("block_index")).alias("filled"))
     pairs = work.keep(pairs.join(filled, "doc"), "pairs")
-    keyed = work.keep(_with_rarest(terms, _whole_words(F.col("term")), counted), "terms")
-    quoted = work.keep(_quote_blocks(links, quotes, places, words, counted), "quote-hits")
+    quoted = work.keep(_quote_blocks(links, asked, places, words), "quote-hits")
     named = work.keep(_alias_blocks(pairs, keyed, places, words), "alias-hits")
     found = quoted.select("tag", "doc").union(named.select("tag", "doc")).distinct()
     others = work.keep(pairs.join(found, ["tag", "doc"], "left_anti").join(docs.select("doc", "name", "length"), "doc", "left"), "others")
@@ -117,11 +129,8 @@ def _hit(rows: DataFrame, method: str, quality: Column, indexes: Column, mention
     )
 
 
-def _quote_blocks(links: DataFrame, quotes: DataFrame, places: DataFrame, words: DataFrame, counted: DataFrame) -> DataFrame:
-    norm = T.normalize_label(F.trim(F.col("quote")))
-    own = quotes.filter("mention is not null").select("mention", norm.alias("wanted")).filter(F.length("wanted") >= LEAST_QUOTE)
-    own = _with_rarest(own.distinct(), _inner_words(F.col("wanted")), counted)
-    asked = links.select("tag", "doc", F.col("mention").cast("string").alias("mention")).distinct().join(own.withColumn("mention", F.col("mention").cast("string")), "mention")
+def _quote_blocks(links: DataFrame, quotes: DataFrame, places: DataFrame, words: DataFrame) -> DataFrame:
+    asked = links.select("tag", "doc", "mention").distinct().join(quotes, "mention")
     by_word = asked.filter("rarest is not null").withColumnRenamed("rarest", "word").join(words, ["doc", "word"]).drop("word")
     met = by_word.join(places, ["doc", "block_index"])
     wordless = asked.filter("rarest is null").drop("rarest").join(places, "doc")  # quotes of one or two words

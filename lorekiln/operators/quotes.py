@@ -13,7 +13,7 @@ Only bands with enough keys are looked at, in the part of the text that they poi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lorekiln.functions import similarity as S
@@ -24,8 +24,10 @@ from lorekiln.sources.shared import Workspace
 RUN = 6
 #: Characters of a piece of text whose runs are made at a time.
 PIECE = 4096
-#: Keys that have to stay besides those that a fuzzy match may lose.
-SPARE = 8
+#: Keys besides those that a fuzzy match may lose: so many have to stay.
+SPARE = 6
+#: Keys of a quote at most, as bits of whole numbers.
+MOST_KEYS, BITS = S.FUZZY_LONGEST * 6 // 100 * (2 * RUN - 1) + SPARE, 60
 #: So many runs of quotes are broadcast (some 30 MB); more are shuffled.
 BROADCAST_RUNS = 1_000_000
 
@@ -49,7 +51,7 @@ def _runs(keys: DataFrame, key_col: str, text_col: str, sizes: list[int]) -> Dat
     return found.select(key_col, (F.col("__piece") * PIECE + F.col("__at")).alias("at"), "which", F.xxhash64("run").alias("run"))
 
 
-def _small(df: DataFrame) -> DataFrame:
+def small(df: DataFrame) -> DataFrame:
     """Broadcast behind a look at its size."""
     return F.broadcast(df) if df.count() <= BROADCAST_RUNS else df
 
@@ -67,28 +69,31 @@ def find_quotes(quotes: DataFrame, quote_id: str, quote: str, docs: DataFrame, d
     body = docs.select(F.col(doc_id).alias("__doc_id"), T.quote_key(F.col(text)).alias("__body"))
     places = _runs(body, "__doc_id", "__body", sizes)
     keys = work.keep(_keys(asked, places, sizes), "keys")
-    hits = places.join(_small(keys), "run")
+    hits = places.join(small(keys), "run")
     bands = F.floor((F.col("at") - F.col("place")) / (2 * F.col("loose") + 1)).cast("int")
-    hits = hits.select("__quote_id", "__doc_id", "place", "needed", F.explode(F.array(bands, bands - 1)).alias("band"))
-    found = hits.groupBy("__quote_id", "__doc_id", "band").agg(F.size(F.collect_set("place")).alias("kept"), F.max("needed").alias("needed"))
+    hits = hits.select("__quote_id", "__doc_id", "bit", "needed", F.explode(F.array(bands, bands - 1)).alias("band"))
+    # Keys as bits: small buffers, so that most is added up before the shuffle.
+    words = range(-(-MOST_KEYS // BITS))
+    held = [F.bit_or(F.when(F.floor(F.col("bit") / BITS) == w, F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit") % BITS)).otherwise(F.lit(0).cast("bigint"))) for w in words]
+    found = hits.groupBy("__quote_id", "__doc_id", "band").agg(sum((F.bit_count(h) for h in held), F.lit(0)).alias("kept"), F.max("needed").alias("needed"))
     found = work.keep(found.filter("kept >= needed").select("__quote_id", "__doc_id", "band"), "bands")
     return _status(found, asked, docs, doc_id, text).select(F.col("__quote_id").alias(quote_id), F.col("__doc_id").alias(doc_id), "quote_status")
 
 
 def _keys(asked: DataFrame, places: DataFrame, sizes: list[int]) -> DataFrame:
-    """(run, quote id, place, loose, needed): the rarest runs of each quote, as many as may be lost
+    """(run, quote id, place, bit, loose, needed): the rarest runs of each quote, as many as may be lost
     and some more, and how many of them stay in a match."""
     size = F.least("n", F.lit(RUN))
     own = _runs(asked.select("__quote_id", "key"), "__quote_id", "key", sizes).withColumnRenamed("at", "place")
     own = own.join(asked.select("__quote_id", "n", "loose", size.alias("size")), "__quote_id")
     own = own.filter(F.get(F.array(*map(F.lit, sizes)), F.col("which")) == F.col("size"))
-    counted = places.join(_small(own.select("run").distinct()), "run").groupBy("run").agg(F.count("*").alias("times"))
+    counted = places.join(small(own.select("run").distinct()), "run").groupBy("run").agg(F.count("*").alias("times"))
     lost = F.col("loose") * (2 * RUN - 1)
     stay = F.col("n") - F.col("size") + 1 - lost
-    needed = F.least(stay, SPARE + F.when(F.col("loose") > 0, F.ceil(stay / 2)).otherwise(0)).cast("int")
+    needed = F.least(stay, F.lit(SPARE)).cast("int")
     rank = F.row_number().over(Window.partitionBy("__quote_id").orderBy(F.coalesce("times", F.lit(0)), "place", "run"))
     ranked = own.join(counted, "run", "left").withColumn("needed", needed).withColumn("rank", rank)
-    return ranked.filter(F.col("rank") <= lost + F.col("needed")).select("run", "__quote_id", "place", "loose", "needed")
+    return ranked.filter(F.col("rank") <= lost + F.col("needed")).select("run", "__quote_id", "place", (F.col("rank") - 1).alias("bit"), "loose", "needed")
 
 
 def _status(bands: DataFrame, asked: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:

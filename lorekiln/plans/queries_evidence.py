@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lorekiln.functions import text as T
-from lorekiln.operators import evidence, external, planning, windows
+from lorekiln.operators import evidence, external, facts, planning, windows
 from lorekiln.plans.queries_text import SQL_KEY
 from lorekiln.plans.registry import Registry, table
 
@@ -147,24 +147,28 @@ def cls_evidence_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", layer.alias("layer"), F.array_join(reasons, ",").alias("reasons"))
 
 
-SQL_CLAIM = SQL_KEY.format("string_split(text, chr(10))[1]")
-
-
 @REGISTRY.query(f"""
-    SELECT lang, source, sha256({SQL_CLAIM}) AS claim_sha256, min(doc_id) AS doc_id, count(*) AS duplicates FROM documents GROUP BY ALL
+    WITH l AS (SELECT lang, source, doc_id, {SQL_KEY.format("unnest(string_split(coalesce(text, ''), chr(10)))")} AS claim FROM documents)
+    SELECT lang, source, sha256(claim) AS claim_sha256, min(doc_id) AS doc_id, count(*) AS duplicates FROM l WHERE claim <> '' GROUP BY ALL
 """)
 def win_evidence_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    claim = F.sha2(T.match_key(F.split("text", "\n")[0]), 256).alias("claim_sha256")
-    claims = table(spark, sf_dir, "documents").select("lang", "source", claim, "doc_id")
+    """Lines as claims: the first document of each."""
+    lines = table(spark, sf_dir, "documents").select("lang", "source", "doc_id", F.explode(F.split(T.text_or_empty(F.col("text")), "\n")).alias("line"))
+    claims = lines.withColumn("claim", T.match_key(F.col("line"))).filter("claim <> ''").withColumn("claim_sha256", F.sha2("claim", 256))
     return evidence.first_of_equals(claims, ["lang", "source", "claim_sha256"], "doc_id")
 
 
 @REGISTRY.query()
 def grf_fact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    claims = table(spark, sf_dir, "documents").select(
-        F.concat_ws("/", "lang", F.split(T.match_key(F.col("text")), " ")[0]).alias("tag"), "doc_id", F.split("text", "\n")[0].alias("claim")
-    )
-    return evidence.fact_groups(claims, "tag", "doc_id", "claim")
+    """Lines as claims of the tag that their language and first words make, with their last sentence as
+    quote; tests compare the operator with a fold over all claims."""
+    lines = table(spark, sf_dir, "documents").select("doc_id", "lang", F.posexplode(F.split(T.text_or_empty(F.col("text")), "\n")).alias("k", "line")).filter("trim(line) <> ''")
+    words, sentences = F.split(T.match_key(F.col("line")), " "), F.filter(F.split("line", r"[.!?]+"), lambda s: F.trim(s) != "")
+    claims = lines.select(
+        F.concat_ws("/", "lang", F.get(words, F.lit(0)), F.get(words, F.lit(1))).alias("tag"), F.when(F.length("line") <= 60, "short").otherwise("long").alias("kind"),
+        F.concat_ws(":", "doc_id", "k").alias("id"), F.col("line").alias("claim"), F.when(F.size(sentences) > 1, F.element_at(sentences, -1)).alias("quote"), "doc_id",
+    )
+    return facts.fact_groups(claims, "tag", "kind", "id", "claim", "quote", "doc_id")
 
 
 @REGISTRY.query("""

@@ -9,6 +9,7 @@ from lorekiln.functions import text as T
 from lorekiln.operators import matching, quotes
 from lorekiln.plans.registry import Registry, table
 from lorekiln.plans.sql_text import SQL_QUOTE_KEY, sql_basic
+from lorekiln.sources.shared import Workspace
 
 REGISTRY = Registry()
 QUERIES, ORACLE_SQL = REGISTRY.queries, REGISTRY.sql
@@ -61,9 +62,9 @@ def match_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     lines = F.split(T.text_or_empty(F.col("text")), "\n")
     long_words = lambda words: F.filter(words, lambda w: F.length(w) >= LINKING)
     own = items.select("tag", F.explode(long_words(F.col("words"))).alias("word"))
-    links = docs.select("doc", F.explode(long_words(T.tokens(F.col("text")))).alias("word")).join(own, "word").select("tag", "doc").distinct()
+    links = docs.select("doc", F.explode(long_words(T.tokens(F.col("text")))).alias("word")).join(quotes.small(own), "word").select("tag", "doc").distinct()
     alone = links.groupBy("doc").agg((F.count("*") == 1).alias("sole"))
-    links = links.join(alone, "doc").withColumn("mention", F.concat("tag", F.lit(":"), "doc"))
+    links = Workspace(spark, "match-inputs").keep(links.join(alone, "doc").withColumn("mention", F.concat("tag", F.lit(":"), "doc")), "links")
     return {
         "terms": matching.alias_terms(aliases, "tag", "alias", "canonical"),
         "links": links,

@@ -101,12 +101,6 @@ def test_bin_fill_and_trim(spark):
     assert [r.o for r in kept] == [2]
 
 
-def test_fact_groups(spark):
-    rows = [("t", 1, "The dose is 5 mg per day"), ("t", 2, "the dose is 5 mg per day."), ("t", 3, "the dose is 6 mg per day"), ("t", 4, "other"), ("u", 5, "other")]
-    found = evidence.fact_groups(spark.createDataFrame(rows, "tag string, id long, claim string"), "tag", "id", "claim").collect()
-    assert sorted((r.tag, r.representative, r.claims_count) for r in found) == [("t", 1, 2), ("t", 3, 1), ("t", 4, 1), ("u", 5, 1)]
-
-
 def test_model_calls_survive_failures_and_bad_answers(spark):
     answers = {"a": '```json\n{"entities": [{"surface": "A", "role": "r", "confidence": 0.5}]}\n```', "b": "no json", "d": '{"entities": [{"surface": " ", "role": "r", "confidence": 2}]}'}
 
