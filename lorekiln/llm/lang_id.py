@@ -26,11 +26,9 @@ from pyspark.sql import functions as F
 from lorekiln.llm.batches import small_batches
 
 UNDETERMINED = "und"
-#: Labelled rows that a language's dictionary is made of at most: whole texts, picked by hash. This
-#: bounds what the driver gathers and every task receives.
-SAMPLE_ROWS = 60
-#: Texts of up to this many bytes are picked where a language has enough of them.
-SHORT_BYTES = 8192
+#: Pieces of labelled texts that a language's dictionary is made of, and their characters at most:
+#: this bounds what the driver gathers and every task receives. Pieces come from anywhere in any text.
+SAMPLE_PIECES, PIECE_CHARACTERS = 120, 2000
 LEVEL = 9
 #: Bytes compressed at a time.
 PIECE = 1000
@@ -49,32 +47,31 @@ class Model:
     dictionaries: tuple[bytes, ...]
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Dictionaries from whole texts of ``sample_rows`` rows of each language at most. Copies of
-    a text are one row of the sample; they are folded before anything is gathered."""
-    rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    short = F.octet_length("text") <= SHORT_BYTES
-    counts = {r["lang"]: r for r in rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(short).alias("short")).collect()}
-    if not counts:
-        return Model((), ())
-    chance, pool = F.lit(0.0), F.lit(True)
-    for lang, n in counts.items():
-        only_short = n["short"] >= 2 * sample_rows
-        chance = F.when(F.col("lang") == lang, min(1.0, 1.5 * sample_rows / n["short" if only_short else "n"])).otherwise(chance)
-        pool = F.when(F.col("lang") == lang, short | F.lit(not only_short)).otherwise(pool)
-    picked = (
-        rows.withColumn("place", F.xxhash64("text", F.lit("sample")))
-        .filter(pool & (F.pmod("place", F.lit(1_000_000)) < chance * 1_000_000))
-        .groupBy("lang", "place")
-        .agg(F.min("text").alias("text"))
-        .collect()
-    )
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", pieces: int = SAMPLE_PIECES) -> Model:
+    """Dictionaries from ``pieces`` distinct pieces of each language's texts, those with the least
+    hashes; a language that has fewer gives all of them. Texts are cut at white space into pieces of
+    :data:`PIECE_CHARACTERS` at most and copies are folded before anything is gathered, so neither long
+    texts nor copies take the place of others."""
+    rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    most = PIECE_CHARACTERS
+    cut = F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{most}}}(?!\S)|.{{1,{most}}}"), F.lit(0))
+    parts = rows.select("lang", F.explode(cut).alias("piece")).filter(F.col("piece").rlike(r"\p{L}"))
+    parts = parts.withColumn("place", F.pmod(F.xxhash64("piece", F.lit("sample")), F.lit(1 << 40)))
+    distinct = {r["lang"]: r["n"] for r in parts.groupBy("lang").agg(F.approx_count_distinct("place").alias("n")).collect()}
+    share = {lang: 1.0 if n <= 4 * pieces else 2 * pieces / n for lang, n in distinct.items()}
     texts: dict[str, list[str]] = {lang: [] for lang in counts}
-    for row in sorted(map(tuple, picked)):
-        if len(texts[row[0]]) < sample_rows:
-            texts[row[0]].append(row[2])
-    languages = tuple(sorted(texts, key=lambda lang: (-counts[lang]["n"], lang)))
+    while share:
+        reach = F.create_map(*[F.lit(x) for lang, part in share.items() for x in (lang, int(part * (1 << 40)))])
+        near = parts.filter(F.col("place") < F.try_element_at(reach, "lang"))
+        picked = near.groupBy("lang", "place").agg(F.min("piece").alias("piece")).collect()
+        found: dict[str, list] = {lang: [] for lang in share}
+        for row in picked:
+            found[row["lang"]].append((row["place"], row["piece"]))
+        texts |= {lang: [piece for _, piece in sorted(some)[:pieces]] for lang, some in found.items()}
+        # The count of distinct pieces is an estimate: where it was far too large, look again.
+        share = {lang: min(1.0, 4 * part) for lang, part in share.items() if len(found[lang]) < pieces and part < 1.0}
+    languages = tuple(sorted(texts, key=lambda lang: (-counts[lang], lang)))
     return Model(languages, tuple(letters(" ".join(texts[lang])).encode() for lang in languages))
 
 

@@ -76,10 +76,30 @@ def test_sizes_of_whole_texts(spark, labelled):
         assert tuple(r.found) == (model.languages[sizes[0][1]], 1 - sizes[0][0] / sizes[1][0], 1 - sizes[0][0] / sizes[1][0] < lang_id.MARGIN)
 
 
-def test_fit_takes_whole_texts_of_few_distinct_rows(spark):
-    copies = spark.range(100_000).selectExpr("'kala mula tika' text", "'aa' lang")
-    others = [(f"long {'x' * 50_000} end{k}", "bb") for k in range(5)] + [(f"{w} end", "cc") for w in ("queux", "chat")]
-    model = lang_id.fit(copies.union(spark.createDataFrame(others, "text string, lang string")), sample_rows=3)
+def test_copies_and_long_texts_leave_room_for_others(spark):
+    rng = random.Random(8)
+    words = [f"{a}{b}{c}" for a in "ktmn" for b in "aiou" for c in "lrs"]
+    own = [" ".join(rng.choice(words) for _ in range(rng.randint(20, 60))) for _ in range(200)]
+    rows = [(t, "aa") for t in own] + [(f"queux {w} chat " * 20, "bb") for w in words[:30]]
+    copies = spark.range(20 * 5000).selectExpr("concat('kala mula ', cast(id % 20 as string)) text", "'aa' lang")
+    long = spark.createDataFrame([("zu lang " * 700_000, "cc")], "text string, lang string")
+    model = lang_id.fit(spark.createDataFrame(rows, "text string, lang string").union(copies).union(long))
+    held = dict(zip(model.languages, (len(d) for d in model.dictionaries), strict=True))
+    assert set(held) == {"aa", "bb", "cc"} and min(held.values()) > 1000
+    assert max(held.values()) <= lang_id.SAMPLE_PIECES * lang_id.PIECE_CHARACTERS
+    fresh = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(200)]
+    assert sum(lang_id.classify(t, model)[0] == "aa" for t in fresh) >= 197
+
+
+def test_fewer_pieces_than_wanted_are_all_taken(spark):
+    rows = [(f"{w} end", "cc") for w in ("queux", "chat")] * 50 + [("12345", "dd"), (None, "ee")]
+    model = lang_id.fit(spark.createDataFrame(rows, "text string, lang string"))
     held = dict(zip(model.languages, (d.decode() for d in model.dictionaries), strict=True))
-    assert held["aa"] in ("kala mula tika", "") and held["bb"].count("x" * 50_000 + " end") == 3
-    assert sorted(held["cc"].split()) == ["chat", "end", "end", "queux"]
+    assert sorted(held["cc"].split()) == ["chat", "end", "end", "queux"] and held["dd"] == "" and "ee" not in held
+
+
+def test_an_estimate_too_large_is_mended(spark, monkeypatch):
+    rows = spark.range(3000).selectExpr("concat('wort', cast(id as string), ' zahl') text", "'de' lang")
+    monkeypatch.setattr(F, "approx_count_distinct", lambda c: F.count_distinct(c) * 1000)
+    (data,) = lang_id.fit(rows, pieces=50).dictionaries
+    assert data.decode().split().count("zahl") == 50
