@@ -2,27 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
-import json
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lorekiln.functions import text as T
 
 HEADER_LENGTH = 60
-#: Keys that a block of unknown type is searched for, in this order.
-TEXT_KEYS = ("text", "content", "caption", "title", "message", "code", "html", "items")
-#: Types that may be empty and are still in order.
-MAY_BE_EMPTY = ("delimiter", "image", "embed")
-
-PARSED = (
-    "struct<parse_status: string, parse_errors: array<string>, clean_text: string, "
-    "blocks: array<struct<block_index: int, block_type: string, text: string, raw_block_hash: string, parse_status: string>>>"
-)
-
-
 def source_id(row: Column, content: Column) -> Column:
     """A document's stable id: its row and the beginning of its content hash."""
     return F.concat(F.lit("doc_"), F.lpad(row.cast("string"), 6, "0"), F.lit("_"), F.left(F.sha2(content, 256), F.lit(8)))
@@ -57,109 +42,6 @@ def line_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def _items(items, depth: int = 0) -> list[str]:
-    lines = []
-    for item in items if isinstance(items, list) else []:
-        inner = item.get("items") if isinstance(item, dict) else None
-        label = item.get("content") or item.get("text") if isinstance(item, dict) else item
-        if isinstance(label, str) and label.strip():
-            lines.append("  " * depth + "- " + label.strip())
-        lines += _items(inner, depth + 1)
-    return lines
-
-
-def _anything(value) -> list[str]:
-    """Texts below the known keys, depth first, each once."""
-    if isinstance(value, str):
-        return [value.strip()] if value.strip() else []
-    below = value if isinstance(value, list) else [value[k] for k in TEXT_KEYS if k in value] if isinstance(value, dict) else []
-    return list(dict.fromkeys(t for v in below for t in _anything(v)))
-
-
-def _block_text(kind: str, data: dict) -> str:
-    if kind in ("paragraph", "header", "quote", "warning", "raw", "code"):
-        return "\n".join(str(data[k]).strip() for k in ("title", "text", "message", "code", "html", "caption") if isinstance(data.get(k), str) and data[k].strip())
-    if kind == "list":
-        return "\n".join(_items(data.get("items")))
-    if kind == "checklist":
-        return "\n".join(f"[{'x' if i.get('checked') else ' '}] {i.get('text', '').strip()}" for i in data.get("items", []) if isinstance(i, dict))
-    if kind == "table":
-        rows = [[str(c).strip() for c in row if str(c).strip()] for row in data.get("content", []) if isinstance(row, list)]
-        return "\n".join("\t".join(row) for row in rows if row)
-    return "\n".join(_anything(data))
-
-
-def _load(raw: str):
-    value = json.loads(raw)
-    for _ in range(2):  # content may be a JSON text inside a JSON text
-        if isinstance(value, str) and value.lstrip()[:1] in "{[":
-            value = json.loads(value)
-    return value
-
-
-def parse_rich_text(raw: str | None) -> dict:
-    """Status, errors, text and blocks of one document of blocks in JSON."""
-    if raw is None or not raw.strip():
-        return {"parse_status": "empty", "parse_errors": ["empty_content"], "clean_text": "", "blocks": []}
-    try:
-        value = _load(raw)
-    except ValueError:
-        return {"parse_status": "failed", "parse_errors": ["invalid_json"], "clean_text": "", "blocks": []}
-    errors = []
-    if isinstance(value, dict) and isinstance(value.get("blocks"), list):
-        found = value["blocks"]
-    elif isinstance(value, dict) and "type" in value:
-        found = [value]
-        errors.append("single_block_root")
-    elif isinstance(value, list):
-        found = value
-        errors.append("list_root")
-    else:
-        found = []
-        errors.append("unexpected_root")
-    blocks = []
-    for k, block in enumerate(found):
-        own = block if isinstance(block, dict) else {"data": block}
-        kind = own.get("type") if isinstance(own.get("type"), str) else "unknown"
-        data = own.get("data") if isinstance(own.get("data"), dict) else {"text": own.get("data")}
-        text = _block_text(kind, data)
-        sound = bool(text) or kind in MAY_BE_EMPTY
-        canonical = json.dumps(block, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
-        blocks.append(
-            {
-                "block_index": k,
-                "block_type": kind,
-                "text": text,
-                "raw_block_hash": hashlib.sha256(canonical.encode()).hexdigest(),
-                "parse_status": "ok" if sound else "empty_or_unhandled_block",
-            }
-        )
-        if not isinstance(block, dict):
-            errors.append(f"block_{k}_not_an_object")
-    clean = "\n\n".join(b["text"] for b in blocks if b["text"])
-    status = "failed" if not blocks and errors else "empty" if not clean else "partial" if errors else "ok"
-    return {"parse_status": status, "parse_errors": errors, "clean_text": clean, "blocks": blocks}
-
-
-def parsed(content: Column) -> Column:
-    """Struct of :data:`PARSED` from documents of blocks in JSON."""
-
-    @F.arrow_udf(PARSED)
-    def parse(texts: pa.Array) -> pa.Array:
-        block = pa.struct([("block_index", pa.int32()), *[(n, pa.string()) for n in ("block_type", "text", "raw_block_hash", "parse_status")]])
-        kind = pa.struct([("parse_status", pa.string()), ("parse_errors", pa.list_(pa.string())), ("clean_text", pa.string()), ("blocks", pa.list_(block))])
-        return pa.array([parse_rich_text(t) for t in texts.to_pylist()], kind)
-
-    return parse(content)
-
-
-def rich_text_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents of blocks in JSON, a paragraph per line."""
-    lines = F.split(T.text_or_empty(F.col(text_col)), "\n")
-    block = F.transform(lines, lambda t: F.struct(F.lit("paragraph").alias("type"), F.struct(t.alias("text")).alias("data")))
-    return docs.select(id_col, F.to_json(F.struct(block.alias("blocks"))).alias("content"))
-
-
 def integrity_violations(docs: DataFrame, children: DataFrame, id_col: str, child_col: str, length_col: str, text_col: str) -> DataFrame:
     """(violation, key): repeated ids, children without a parent, parents without a child,
     lengths that the text doesn't have."""

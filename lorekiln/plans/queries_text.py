@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorekiln.functions import text as T
-from lorekiln.operators import blocks, clusters
+from lorekiln.operators import blocks, clusters, rich_text
 from lorekiln.plans.registry import Registry, table
 from lorekiln.plans.sql_text import sql_basic
 
@@ -97,21 +99,78 @@ def gen_page_blocks_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "block_index", F.col("b.kind").alias("block_type"), F.col("b.text").alias("text"))
 
 
-@REGISTRY.query("""
-    SELECT doc_id, CASE WHEN trim(replace(text, chr(10), '')) = '' THEN 'empty' ELSE 'ok' END AS parse_status,
-        len(string_split(text, chr(10))) AS blocks_count,
-        len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')) AS non_empty_blocks_count
-    FROM documents
+#: Lines of documents as blocks of all types in turn, without what would be markup in them.
+BLOCK_TYPES = ("paragraph", "header", "list", "quote", "table", "checklist", "delimiter", "code", "warning", "image", "custom")
+
+
+def rich_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, content): each line of a document is a block; its type goes by its place."""
+    line = lambda t: F.translate(t, "<>&", "   ")
+    parts = lambda t: F.split(line(t), ", ")
+    data = {
+        "paragraph": lambda t: F.struct(F.concat(F.lit("<b>"), line(t), F.lit("</b>")).alias("text")),
+        "header": lambda t: F.struct(line(t).alias("text"), F.lit(2).alias("level")),
+        "list": lambda t: F.struct(F.transform(parts(t), lambda p: F.struct(p.alias("content"), F.array(F.struct(F.concat(F.lit("<i>in</i> "), p).alias("text"))).alias("items"))).alias("items")),
+        "quote": lambda t: F.struct(line(t).alias("text"), F.lit("said &amp; done").alias("caption")),
+        "table": lambda t: F.struct(F.transform(parts(t), lambda p: F.split(p, " ")).alias("content")),
+        "checklist": lambda t: F.struct(F.transform(parts(t), lambda p, k: F.struct(p.alias("text"), (k % 2 == 0).alias("checked"))).alias("items")),
+        "delimiter": lambda t: F.struct(F.lit(1).alias("width")),
+        "code": lambda t: F.struct(F.concat(line(t), F.lit(" a<b>")).alias("code")),
+        "warning": lambda t: F.struct(F.lit("Note").alias("title"), line(t).alias("message")),
+        "image": lambda t: F.struct(F.lit("").alias("caption"), F.lit("here").alias("source")),
+        "custom": lambda t: F.struct(F.struct(line(t).alias("title"), F.array(line(t), F.lit("other")).alias("items"), F.lit("no").alias("else")).alias("content")),
+    }
+    lines = F.split(T.text_or_empty(F.col("text")), "\n")
+
+    def block(text: Column, k: Column) -> Column:
+        made = F.lit(None).cast("string")
+        for place, name in enumerate(BLOCK_TYPES):
+            made = F.when(k % len(BLOCK_TYPES) == place, F.to_json(F.struct(F.lit(name).alias("type"), data[name](text).alias("data")))).otherwise(made)
+        return made
+
+    made = F.concat(F.lit('{"blocks":['), F.array_join(F.transform(lines, block), ","), F.lit("]}"))
+    return table(spark, sf_dir, "documents").select("doc_id", made.alias("content"))
+
+
+SQL_RICH = r"""
+    l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS k FROM documents),
+    t AS (SELECT doc_id, k, translate(line, '<>&', '   ') AS t, string_split(translate(line, '<>&', '   '), ', ') AS p FROM l),
+    x AS (
+        SELECT doc_id, k, CASE k % 11 WHEN 6 THEN '' WHEN 9 THEN ''
+            WHEN 0 THEN C(t) WHEN 1 THEN C(t) WHEN 3 THEN concat_ws(chr(10), nullif(C(t), ''), 'said & done') WHEN 7 THEN C(t || ' a<b>') WHEN 8 THEN concat_ws(chr(10), 'Note', nullif(C(t), ''))
+            WHEN 2 THEN array_to_string(list_transform(p, lambda i: CASE WHEN C(i) = '' THEN '' ELSE '- ' || C(i) || chr(10) END || '  - ' || C('in ' || i)), chr(10))
+            WHEN 4 THEN array_to_string(list_filter(list_transform(p, lambda i: array_to_string(list_filter(list_transform(string_split(i, ' '), lambda c: C(c)), lambda c: c <> ''), chr(9))), lambda r: r <> ''), chr(10))
+            WHEN 5 THEN array_to_string(list_filter(list_transform(p, lambda i, n: CASE WHEN C(i) = '' THEN '' WHEN n % 2 = 1 THEN '[x] ' || C(i) ELSE '[ ] ' || C(i) END), lambda r: r <> ''), chr(10))
+            ELSE CASE WHEN C(t) IN ('', 'other') THEN 'other' ELSE C(t) || chr(10) || 'other' END END AS text
+        FROM t
+    ), b AS (SELECT doc_id, k, trim(text) AS text, CASE WHEN trim(text) <> '' OR k % 11 IN (6, 9) THEN 'ok' ELSE 'empty_or_unhandled_block' END AS status FROM x)
+"""
+SQL_RICH = re.sub(r"\bC\(('in ' \|\| i|t \|\| ' a<b>'|[a-z])\)", r"trim(regexp_replace(\1, '[ \\t\\r\\f\\x0B]+', ' ', 'g'))", SQL_RICH)
+
+
+@REGISTRY.query(f"""
+    WITH {SQL_RICH}, d AS (SELECT doc_id, count(*) AS blocks_count, count(*) FILTER (WHERE status = 'ok') AS sound_blocks_count,
+        coalesce(string_agg(text, chr(10) || chr(10) ORDER BY k) FILTER (WHERE text <> ''), '') AS clean FROM b GROUP BY doc_id)
+    SELECT doc_id, CASE WHEN clean = '' THEN 'empty' WHEN sound_blocks_count < blocks_count THEN 'partial' ELSE 'ok' END AS parse_status,
+        blocks_count - sound_blocks_count AS errors_count, blocks_count, sound_blocks_count, sha256(clean) AS clean_sha256 FROM d
 """)
 def gen_rich_text_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = blocks.rich_text_of(table(spark, sf_dir, "documents"))
-    found = docs.select("doc_id", blocks.parsed(F.col("content")).alias("p"))
+    """Documents of blocks of all types, as text."""
+    found = rich_documents(spark, sf_dir).select("doc_id", rich_text.parsed(F.col("content")).alias("p"))
     return found.select(
-        "doc_id",
-        "p.parse_status",
-        F.size("p.blocks").alias("blocks_count"),
-        F.size(F.filter("p.blocks", lambda b: b["parse_status"] == "ok")).alias("non_empty_blocks_count"),
-    )
+        "doc_id", "p.parse_status", F.size("p.parse_errors").alias("errors_count"), F.size("p.blocks").alias("blocks_count"),
+        F.size(F.filter("p.blocks", lambda b: b["parse_status"] == "ok")).alias("sound_blocks_count"), F.sha2("p.clean_text", 256).alias("clean_sha256"),
+    )
+
+
+@REGISTRY.query(f"""
+    WITH {SQL_RICH} SELECT k % 11 AS type_number, status AS parse_status, count(*) AS blocks_count, sum(length(text)) AS characters FROM b GROUP BY ALL
+""")
+def gen_rich_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blocks of all documents by type and status."""
+    rows = rich_text.block_rows(rich_documents(spark, sf_dir), "doc_id", "content")
+    number = F.array_position(F.array(*map(F.lit, BLOCK_TYPES)), F.col("block_type")) - 1
+    return rows.groupBy(number.alias("type_number"), "parse_status").agg(F.count("*").alias("blocks_count"), F.sum("text_length").alias("characters"))
 
 
 @REGISTRY.query("""

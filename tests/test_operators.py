@@ -14,34 +14,6 @@ from lorekiln.sources.shared import Workspace
 from lorekiln.streaming import upsert
 
 
-@pytest.mark.parametrize(
-    ("raw", "status", "texts"),
-    [
-        (json.dumps({"blocks": [{"type": "header", "data": {"text": "A"}}, {"type": "paragraph", "data": {"text": "b"}}]}), "ok", ["A", "b"]),
-        ("{broken", "failed", []),
-        ("", "empty", []),
-        (None, "empty", []),
-        (json.dumps([{"type": "paragraph", "data": {"text": "x"}}]), "partial", ["x"]),
-        (json.dumps(json.dumps({"blocks": [{"type": "list", "data": {"items": ["a", {"content": "b", "items": ["c"]}]}}]})), "ok", ["- a\n- b\n  - c"]),
-        (json.dumps({"blocks": [{"type": "table", "data": {"content": [["a", " b "], ["", ""]]}}, {"type": "delimiter", "data": {}}]}), "ok", ["a\tb", ""]),
-        (json.dumps({"blocks": [{"type": "own", "data": {"title": "t", "items": [{"text": "u"}, {"text": "t"}]}}]}), "ok", ["t\nu"]),
-        (json.dumps({"blocks": [{"type": "checklist", "data": {"items": [{"text": "p", "checked": True}, {"text": "q"}]}}]}), "ok", ["[x] p\n[ ] q"]),
-    ],
-)
-def test_parse_rich_text(raw, status, texts):
-    found = blocks.parse_rich_text(raw)
-    assert found["parse_status"] == status
-    assert [b["text"] for b in found["blocks"]] == texts
-
-
-def test_parsed_column_and_long_paragraph(spark):
-    long = "x" * 150_000
-    df = spark.createDataFrame([(1, "a\n" + long), (2, None)], "doc_id long, text string")
-    found = {r.doc_id: r.p for r in blocks.rich_text_of(df).select("doc_id", blocks.parsed(F.col("content")).alias("p")).collect()}
-    assert [b.text for b in found[1].blocks] == ["a", long]
-    assert found[2].parse_status == "empty"
-
-
 def test_connected_components_match_union_find(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(k, k + 1) for k in range(1000, 1060)] + [(7, 7), (None, 1)]
