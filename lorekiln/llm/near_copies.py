@@ -6,18 +6,17 @@ block the anchors are a perfect Hamming code with all values of the bits beyond
 threshold is 0, so a fingerprint goes to the one anchor within the covering radius. As many
 blocks are drawn as a pair at the threshold needs to meet with the probability ``recall``.
 
-Who meets at an anchor is compared by 64 bits, and the pairs that remain by all 512. Those whose
-estimate lies well above the threshold are links; those within its error on either side are
-compared by their whole shingle sets, so a link is a real one. Equal fingerprints are one row
-from the start.
+Who meets at an anchor is compared by 64 bits, and the pairs that remain by all 512. Those that are
+not clearly below the threshold are compared by their whole shingle sets, every one of them, so a
+link is a real one. Equal fingerprints are one row from the start.
 
 This happens twice. The first turn takes a few of the blocks and passes on only a forest of the
 nearest pairs per task; its links join large groups of near copies, which meet in any block. The
 second takes all blocks, and only pairs whose ends are not yet in one component: what is joined
 needs no more links, so a large group does not make its pairs again in every block. Components
 are kept in parts of few members; a document that came near a part's member visits the part and
-is compared there with all of it, so visits are rows, pairs are not. At an anchor with over
-``CROWD`` rows only pairs that connect what is near make visits.
+is compared there with all of it, so visits are rows, pairs are not. All that meet make visits: what
+the first turn leaves out at a crowded anchor is made up for here.
 
 Defined results
     null texts have no words; texts without words are copies of each other.
@@ -50,7 +49,7 @@ PLAIN_BITS, SHARING = 9, 16
 FIRST = 16
 #: Members in a part of a component.
 PART = 64
-#: Rows of a group above which its pairs are not all compared.
+#: Rows of a group above which the first turn does not compare all its pairs.
 CROWD = 256
 #: Rows at an anchor from which a task reports it. What no task reports has fewer rows than this
 #: times the number of tasks and is not split; results are the same.
@@ -198,7 +197,7 @@ def _proposed(most: int, forest: bool):
         def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return (np.bitwise_count((a[:, 1] ^ b[:, 1]).view(np.uint64)) <= most) & (a[:, 2] != b[:, 2])
 
-        for pairs in meetings(batches, near, True, CROWD, lambda rows: connecting(rows, most, rows[:, 2])):
+        for pairs in meetings(batches, near, True, CROWD if forest else None, lambda rows: connecting(rows, most, rows[:, 2])):
             if forest:
                 a, b = pairs[:, 0, 0], pairs[:, 1, 0]
                 keep = spanning_forest(a, b, np.bitwise_count((pairs[:, 0, 1] ^ pairs[:, 1, 1]).view(np.uint64)), 0)
@@ -304,15 +303,13 @@ def _visited(labelled: DataFrame, blocks: np.ndarray, plain: DataFrame, shingle:
 
 def _links(labelled: DataFrame, blocks: np.ndarray, plain: DataFrame, shingle: int, similarity: float, work: Workspace) -> DataFrame:
     """(src, dst): links that join most of what a large group of near copies holds."""
-    p, sure = differing(similarity), differing((1 + similarity) / 2)
+    p = differing(similarity)
     pairs = work.keep(propose(labelled, blocks, _with_error(64, p, 3), True, work), "pairs")
     left, right = (labelled.select(F.col("node").alias(end), F.col("fp").alias(f"{end}_fp")) for end in ("src", "dst"))
     apart = F.aggregate(F.zip_with("src_fp", "dst_fp", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
     pairs = pairs.join(left, "src").join(right, "dst").select("src", "dst", apart.alias("apart"))
     pairs = work.keep(pairs.filter(F.col("apart") <= _with_error(BITS, p, 4)), "measured")
-    clear = F.col("apart") <= int(BITS * sure)
-    links = pairs.filter(clear).select("src", "dst").union(_similar(pairs.filter(~clear), plain, labelled, shingle, similarity, work))
-    return work.keep(links, "links")
+    return work.keep(_similar(pairs.select("src", "dst"), plain, labelled, shingle, similarity, work), "links")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:

@@ -43,6 +43,8 @@ DISTANCE = 4
 HOMES = 4096
 #: Pairs that are compared at a time.
 PAIRS = 1 << 17
+#: Near pairs that are held before they are passed on.
+FOUND = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -175,7 +177,8 @@ def meetings(
     """Rows (group, visits, ...) sorted by group with homes first, the other columns integers.
     Of each batch, yields the pairs that are ``near``: an array of (row, home) columns per pair.
     Visitors meet the homes of their group; with ``among_homes``, homes meet each other. Of a
-    group with more than ``crowd`` rows, ``forest`` gives pairs that connect what is near."""
+    group with more than ``crowd`` rows, ``forest`` gives pairs that connect what is near. Many pairs
+    of a batch come in several arrays."""
     last, held = None, None
     for batch in batches:
         if not batch.num_rows:
@@ -212,6 +215,9 @@ def meetings(
             some = near(left, right)
             if some.any():
                 found.append(np.stack([left[some], right[some]], axis=1))
+            if sum(map(len, found)) > FOUND:
+                yield np.concatenate(found)
+                found = []
             at = to
         if found:
             yield np.concatenate(found)

@@ -61,6 +61,29 @@ def test_matches_brute_force_jaccard(spark, monkeypatch, homes):
     assert sorted(map(tuple, found), key=repr) == sorted(zip((k for k, _ in rows), wanted, strict=True), key=repr)
 
 
+def templated(pages, rng):
+    """Pages of one template, two and two alike beyond it: pairs at 0.86, others at 0.78."""
+    common = [f"t{rng.randrange(10**6)}" for _ in range(500)]
+    rows = []
+    for page in range(pages):
+        if page % 2 == 0:
+            own = [f"p{rng.randrange(10**6)}" for _ in range(28)]
+        words = common + own + [f"q{rng.randrange(10**6)}" for _ in range(43)]
+        rows.append((page, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("crowd", [256, 4])
+def test_pairs_of_a_template_are_kept_apart_and_together(spark, monkeypatch, crowd):
+    """Nearness by 64 bits connects all pages of the template; only real pairs may be links."""
+    monkeypatch.setattr(near_copies, "CROWD", crowd)
+    rows = templated(160, random.Random(12))
+    wanted, pairs = brute_force(rows)
+    assert pairs >= 70
+    found = near_copies.classes(spark.createDataFrame(rows, SCHEMA).repartition(4)).select("doc_id", "component_id").collect()
+    assert sorted(map(tuple, found)) == sorted(zip((k for k, _ in rows), wanted, strict=True))
+
+
 def test_stage_drops_all_near_copies(spark):
     rows = rows_of()
     kept = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, SCHEMA), "")
