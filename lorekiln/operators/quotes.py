@@ -20,14 +20,13 @@ from lorekiln.functions import similarity as S
 from lorekiln.functions import text as T
 from lorekiln.sources.shared import Workspace
 
-#: Characters of a run. With 6 runs, every fuzzy quote has some that stay.
-RUN = 6
+#: Characters of a run: with 6, every fuzzy quote has some that stay; long quotes also with 8, which are
+#: rarer. Quotes that are only looked for as they are have longer ones, or are their own run.
+RUN, LONG_RUN, PLAIN_RUN = 6, 8, 10
 #: Characters of a piece of text whose runs are made at a time.
 PIECE = 4096
 #: Keys besides those that a fuzzy match may lose: so many have to stay.
 SPARE = 6
-#: Keys of a quote at most, as bits of whole numbers.
-MOST_KEYS, BITS = S.FUZZY_LONGEST * 6 // 100 * (2 * RUN - 1) + SPARE, 60
 #: So many runs of quotes are broadcast (some 30 MB); more are shuffled.
 BROADCAST_RUNS = 1_000_000
 
@@ -64,36 +63,34 @@ def find_quotes(quotes: DataFrame, quote_id: str, quote: str, docs: DataFrame, d
     asked = quotes.select(F.col(quote_id).alias("__quote_id"), raw.alias("raw"), T.quote_key(F.col(quote)).alias("key"))
     asked = asked.filter((F.col("raw") != "") & ~S.has_ellipsis(F.col("raw"))).withColumn("n", F.length("key"))
     loose = F.when(F.col("n").between(S.FUZZY_LEAST, S.FUZZY_LONGEST) & F.lit(fuzzy), F.floor(F.col("n") * (1 - S.FUZZY_RATIO) + 1e-6)).otherwise(0)
-    asked = work.keep(asked.withColumn("loose", loose.cast("int")), "asked")
-    sizes = sorted({r[0] for r in asked.select(F.least("n", F.lit(RUN))).distinct().collect()}) or [RUN]  # RUN values at most
+    asked = asked.withColumn("loose", loose.cast("int"))
+    fits = F.col("n") - LONG_RUN + 1 - F.col("loose") * (2 * LONG_RUN - 1) >= SPARE
+    size = F.when(F.col("loose") > 0, F.when(fits, LONG_RUN).otherwise(RUN)).otherwise(F.least("n", F.lit(PLAIN_RUN)))
+    asked = asked.withColumn("size", size).withColumn("lost", F.col("loose") * (2 * F.col("size") - 1))
+    asked = work.keep(asked.withColumn("needed", F.least(F.col("n") - F.col("size") + 1 - F.col("lost"), F.lit(SPARE))), "asked")
+    sizes = sorted(r[0] for r in asked.select("size").distinct().collect()) or [RUN]  # PLAIN_RUN values at most
     body = docs.select(F.col(doc_id).alias("__doc_id"), T.quote_key(F.col(text)).alias("__body"))
     places = _runs(body, "__doc_id", "__body", sizes)
     keys = work.keep(_keys(asked, places, sizes), "keys")
     hits = places.join(small(keys), "run")
     bands = F.floor((F.col("at") - F.col("place")) / (2 * F.col("loose") + 1)).cast("int")
-    hits = hits.select("__quote_id", "__doc_id", "bit", "needed", F.explode(F.array(bands, bands - 1)).alias("band"))
-    # Keys as bits: small buffers, so that most is added up before the shuffle.
-    words = range(-(-MOST_KEYS // BITS))
-    held = [F.bit_or(F.when(F.floor(F.col("bit") / BITS) == w, F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit") % BITS)).otherwise(F.lit(0).cast("bigint"))) for w in words]
-    found = hits.groupBy("__quote_id", "__doc_id", "band").agg(sum((F.bit_count(h) for h in held), F.lit(0)).alias("kept"), F.max("needed").alias("needed"))
+    hits = hits.select("__quote_id", "__doc_id", F.explode(F.array(bands, bands - 1)).alias("band"))
+    # Hits are no fewer than the different keys among them.
+    found = hits.groupBy("__quote_id", "__doc_id", "band").agg(F.count("*").alias("kept")).join(small(asked.select("__quote_id", "needed")), "__quote_id")
     found = work.keep(found.filter("kept >= needed").select("__quote_id", "__doc_id", "band"), "bands")
     return _status(found, asked, docs, doc_id, text).select(F.col("__quote_id").alias(quote_id), F.col("__doc_id").alias(doc_id), "quote_status")
 
 
 def _keys(asked: DataFrame, places: DataFrame, sizes: list[int]) -> DataFrame:
-    """(run, quote id, place, bit, loose, needed): the rarest runs of each quote, as many as may be lost
-    and some more, and how many of them stay in a match."""
-    size = F.least("n", F.lit(RUN))
+    """(run, quote id, place, loose): the rarest runs of each quote, as many as may be lost and some
+    more."""
     own = _runs(asked.select("__quote_id", "key"), "__quote_id", "key", sizes).withColumnRenamed("at", "place")
-    own = own.join(asked.select("__quote_id", "n", "loose", size.alias("size")), "__quote_id")
+    own = own.join(asked.select("__quote_id", "loose", "size", "lost", "needed"), "__quote_id")
     own = own.filter(F.get(F.array(*map(F.lit, sizes)), F.col("which")) == F.col("size"))
     counted = places.join(small(own.select("run").distinct()), "run").groupBy("run").agg(F.count("*").alias("times"))
-    lost = F.col("loose") * (2 * RUN - 1)
-    stay = F.col("n") - F.col("size") + 1 - lost
-    needed = F.least(stay, F.lit(SPARE)).cast("int")
     rank = F.row_number().over(Window.partitionBy("__quote_id").orderBy(F.coalesce("times", F.lit(0)), "place", "run"))
-    ranked = own.join(counted, "run", "left").withColumn("needed", needed).withColumn("rank", rank)
-    return ranked.filter(F.col("rank") <= lost + F.col("needed")).select("run", "__quote_id", "place", (F.col("rank") - 1).alias("bit"), "loose", "needed")
+    ranked = own.join(counted, "run", "left").withColumn("rank", rank)
+    return ranked.filter(F.col("rank") <= F.col("lost") + F.col("needed")).select("run", "__quote_id", "place", "loose")
 
 
 def _status(bands: DataFrame, asked: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lorekiln.operators.ranges import Ranges, Running
 from lorekiln.sources.shared import Workspace
 
 _EXIT = pa.struct([("begun", pa.int64()), ("rows", pa.int64()), ("total", pa.float64())])
@@ -30,11 +31,11 @@ def previous_header(df: DataFrame, keys: list[str], order: str, header: Column)
 
 
 def merged_islands(df: DataFrame, keys: list[str], begin: str, end: str, gap: int | float = 1) -> DataFrame:
-    """Intervals that overlap or lie within ``gap`` are one: begin, end and number."""
-    order = Window.partitionBy(*keys).orderBy(begin, end)
-    reached = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.when(reached.isNull() | (F.col(begin) > reached + gap), 1).otherwise(0)
-    marked = df.withColumn("__fresh", fresh).withColumn("__island", F.sum("__fresh").over(order))
+    """Intervals that overlap or lie within ``gap`` are one: begin, end and number. A group's intervals
+    lie in as many tasks as they fill."""
+    scan = Ranges(df, keys, [begin, end]).add(__reached=Running("max", F.col(end), before=True))
+    fresh = F.when(F.col("__reached").isNull() | (F.col(begin) > F.col("__reached") + gap), 1).otherwise(0)
+    marked = scan.add(__island=Running("sum", fresh)).result()
     return marked.groupBy(*keys, "__island").agg(F.min(begin).alias("island_begin"), F.max(end).alias("island_end"), F.count("*").alias("members")).drop("__island")
 
 
@@ -68,9 +69,8 @@ def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def within_budget(df: DataFrame, group: str, order: list[str], cost: str, cap: float) -> DataFrame:
-    """Rows of each group whose running cost stays within the cap."""
-    frame = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("running_cost", F.sum(cost).over(frame)).filter(F.col("running_cost") <= cap)
+    """Rows of each group whose running cost stays within the cap; a group may lie in many tasks."""
+    return Ranges(df, [group], order).add(running_cost=Running("sum", F.col(cost))).result().filter(F.col("running_cost") <= cap)
 
 
 class Limits(NamedTuple):
@@ -177,8 +177,7 @@ def bin_fill(df: DataFrame, group: str, order: str, size: str, most_rows: int, m
 def ranked_soft_cap(df: DataFrame, group: str, order: list[str], size: str, most_rows: int, soft: float) -> DataFrame:
     """The best rows of a group: at most ``most_rows``, and none after the running size has
     passed ``soft``; the first always stays."""
-    by = Window.partitionBy(group).orderBy(*order)
-    ranked = df.withColumn("rank", F.row_number().over(by)).withColumn("before", F.coalesce(F.sum(size).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+    ranked = Ranges(df, [group], order).add(rank=Running("count"), before=Running("sum", F.col(size), before=True)).result()
     return ranked.filter((F.col("rank") == 1) | ((F.col("rank") <= most_rows) & (F.col("before") < soft)))
 
 
