@@ -1,9 +1,9 @@
 """Which blocks of its documents a tag is found in: quotes, aliases, titles, or none of them.
 
-Aliases may have several words and stand at word boundaries. A phrase is looked up by its rarest
-word: that word and the document are the key of the join, so a phrase meets only blocks of its
-tag's own documents that have the word, however common its other words are. Quotes are found alike
-by the rarest of their inner words. Only what meets is compared whole.
+Aliases may have several words and stand at word boundaries. A phrase is looked up by the rarest pair of
+its neighbouring words, or by its only word: that and the document are the key of the join, so a
+phrase meets only blocks of its tag's own documents that have the pair, however common its words are.
+Quotes are found alike by the rarest of their inner pairs. Only what meets is compared whole.
 """
 
 from __future__ import annotations
@@ -65,10 +65,25 @@ def _inner_words(quote: Column) -> Column:
     return F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))
 
 
+def _pairs(words: Column) -> Column:
+    """Neighbouring words."""
+    return F.transform(F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), lambda w, k: F.concat_ws(" ", F.get(words, k), w))
+
+
+def _phrase_keys(words: Column) -> Column:
+    """What a phrase of these words can be looked up by."""
+    return F.array_distinct(F.when(F.size(words) > 1, _pairs(words)).otherwise(words))
+
+
+def _text_keys(words: Column) -> Column:
+    """What phrases in a text of these words are looked up by."""
+    return F.array_distinct(F.concat(words, _pairs(words)))
+
+
 def _with_rarest(phrases: DataFrame, words: Column, counted: DataFrame) -> DataFrame:
-    """``phrases`` with ``rarest``, the one of their words that the fewest rows of ``counted`` (word,
-    times) have; null for phrases without words."""
-    keyed = phrases.withColumn("__words", F.array_distinct(words))
+    """``phrases`` with ``rarest``, the one of their keys that the fewest blocks have, by ``counted``
+    (word, times); null for phrases without words."""
+    keyed = phrases.withColumn("__words", T.let(words, _phrase_keys))
     used = keyed.select("__words", F.explode("__words").alias("word")).distinct()
     times = F.coalesce("times", F.lit(0))
     best = used.join(counted, "word", "left").groupBy("__words").agg(F.min(F.struct(times.alias("times"), "word")).alias("best"))
@@ -98,12 +113,13 @@ def find_match_hits(
     rows = blocks.filter(F.trim(F.regexp_replace(T.text_or_empty(F.col("text")), T.SPACES, " ")) != "").filter("block_index is not null")
     rows = rows.join(small(links.select("doc").distinct()), "doc", "left_semi")
     places = work.keep(rows.select("doc", "block_index", T.normalize_label(F.col("text")).alias("norm")), "blocks")
-    words = places.select("doc", "block_index", F.explode(F.array_distinct(_words(F.col("norm")))).alias("word"))
+    words = places.select("doc", "block_index", F.explode(T.let(_words(F.col("norm")), _text_keys)).alias("word"))
     asked = quotes.filter("mention is not null").select(F.col("mention").cast("string").alias("mention"), T.normalize_label(F.trim(F.col("quote"))).alias("wanted"))
     asked = work.keep(asked.filter(F.length("wanted") >= LEAST_QUOTE).distinct(), "quotes")
     terms = work.keep(terms, "all-terms")
-    # Only words of phrases are counted, and only the rarest of each phrase leave their blocks.
-    used = terms.select(F.explode(_whole_words(F.col("term"))).alias("word")).union(asked.select(F.explode(_inner_words(F.col("wanted"))).alias("word")))
+    # Only keys of phrases are counted, and only the rarest of each phrase leave their blocks.
+    used = terms.select(F.explode(T.let(_whole_words(F.col("term")), _phrase_keys)).alias("word"))
+    used = used.union(asked.select(F.explode(T.let(_inner_words(F.col("wanted")), _phrase_keys)).alias("word")))
     counted = work.keep(words.join(small(work.keep(used.distinct(), "used")), "word").groupBy("word").agg(F.count("*").alias("times")), "counted")
     keyed = work.keep(_with_rarest(terms, _whole_words(F.col("term")), counted), "terms")
     asked = work.keep(_with_rarest(asked, _inner_words(F.col("wanted")), counted), "asked")
@@ -159,7 +175,7 @@ def _alias_blocks(pairs: DataFrame, terms: DataFrame, places: DataFrame, words:
 
 def _titles(others: DataFrame, terms: DataFrame, short_document: int) -> DataFrame:
     named = others.withColumn("title", T.normalize_label(F.col("name"))).filter("title <> ''")
-    titles = named.select("tag", "doc", "title", F.explode(F.array_distinct(_words(F.col("title")))).alias("rarest"))
+    titles = named.select("tag", "doc", "title", F.explode(T.let(_words(F.col("title")), _text_keys)).alias("rarest"))
     met = titles.join(terms, ["tag", "rarest"]).drop("rarest")
     wordless = named.select("tag", "doc", "title").join(terms.filter("rarest is null").drop("rarest"), "tag")
     found = met.unionByName(wordless).filter(place_of(F.col("term"), F.col("title")).isNotNull())
