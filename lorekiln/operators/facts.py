@@ -14,6 +14,8 @@ have 0.2 (n + m) - 2 runs of three characters in common: one of them is among th
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -23,22 +25,27 @@ from pyspark.sql import types
 
 from lorekiln.functions import similarity as S
 from lorekiln.functions import text as T
+from lorekiln.operators.quotes import small
 from lorekiln.operators.ranges import Ranges, Running
 from lorekiln.sources.shared import Workspace
 
 #: Fixed thresholds: similar claims by ratio or by shared words; groups of a tag.
 CLAIM_RATIO, CLAIM_JACCARD, MOST_GROUPS = 0.88, 0.82, 200
-#: Claims of a bucket that one task decides at a time.
+#: Rows of a bucket that one task decides at a time.
 BLOCK = 2000
+#: Words and numbers of claims, as :func:`lorekiln.functions.text.claim_words` and ``numbers`` have them.
+WORDS, NUMBERS = re.compile(T.CLAIM_WORD), re.compile(T.NUMBER)
 
 
 def _similar(a: dict, b: dict) -> bool:
     """Whether a later claim ``a`` is similar to ``b``."""
     if a["numbers"] and b["numbers"] and a["numbers"] != b["numbers"]:
         return False
-    union = len(a["words"] | b["words"])
-    if a["words"] and b["words"] and len(a["words"] & b["words"]) / union >= CLAIM_JACCARD:
-        return True
+    few, many = sorted((len(a["words"]), len(b["words"])))
+    if few and few >= CLAIM_JACCARD * many:
+        shared = len(a["words"] & b["words"])
+        if shared / (few + many - shared) >= CLAIM_JACCARD:
+            return True
     x, y = a["claim"], b["claim"]
     if not x or not y or 2 * min(len(x), len(y)) < CLAIM_RATIO * (len(x) + len(y)):
         return False
@@ -78,40 +85,82 @@ def _signs(nodes: DataFrame) -> DataFrame:
     return every.join(counts, ["of", "sign"]).withColumn("rank", rank).filter("rank <= most").select("tag", "kind", "node", F.concat_ws(":", "of", "sign").alias("sign"))
 
 
-def _fold(table: pa.Table) -> pa.Table:
-    """Decides a block of one bucket: rows are (node, claim, words, numbers, quote, base, known); ``base``
-    is the least similar group of earlier blocks, ``known`` that of the quote."""
-    rows = sorted(table.to_pylist(), key=lambda r: (r["node"], r["quote"]))
+def first_fit(units: Iterator[tuple[dict, str, int | None, int | None]]) -> Iterator[int]:
+    """The group, by its first claim's number, of each (claim, quote, base, known) in order. Claims carry
+    node, claim, words and numbers; ``base`` is the least similar group of earlier claims that are not
+    among these, ``known`` that of the quote."""
     firsts: list[dict] = []
     quotes: dict[str, int] = {}
-    out, now, group = [], None, None
-    for row in rows:
-        if now is None or row["node"] != now["node"]:
-            now = {"node": row["node"], "claim": row["claim"], "words": set(row["words"]), "numbers": set(row["numbers"])}
-            group = row["base"]
+    now, group = None, None
+    for claim, quote, base, known in units:
+        if now is None or claim["node"] != now:
+            now, group = claim["node"], base
             if group is None:
-                group = next((f["node"] for f in firsts if _similar(now, f)), None)
-        found = [g for g in (group, row["known"], quotes.get(row["quote"]) if row["quote"] else None) if g is not None]
+                group = next((f["node"] for f in firsts if _similar(claim, f)), None)
+        found = [g for g in (group, known, quotes.get(quote) if quote else None) if g is not None]
         if not found:
-            firsts.append(now)
-        group = min(found, default=row["node"])  # later rows of the claim have a member in it
-        if row["quote"]:
-            quotes[row["quote"]] = min(group, quotes.get(row["quote"], group))
-        out.append({"node": row["node"], "quote": row["quote"], "group": group})
-    return pa.Table.from_pylist(out, pa.schema([("node", pa.int64()), ("quote", pa.string()), ("group", pa.int64())]))
+            firsts.append(claim)
+        group = min(found, default=claim["node"])  # later rows of the claim have a member in it
+        if quote:
+            quotes[quote] = min(group, quotes.get(quote, group))
+        yield group
+
+
+def _fold(table: pa.Table) -> pa.Table:
+    """Decides a block of one bucket."""
+    rows = sorted(table.to_pylist(), key=lambda r: (r["node"], r["quote"]))
+    units = (({"node": r["node"], "claim": r["claim"], "words": set(r["words"]), "numbers": set(r["numbers"])}, r["quote"], r["base"], r["known"]) for r in rows)
+    columns = [[r["node"] for r in rows], [r["quote"] for r in rows], list(first_fit(units))]
+    return pa.Table.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())], ["node", "quote", "group"])
+
+
+def _whole(table: pa.Table) -> pa.Table:
+    """Decides a bucket of few rows: (tag, kind, id, group, rank), ``rank`` counts the bucket's groups."""
+    ids = table.column("id")
+    rows = table.select(["claim", "quote", "apart", "doc", "name"]).to_pylist()
+    order = sorted(range(len(rows)), key=lambda k: tuple(rows[k][c] for c in ("claim", "quote", "doc", "name")))
+    units, heads, last = [], [], None  # claims are numbered as they come
+    for k in order:
+        claim = rows[k]["claim"]
+        if last is None or (claim, rows[k]["apart"]) != last:
+            last = (claim, rows[k]["apart"])
+            words, numbers = set(WORDS.findall(claim)), {n.replace(",", ".") for n in NUMBERS.findall(claim)}
+            now = {"node": len(heads), "claim": claim, "words": words, "numbers": numbers}
+            heads.append(k)
+        units.append((now, rows[k]["quote"], None, None))
+    groups = list(first_fit(iter(units)))
+    ranks = {g: n for n, g in enumerate(sorted(set(groups)))}
+    at, first = pa.array(order, pa.int64()), pa.array([heads[g] for g in groups], pa.int64())
+    columns = [table.column("tag").take(at), table.column("kind").take(at), ids.take(at), ids.take(first), pa.array([ranks[g] for g in groups], pa.int64())]
+    return pa.Table.from_arrays(columns, ["tag", "kind", "id", "group", "rank"])
 
 
 def fact_groups(claims: DataFrame, tag: str, kind: str, id_col: str, claim: str, quote: str, doc: str, most: int = MOST_GROUPS, block: int = BLOCK) -> DataFrame:
     """(id, tag, kind, group, overflow) for every row of ``claims``: ``group`` is the id of its group's
     first row. Of a tag's groups beyond ``most``, in order of kind and first claim, ``overflow`` is true:
     such a group keeps its first row and goes to review. Null tags, kinds, claims and quotes count
-    as empty; ids are unique."""
+    as empty; ids are unique. Buckets of ``block`` rows and fewer are decided at once."""
     work = Workspace(claims.sparkSession, "fact-groups")
     text = lambda c: T.text_or_empty(F.col(c).cast("string"))
     rows = claims.select(text(tag).alias("tag"), text(kind).alias("kind"), F.col(id_col).alias("id"), text(doc).alias("doc"), T.claim_key(F.col(claim)).alias("claim"), T.claim_key(F.col(quote)).alias("quote"))
     # What has neither claim nor quote is like nothing else; what has no claim is told by its quote.
     apart = F.when(F.col("claim") != "", "").when(F.col("quote") != "", F.col("quote")).otherwise(F.concat(F.lit("\x00"), F.col("id").cast("string")))
     rows = work.keep(rows.withColumn("apart", apart), "rows")
+    large = work.keep(rows.groupBy("tag", "kind").agg(F.count("*").alias("n")).filter(F.col("n") > block).select("tag", "kind"), "large")
+    few = rows.join(small(large), ["tag", "kind"], "left_anti").withColumn("name", F.col("id").cast("string"))
+    kind_of_id = rows.schema["id"].dataType.simpleString()
+    placed = few.groupBy("tag", "kind").applyInArrow(_whole, f"tag string, kind string, id {kind_of_id}, group {kind_of_id}, rank bigint")
+    if not large.isEmpty():
+        placed = placed.unionByName(_in_blocks(rows.join(small(large), ["tag", "kind"], "left_semi"), block, work))
+    placed = work.keep(placed, "placed")
+    earlier = Window.partitionBy("tag").orderBy("kind").rowsBetween(Window.unboundedPreceding, -1)  # a row per kind
+    counts = placed.groupBy("tag", "kind").agg((F.max("rank") + 1).alias("groups")).withColumn("before", F.coalesce(F.sum("groups").over(earlier), F.lit(0)))
+    found = placed.join(counts.select("tag", "kind", "before"), ["tag", "kind"])
+    return found.select(F.col("id").alias(id_col), "tag", "kind", "group", (F.col("before") + F.col("rank") >= most).alias("overflow"))
+
+
+def _in_blocks(rows: DataFrame, block: int, work: Workspace) -> DataFrame:
+    """(tag, kind, id, group, rank) of buckets that are too large for one task."""
     same = ["tag", "kind", "claim", "apart"]
     first = F.min(F.struct("quote", "doc", F.col("id").cast("string").alias("name"), "id"))
     nodes = rows.groupBy(*same).agg(first.alias("first"))
@@ -120,11 +169,10 @@ def fact_groups(claims: DataFrame, tag: str, kind: str, id_col: str, claim: str,
     nodes = work.keep(nodes.withColumn("words", T.claim_words(F.col("claim"))).withColumn("numbers", T.numbers(F.col("claim"))), "nodes")
     units = work.keep(rows.join(nodes.select(*same, "node", "block"), same).groupBy("tag", "kind", "node", "block", "quote").agg(F.count("*").alias("copies")), "units")
     groups = _decided(nodes, units, work)
-    placed = rows.join(nodes.select(*same, "node"), same).join(groups, ["node", "quote"])
     heads = nodes.select(F.col("node").alias("group"), "tag", "kind", "first_id").join(groups.select("group").distinct(), "group")
-    ranked = Ranges(heads, ["tag"], ["kind", "group"]).add(before=Running("count", before=True)).result()
-    verdict = ranked.select("group", "first_id", (F.col("before") >= most).alias("overflow"))
-    return placed.join(verdict, "group").select(F.col("id").alias(id_col), "tag", "kind", F.col("first_id").alias("group"), "overflow")
+    ranked = Ranges(heads, ["tag", "kind"], ["group"]).add(rank=Running("count", before=True)).result()
+    placed = rows.join(nodes.select(*same, "node"), same).join(groups, ["node", "quote"])
+    return placed.join(ranked.select("group", "first_id", "rank"), "group").select("tag", "kind", "id", F.col("first_id").alias("group"), "rank")
 
 
 def _decided(nodes: DataFrame, units: DataFrame, work: Workspace) -> DataFrame:

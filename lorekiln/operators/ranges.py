@@ -71,6 +71,7 @@ class Ranges:
         for name, run in runs.items():
             rows = rows.withColumn(name, run.joined(F.col(f"__carry_{name}"), F.col(f"__run_{name}")))
         self.rows = self._kept(rows.select(*self.rows.columns, *runs))
+        self.work.drop(f"rows-{self.step - 1}")
         return self
 
     def result(self) -> DataFrame:

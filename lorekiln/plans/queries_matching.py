@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorekiln.functions import similarity as S
 from lorekiln.functions import text as T
-from lorekiln.operators import graph, links, pairs
+from lorekiln.operators import abbreviations, graph, links, pairs
 from lorekiln.plans.queries_text import SQL_KEY, SQL_TOKENS
 from lorekiln.plans.registry import Registry, table
 from lorekiln.sources.shared import Workspace
@@ -45,14 +45,16 @@ SQL_SCORED = f"""
 """
 
 
-def _part_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = table(spark, sf_dir, "part")
-    keys = {
+def _part_keys() -> dict[str, Column]:
+    return {
         "brand_name": F.concat("p_brand", F.lit("|"), "p_name"),
         "name_size": F.concat("p_name", F.lit("|"), F.col("p_size").cast("string")),
         "brand_type_size": F.concat("p_brand", F.lit("|"), F.col("p_size").cast("string")),
     }
-    return pairs.blocked_pairs(nodes, "p_partkey", "p_type", keys, CAPS)
+
+
+def _part_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.blocked_pairs(table(spark, sf_dir, "part"), "p_partkey", "p_type", _part_keys(), CAPS)
 
 
 def _rated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +70,18 @@ def jn_blocked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _part_pairs(spark, sf_dir)
 
 
+@REGISTRY.query("""
+    WITH k AS (
+        SELECT p_partkey AS id, p_type, 'brand_name' AS bucket, p_brand || '|' || p_name AS key FROM part
+        UNION ALL SELECT p_partkey, p_type, 'type_only', p_type FROM part
+    ) SELECT p_type, bucket, key, count(*) AS n FROM k GROUP BY ALL HAVING count(*) > CASE bucket WHEN 'brand_name' THEN 3 ELSE 100 END
+""")
+def jn_skipped_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets over their caps, which make no pairs."""
+    keys = {"brand_name": F.concat("p_brand", F.lit("|"), "p_name"), "type_only": F.col("p_type")}
+    return pairs.skipped_buckets(table(spark, sf_dir, "part"), "p_partkey", "p_type", keys, {"brand_name": 3, "type_only": 100})
+
+
 @REGISTRY.query(f"WITH {SQL_SCORED} SELECT left_id, right_id, round(jaccard, 6) AS jaccard, score FROM rated")
 def sim_pair_scores_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rated(spark, sf_dir).select("left_id", "right_id", F.round("jaccard", 6).alias("jaccard"), "score")
@@ -225,3 +239,32 @@ def jn_match_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     hits = [("quote", _quote_hits(spark, sf_dir)), ("alias", _alias_hits(spark, sf_dir)), ("short_document", docs.filter(F.length("text") < 500)), ("mention_only", docs)]
     return links.match_fallback(hits, ["doc_id"])
+
+
+#: Letters of a part's name, as an alias in parentheses: what a maker might print beside its type.
+SQL_ABBREVIATIONS = r"""
+    n AS (SELECT p_partkey AS id, lower(p_name) AS a, lower(p_type || ' (' || p_brand || ')') AS b, lower(p_brand) AS inner_alias FROM part),
+    w AS (SELECT *, list_transform(regexp_extract_all(a, '[\p{L}\p{N}_]+'), lambda x: x[1]) AS wa, list_transform(regexp_extract_all(b, '[\p{L}\p{N}_]+'), lambda x: x[1]) AS wb FROM n),
+    f AS (SELECT id, list_distinct([a, b]) AS labels, list_distinct(list_concat([{'f': inner_alias, 's': 'explicit_parenthetical'}],
+        CASE WHEN len(wa) BETWEEN 2 AND 6 THEN [{'f': array_to_string(wa, ''), 's': 'generated_acronym'}] ELSE [] END,
+        CASE WHEN len(wb) BETWEEN 2 AND 6 THEN [{'f': array_to_string(wb, ''), 's': 'generated_acronym'}] ELSE [] END)) AS forms FROM w)
+"""
+
+
+@REGISTRY.query(f"""
+    WITH {SQL_PAIRS}, {SQL_ABBREVIATIONS}, x AS (
+        SELECT left_id, right_id, list_filter(l.forms, lambda p: list_contains(list_transform(r.forms, lambda q: q.f), p.f)) AS lf,
+            list_filter(r.forms, lambda p: list_contains(list_transform(l.forms, lambda q: q.f), p.f)) AS rf
+        FROM pairs JOIN f l ON l.id = left_id JOIN f r ON r.id = right_id
+    ), y AS (SELECT left_id, right_id, list_distinct(list_transform(lf, lambda p: p.f)) AS fs, list_distinct(list_transform(list_concat(lf, rf), lambda p: p.s)) AS ss FROM x)
+    SELECT left_id, right_id, array_to_string(list_sort(fs), ',') AS abbreviations, array_to_string(list_sort(ss), ',') AS sources,
+        CASE WHEN len(fs) = 0 THEN 'none' WHEN list_contains(ss, 'explicit_parenthetical') THEN 'clean' ELSE 'weak' END AS abbreviation_match FROM y
+""")
+def sim_abbreviation_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short forms that two parts have in common, and what they are worth."""
+    nodes = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.array(F.concat("p_type", F.lit(" ("), "p_brand", F.lit(")"))).alias("aliases"))
+    work = Workspace(spark, "abbreviations")
+    described = work.keep(abbreviations.described(nodes, "p_partkey", "p_name", "aliases"), "described")
+    found = abbreviations.judged(_part_pairs(spark, sf_dir).select("left_id", "right_id"), described)
+    joined = [F.array_join(c, ",").alias(c) for c in ("abbreviations", "sources")]
+    return found.select("left_id", "right_id", *joined, "abbreviation_match")

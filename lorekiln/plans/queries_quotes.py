@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorekiln.functions import text as T
-from lorekiln.operators import matching, quotes
+from lorekiln.operators import catalogue, matching, quotes
 from lorekiln.plans.registry import Registry, table
 from lorekiln.plans.sql_text import SQL_QUOTE_KEY, sql_basic
 from lorekiln.sources.shared import Workspace
@@ -135,3 +135,33 @@ def top_first_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = matching.find_match_hits(**match_inputs(spark, sf_dir)).select("tag", "doc", "method", method.alias("m"), quality.alias("q"), block.alias("b"))
     best = hits.groupBy("tag", "doc").agg(F.min(F.struct("m", "q", "b", "method")).alias("best"), F.count("*").alias("hits_count"))
     return best.select("tag", "doc", F.col("best.method").alias("first_method"), "best.m", "best.q", F.col("best.b").alias("first_block"), "hits_count")
+
+
+@REGISTRY.query(rf"""
+    WITH c AS (SELECT p_brand AS tag, p_type AS entity_type, p_name AS alias, CASE WHEN p_size % 4 = 0 THEN p_type ELSE '' END AS alias_latin, p_partkey AS place,
+            ['n3_canonical', 'n1_canonical_candidate_ru', 'n1_surface', 'n1_auto_cluster_alias', 'n3_label', 'n1_canonical_candidate_latin', 'n4_generated'][p_size % 7 + 1] AS source, p_size % 7 AS rank
+        FROM part UNION ALL SELECT p_brand, p_type, upper(p_name) || '.', '', p_partkey, 'n4_generated', 6 FROM part),
+    k AS (SELECT *, {sql_basic('alias')} AS n FROM c),
+    o AS (SELECT * FROM k WHERE n <> '' QUALIFY row_number() OVER (PARTITION BY tag, entity_type, n ORDER BY rank, length(alias), place, alias) = 1),
+    m AS (SELECT p_brand AS tag, {sql_basic('p_name')} AS n, count(*) AS mentions, count(DISTINCT p_size) AS docs FROM part GROUP BY ALL),
+    b AS (SELECT DISTINCT p_brand AS tag, {sql_basic('p_name')} AS n FROM part WHERE p_retailprice > 2000),
+    s AS (SELECT o.*, coalesce(mentions, 0) AS mentions, coalesce(docs, 0) AS docs, b.n IS NOT NULL AS blocked FROM o LEFT JOIN m USING (tag, n) LEFT JOIN b USING (tag, n)),
+    i AS (SELECT DISTINCT entity_type, tag, unnest([n, {sql_basic('alias_latin')}]) AS v FROM s WHERE NOT blocked),
+    t AS (SELECT entity_type, v FROM i WHERE v <> '' GROUP BY ALL HAVING count(DISTINCT tag) > 1)
+    SELECT 'al_' || substr(sha256(tag || chr(10) || s.entity_type || chr(10) || n), 1, 16) AS alias_id, tag, s.entity_type, alias, n AS alias_norm, alias_latin, source AS alias_source,
+        CASE WHEN blocked THEN 'blocked_active_substance_candidate' ELSE 'active' END AS alias_status, mentions AS mention_count, docs AS document_count, t.v IS NOT NULL AS conflict,
+        blocked OR t.v IS NOT NULL AS needs_review, concat_ws(',', CASE WHEN t.v IS NOT NULL THEN 'alias_conflict' END, CASE WHEN blocked THEN 'blocked_active_substance_candidate' END) AS review_reasons
+    FROM s LEFT JOIN t ON t.entity_type = s.entity_type AND t.v = n
+""")
+def cls_alias_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands as tags, names of their parts as aliases from several sources."""
+    parts = table(spark, sf_dir, "part")
+    source = F.element_at(F.array(*map(F.lit, catalogue.SOURCES)), (F.col("p_size") % 7 + 1).cast("int"))
+    columns = [F.col("p_brand").alias("tag"), F.col("p_type").alias("entity_type")]
+    named = parts.select(*columns, F.col("p_name").alias("alias"), F.when(F.col("p_size") % 4 == 0, F.col("p_type")).otherwise("").alias("alias_latin"), source.alias("source"), F.col("p_partkey").alias("place"))
+    loud = parts.select(*columns, F.concat(F.upper("p_name"), F.lit(".")), F.lit(""), F.lit("n4_generated"), F.col("p_partkey"))
+    norm = T.normalize_label(F.col("p_name")).alias("alias_norm")
+    counts = parts.select(F.col("p_brand").alias("tag"), norm, "p_size").groupBy("tag", "alias_norm").agg(F.count("*").alias("mention_count"), F.countDistinct("p_size").alias("document_count"))
+    blocked = parts.filter("p_retailprice > 2000").select(F.col("p_brand").alias("tag"), norm)
+    rows = catalogue.alias_rows(named.union(loud), counts, blocked)
+    return rows.withColumn("review_reasons", F.array_join("review_reasons", ","))
