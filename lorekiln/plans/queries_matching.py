@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lorekiln.functions import similarity as S
 from lorekiln.functions import text as T
-from lorekiln.operators import abbreviations, graph, links, pairs
+from lorekiln.operators import abbreviations, graph, links, pair_features, pairs
 from lorekiln.plans.queries_text import SQL_KEY, SQL_TOKENS
 from lorekiln.plans.registry import Registry, table
 from lorekiln.sources.shared import Workspace
@@ -268,3 +268,18 @@ def sim_abbreviation_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = abbreviations.judged(_part_pairs(spark, sf_dir).select("left_id", "right_id"), described)
     joined = [F.array_join(c, ",").alias(c) for c in ("abbreviations", "sources")]
     return found.select("left_id", "right_id", *joined, "abbreviation_match")
+
+
+@REGISTRY.query()
+def sim_pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reasons and scores of all candidate pairs of parts; tests add them up one by one."""
+    none = F.array().cast("array<string>")
+    nodes = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("label"), F.array(F.concat("p_type", F.lit(" ("), "p_brand", F.lit(")"))).alias("aliases"), F.lit("supplement").alias("entity_type"),
+        F.lit("").alias("latin"), F.concat_ws("|", "p_brand", "p_name").alias("product_key"), F.array(F.col("p_size").cast("string")).alias("documents"),
+        F.when(F.col("p_size") % 9 == 0, F.array(F.lit("low_confidence"))).otherwise(none).alias("risk_flags"), F.lit(1).alias("mentions_count"), (F.col("p_size") % 2).alias("context_only_count"),
+    )
+    featured = Workspace(spark, "pair-features").keep(pair_features.featured(nodes), "nodes")
+    found = pair_features.scored(_part_pairs(spark, sf_dir).select("left_id", "right_id"), featured)
+    joined = [F.array_join(c, ",").alias(c) for c in ("clean_reasons", "weak_reasons", "risk_reasons")]
+    return found.select("left_id", "right_id", "score", *joined, "token_similarity", "sequence_similarity")
