@@ -127,8 +127,11 @@ def find_match_hits(
     words = work.keep(words.join(small(work.keep(rarest, "rarest")), "word"), "words")
     filled = places.groupBy("doc").agg(F.array_sort(F.collect_list("block_index")).alias("filled"))
     pairs = work.keep(pairs.join(filled, "doc"), "pairs")
-    quoted = work.keep(_quote_blocks(links, asked, places, words), "quote-hits")
-    named = work.keep(_alias_blocks(pairs, keyed, places, words), "alias-hits")
+    met = work.keep(_met(links, pairs, asked, keyed, places, words), "met")
+    quoted = met.filter("mention is not null").groupBy("tag", "doc", "block_index").agg(_listed(F.col("mention")).alias("mentions"))
+    quoted = work.keep(_hit(quoted, "quote_match", F.lit("high"), F.array("block_index"), F.col("mentions")), "quote-hits")
+    named = _matched(met.filter("mention is null"), ["tag", "doc", "block_index"], ("high", "medium"))
+    named = work.keep(_hit(named, "alias_match", F.col("quality"), F.array("block_index"), aliases=F.col("aliases")), "alias-hits")
     found = quoted.select("tag", "doc").union(named.select("tag", "doc")).distinct()
     others = work.keep(pairs.join(found, ["tag", "doc"], "left_anti").join(docs.select("doc", "name", "length"), "doc", "left"), "others")
     titled = work.keep(_titles(others, keyed, short_document), "title-hits")
@@ -145,14 +148,18 @@ def _hit(rows: DataFrame, method: str, quality: Column, indexes: Column, mention
     )
 
 
-def _quote_blocks(links: DataFrame, quotes: DataFrame, places: DataFrame, words: DataFrame) -> DataFrame:
-    asked = links.select("tag", "doc", "mention").distinct().join(quotes, "mention")
-    by_word = asked.filter("rarest is not null").withColumnRenamed("rarest", "word").join(words, ["doc", "word"]).drop("word")
-    met = by_word.join(places, ["doc", "block_index"])
+def _met(links: DataFrame, pairs: DataFrame, quotes: DataFrame, terms: DataFrame, places: DataFrame, words: DataFrame) -> DataFrame:
+    """(tag, doc, block_index, term, canonical, compact, mention): quotes of a tag's mentions, which have
+    a mention, and its aliases in the blocks where they stand. Texts are joined once, to both."""
+    own = links.select("tag", "doc", "mention").distinct().join(quotes, "mention")
+    own = own.select("tag", "doc", F.col("wanted").alias("term"), F.lit(False).alias("canonical"), F.lit(0).alias("compact"), "mention", "rarest")
+    named = pairs.select("tag", "doc").join(terms.filter(F.col("compact") >= LEAST_ALIAS), "tag")
+    named = named.select("tag", "doc", "term", "canonical", "compact", F.lit(None).cast("string").alias("mention"), "rarest")
+    asked = own.unionByName(named)
+    by_word = asked.filter("rarest is not null").withColumnRenamed("rarest", "word").join(words, ["doc", "word"]).drop("word").join(places, ["doc", "block_index"])
     wordless = asked.filter("rarest is null").drop("rarest").join(places, "doc")  # quotes of one or two words
-    found = met.unionByName(wordless).filter(F.contains("norm", "wanted"))
-    hits = found.groupBy("tag", "doc", "block_index").agg(_listed(F.col("mention")).alias("mentions"))
-    return _hit(hits, "quote_match", F.lit("high"), F.array("block_index"), F.col("mentions"))
+    stands = F.when(F.col("mention").isNotNull(), F.contains("norm", "term")).otherwise(place_of(F.col("term"), F.col("norm")).isNotNull())
+    return by_word.unionByName(wordless).filter(stands).drop("norm")
 
 
 def _matched(rows: DataFrame, keys: list[str], quality: tuple[str, str]) -> DataFrame:
@@ -163,16 +170,6 @@ def _matched(rows: DataFrame, keys: list[str], quality: tuple[str, str]) -> Data
     return rows.groupBy(*keys).agg(F.when(strong, quality[0]).otherwise(quality[1]).alias("quality"), listed.alias("aliases"))
 
 
-def _alias_blocks(pairs: DataFrame, terms: DataFrame, places: DataFrame, words: DataFrame) -> DataFrame:
-    asked = pairs.select("tag", "doc").join(terms.filter(F.col("compact") >= LEAST_ALIAS), "tag")
-    by_word = asked.filter("rarest is not null").withColumnRenamed("rarest", "word").join(words, ["doc", "word"]).drop("word")
-    met = by_word.join(places, ["doc", "block_index"])
-    wordless = asked.filter("rarest is null").drop("rarest").join(places, "doc")
-    found = met.unionByName(wordless).filter(place_of(F.col("term"), F.col("norm")).isNotNull())
-    hits = _matched(found, ["tag", "doc", "block_index"], ("high", "medium"))
-    return _hit(hits, "alias_match", F.col("quality"), F.array("block_index"), aliases=F.col("aliases"))
-
-
 def _titles(others: DataFrame, terms: DataFrame, short_document: int) -> DataFrame:
     named = others.withColumn("title", T.normalize_label(F.col("name"))).filter("title <> ''")
     titles = named.select("tag", "doc", "title", F.explode(T.let(_words(F.col("title")), _text_keys)).alias("rarest"))
