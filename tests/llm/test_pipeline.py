@@ -69,7 +69,7 @@ def test_stages(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_with_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "embeddings"):
+    for table in ("documents", "pages", "embeddings", "conversations"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     df = queries.QUERIES[name](spark, DATA)
     columns = sorted(df.columns)
@@ -81,4 +81,4 @@ def test_query_with_sql(spark, name):
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert {f"op{n}_" for n in range(1, 11)} <= {k.split("_")[0] + "_" for k in names} and "pipeline" in names
+    assert {f"op{n}_" for n in range(1, 14)} <= {k.split("_")[0] + "_" for k in names} and "pipeline" in names
