@@ -14,10 +14,12 @@ have 0.2 (n + m) - 2 runs of three characters in common: one of them is among th
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,28 +39,117 @@ BLOCK = 2000
 WORDS, NUMBERS = re.compile(T.CLAIM_WORD), re.compile(T.NUMBER)
 
 
-def _similar(a: dict, b: dict) -> bool:
-    """Whether a later claim ``a`` is similar to ``b``."""
-    if a["numbers"] and b["numbers"] and a["numbers"] != b["numbers"]:
-        return False
-    few, many = sorted((len(a["words"]), len(b["words"])))
-    if few and few >= CLAIM_JACCARD * many:
+class Firsts:
+    """First claims of groups in order. A later claim is compared only with those that may be similar: by words with
+    the firsts of its rarest words, by ratio with those within bounds of length, of common characters (all firsts
+    at once) and of common runs of three. The bounds are proved, so that nothing similar is left out."""
+
+    BINS = 64
+
+    def __init__(self) -> None:
+        self.claims: list[dict] = []
+        self.signs: list[frozenset | None] = []
+        self.words: dict[str, list[int]] = {}
+        self.kinds: dict[frozenset, int] = {frozenset(): 0}
+        self.lengths, self.numbers = np.zeros(16, np.int64), np.zeros(16, np.int64)
+        self.chars = np.zeros((16, self.BINS), np.int32)
+
+    def _seen(self, claim: dict) -> None:
+        """What bounds need of a claim, worked out once."""
+        if "chars" not in claim:
+            codes = np.frombuffer(claim["claim"].encode("utf-32-le", "surrogatepass"), np.uint32)
+            claim["chars"] = np.bincount(codes % self.BINS, minlength=self.BINS).astype(np.int32)
+            claim["kind"] = self.kinds.setdefault(frozenset(claim["numbers"]), len(self.kinds))
+
+    @staticmethod
+    def _runs(text: str) -> frozenset:
+        """All runs of three characters, told apart by how often they came before."""
+        times: dict[str, int] = {}
+        out = []
+        for k in range(len(text) - 2):
+            run = text[k : k + 3]
+            n = times[run] = times.get(run, 0) + 1
+            out.append(run if n == 1 else (run, n))
+        return frozenset(out)
+
+    def add(self, claim: dict) -> None:
+        self._seen(claim)
+        at = len(self.claims)
+        if at == len(self.lengths):
+            self.lengths, self.numbers, self.chars = (np.concatenate([c, np.zeros_like(c)]) for c in (self.lengths, self.numbers, self.chars))
+        self.lengths[at], self.numbers[at], self.chars[at] = len(claim["claim"]), claim["kind"], claim["chars"]
+        for word in claim["words"]:
+            self.words.setdefault(word, []).append(at)
+        self.signs.append(claim.get("runs"))  # most are never asked for
+        claim.pop("masks", None)
+        self.claims.append(claim)
+
+    def _by_words(self, claim: dict) -> set[int]:
+        """Firsts that share enough words. Of so many words all but a few are shared, one of the rarest is."""
+        size, found = len(claim["words"]), set()
+        if size:
+            few = size - math.ceil(CLAIM_JACCARD * size - 1e-9) + 1
+            for places in sorted((self.words.get(w, []) for w in claim["words"]), key=len)[:few]:
+                found.update(places)
+        return {k for k in found if self._share(claim, self.claims[k])}
+
+    @staticmethod
+    def _share(a: dict, b: dict) -> bool:
+        few, many = sorted((len(a["words"]), len(b["words"])))
+        if few < CLAIM_JACCARD * many:
+            return False
         shared = len(a["words"] & b["words"])
-        if shared / (few + many - shared) >= CLAIM_JACCARD:
-            return True
-    x, y = a["claim"], b["claim"]
-    if not x or not y or 2 * min(len(x), len(y)) < CLAIM_RATIO * (len(x) + len(y)):
-        return False
-    match = SequenceMatcher(None, x, y)
-    return match.quick_ratio() >= CLAIM_RATIO and match.ratio() >= CLAIM_RATIO
+        return shared / (few + many - shared) >= CLAIM_JACCARD
+
+    def _close(self, claim: dict, k: int) -> bool:
+        text, other = claim["claim"], self.claims[k]["claim"]
+        size = len(text) + len(other)
+        if "runs" not in claim:
+            claim["runs"] = self._runs(text)
+        if self.signs[k] is None:
+            self.signs[k] = self._runs(other)
+        if len(claim["runs"] & self.signs[k]) < 0.2 * size - 2.0001:
+            return False
+        if size <= S.LCS_LONGEST:
+            if "masks" not in claim:
+                claim["masks"] = S.places(text)
+            if 2 * S.common_in_order(claim["masks"], len(text), other) < (CLAIM_RATIO - 1e-9) * size:
+                return False
+        return SequenceMatcher(None, text, other).ratio() >= CLAIM_RATIO
+
+    def near(self, claim: dict) -> int | None:
+        """The node of the earliest first that ``claim`` is similar to."""
+        n = len(self.claims)
+        if not n:
+            return None
+        self._seen(claim)
+        able = (self.numbers[:n] == claim["kind"]) | (self.numbers[:n] == 0) | (claim["kind"] == 0)
+        best = min((k for k in self._by_words(claim) if able[k]), default=n)
+        text = claim["claim"]
+        if text and best:
+            lengths = self.lengths[:best]
+            total = lengths + len(text)
+            open_ = np.flatnonzero(able[:best] & (lengths > 0) & (2 * np.minimum(lengths, len(text)) >= CLAIM_RATIO * total))
+            common = np.minimum(self.chars[open_], claim["chars"]).sum(axis=1)
+            for k in open_[2 * common >= (CLAIM_RATIO - 1e-9) * total[open_]].tolist():
+                if self._close(claim, k):
+                    best = k
+                    break
+        return self.claims[best]["node"] if best < n else None
 
 
 @F.arrow_udf(types.BooleanType())
 def _ratio_reached(later: pa.Array, first: pa.Array) -> pa.Array:
     out = []
     for x, y in zip(later.to_pylist(), first.to_pylist(), strict=True):
-        match = None if x is None else SequenceMatcher(None, x, y)
-        out.append(None if match is None else match.quick_ratio() >= CLAIM_RATIO and match.ratio() >= CLAIM_RATIO)
+        if x is None:
+            out.append(None)
+            continue
+        match, size = SequenceMatcher(None, x, y), len(x) + len(y)
+        able = match.quick_ratio() >= CLAIM_RATIO
+        if able and size <= S.LCS_LONGEST:
+            able = 2 * S.common_in_order(S.places(x), len(x), y) >= (CLAIM_RATIO - 1e-9) * size
+        out.append(able and match.ratio() >= CLAIM_RATIO)
     return pa.array(out, pa.bool_())
 
 
@@ -89,17 +180,17 @@ def first_fit(units: Iterator[tuple[dict, str, int | None, int | None]]) -> Iter
     """The group, by its first claim's number, of each (claim, quote, base, known) in order. Claims carry
     node, claim, words and numbers; ``base`` is the least similar group of earlier claims that are not
     among these, ``known`` that of the quote."""
-    firsts: list[dict] = []
+    firsts = Firsts()
     quotes: dict[str, int] = {}
     now, group = None, None
     for claim, quote, base, known in units:
         if now is None or claim["node"] != now:
             now, group = claim["node"], base
             if group is None:
-                group = next((f["node"] for f in firsts if _similar(claim, f)), None)
+                group = firsts.near(claim)
         found = [g for g in (group, known, quotes.get(quote) if quote else None) if g is not None]
         if not found:
-            firsts.append(claim)
+            firsts.add(claim)
         group = min(found, default=claim["node"])  # later rows of the claim have a member in it
         if quote:
             quotes[quote] = min(group, quotes.get(quote, group))

@@ -116,3 +116,19 @@ def test_running_numbers_of_groups_in_many_ranges(spark, partitions):
         wanted[k] = (place, total, most)
         seen[g] = (place + 1, total, n if most is None else max(most, n or 0))
     assert got == wanted
+
+
+def test_few_claims_are_matched_character_by_character(monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(400)]
+    lines = [" ".join(rng.choices(words, k=60)) for _ in range(150)]
+    lines += [line.replace(line.split()[3], "changed", 1) for line in lines[::10]] + [line[::-1] for line in lines[:5]]
+    made = []
+    monkeypatch.setattr(facts, "SequenceMatcher", lambda *a: made.append(a) or SequenceMatcher(*a))
+    units = [({"node": k, "claim": c, "words": set(facts.WORDS.findall(c)), "numbers": set()}, "", None, None) for k, c in enumerate(lines)]
+    got = list(facts.first_fit(iter(units)))
+    wanted: list = []
+    for k, line in enumerate(lines):
+        wanted.append(next((f for f in range(k) if wanted[f] == f and similar(line, lines[f])), k))
+    assert got == wanted and len(set(got)) < len(lines)
+    assert len(made) < 200  # all firsts, one by one, are more than 10 000
