@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -41,3 +41,12 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, pa.A
         total += size
     if begin < len(texts):
         yield begin, texts.slice(begin)
+
+
+def by_slices(texts: pa.Array, work: Callable[[list], list], kind: pa.DataType) -> pa.Array:
+    """``work`` of all texts, slice after slice: Python objects stand for one slice at a time."""
+    parts = [pa.array(work(part.to_pylist()), kind) for _, part in slices(texts)]
+    found = pa.concat_arrays(parts) if parts else pa.array([], kind)
+    del parts
+    release_memory()
+    return found

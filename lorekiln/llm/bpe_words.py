@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lorekiln.llm.batches import small_batches
+from lorekiln.functions.batches import small_batches
 from lorekiln.llm.word_encoder import TOGETHER
 
 #: Bytes of text in a block; bytes of a corpus per group of words; places in a row.

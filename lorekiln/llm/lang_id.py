@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorekiln.llm.batches import small_batches
+from lorekiln.functions.batches import small_batches
 
 UNDETERMINED = "und"
 #: Pieces of labelled texts that a language's dictionary is made of, and their characters at most:

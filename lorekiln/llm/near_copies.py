@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorekiln.llm.batches import release_memory, small_batches
+from lorekiln.functions.batches import release_memory, small_batches
 from lorekiln.llm.simhash_dedup import HOMES, corrected, meetings, name_components, shingles, syndromes
 from lorekiln.llm.stars import spanning_forest
 from lorekiln.operators.graph import connected_components

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorekiln.llm.batches import release_memory, slices, small_batches
+from lorekiln.functions.batches import release_memory, slices, small_batches
 from lorekiln.llm.word_encoder import word_encoder
 
 WINDOW = 1024

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorekiln.llm.batches import small_batches
+from lorekiln.functions.batches import small_batches
 from lorekiln.llm.stars import spanning_stars
 from lorekiln.operators.graph import connected_components
 from lorekiln.sources.shared import Workspace

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from lorekiln.llm.batches import release_memory, slices, small_batches
+from lorekiln.functions.batches import release_memory, slices, small_batches
 from lorekiln.llm.word_encoder import word_encoder
 from lorekiln.sources.shared import Workspace
 

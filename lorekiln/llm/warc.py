@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorekiln.llm.batches import small_batches
+from lorekiln.functions.batches import small_batches
 from lorekiln.sources.shared import Workspace
 
 #: Fixed values of the format: magic numbers of the dictionary's frame and of empty frames.
