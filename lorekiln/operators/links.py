@@ -83,10 +83,12 @@ def group_edges(members: DataFrame, nodes: DataFrame, group: str, node: str, clu
     """(group, clusters_count, first_cluster, last_cluster, verdict) of accepted groups. The first
     verdict that holds: unknown_node, unknown_cluster, cross_type, no_edge (one cluster), edge."""
     known = nodes.select(F.col(node).alias("__node"), cluster, kind)
-    found = members.select(group, node).distinct().join(known, F.col(node) == F.col("__node"), "left")
+    # Repeated rows change none of these, and sets of clusters and kinds need no copies of the rows.
+    found = members.select(group, node).join(known, F.col(node) == F.col("__node"), "left")
     sums = found.groupBy(group).agg(
         F.bool_or(F.col("__node").isNull()).alias("lost"), F.bool_or(F.col("__node").isNotNull() & F.col(cluster).isNull()).alias("unplaced"),
-        F.countDistinct(kind).alias("kinds"), F.countDistinct(cluster).alias("clusters_count"), F.min(cluster).alias("first_cluster"), F.max(cluster).alias("last_cluster"),
+        F.size(F.collect_set(kind)).alias("kinds"), F.size(F.collect_set(cluster)).cast("long").alias("clusters_count"),
+        F.min(cluster).alias("first_cluster"), F.max(cluster).alias("last_cluster"),
     )
     verdict = F.when(F.col("lost"), "unknown_node").when(F.col("unplaced"), "unknown_cluster").when(F.col("kinds") > most_kinds, "cross_type")
     verdict = verdict.when(F.col("clusters_count") < 2, "no_edge").otherwise("edge")
