@@ -41,6 +41,9 @@ MASK = np.uint64(0x7FF << 44)
 LEAST, MOST = 256, 16384
 IDS = 1 << 16
 BLOCK_DOCS = 1000
+#: Documents and bytes of text that are tokenized at a time: their distinct words are looked up, and their
+#: chunks stored, once.
+SLICE_DOCS, SLICE_BYTES = 4000, 16 << 20
 
 MANIFEST = ("level", "part", "block", "first_start", "n_docs", "n_tokens", "root")
 PARTS = "doc_id bigint, n_tokens bigint, digests array<binary>, root binary, digest binary, data binary"
@@ -108,7 +111,7 @@ def _chunked(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col
         encoder = word_encoder(tokenizer, False)
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for begin, texts in slices(batch.column(1)):
+            for begin, texts in slices(batch.column(1), SLICE_BYTES):
                 each = [np.concatenate([ids, end]) for ids in encoder.encode(texts)]
                 sizes = np.array([len(ids) for ids in each])
                 ends = np.cumsum(sizes)
@@ -192,7 +195,7 @@ def _manifest(recipes: DataFrame) -> DataFrame:
 
 def write_store(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Tokenizes ``docs`` into a new store and returns its folder."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, SLICE_DOCS)
     work = Workspace(docs.sparkSession, "token-store")
     both = work.keep(_chunked(docs, tokenizer, end_id, id_col, text_col), "chunked")
     chunks = both.filter("digest is not null").select("digest", "data")

@@ -93,3 +93,11 @@ def test_chunks_follow_content_not_place():
 def test_empty_table(spark):
     folder = token_store.write_store(spark.createDataFrame([], SCHEMA), PATH)
     assert token_store.read_documents(spark, folder).count() == 0
+
+
+def test_copies_far_apart_in_a_slice_give_their_chunks_once(spark):
+    rng = random.Random(4)
+    text = [" ".join(f"w{rng.randrange(900)}" for _ in range(600_000)) for _ in range(2)]
+    docs = spark.createDataFrame([(1, text[0]), (2, text[1]), (3, text[0])], "doc_id long, text string").coalesce(1)
+    digests = token_store._chunked(docs, PATH, 1, "doc_id", "text").filter("digest is not null").select("digest")
+    assert digests.count() <= digests.distinct().count() + 1  # beyond 4 MB, copies were stored again
