@@ -65,19 +65,24 @@ def _inner_words(quote: Column) -> Column:
     return F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))
 
 
+def _singles(words: Column) -> Column:
+    """Hashes of words. Equal hashes of other words only make candidates: what meets is compared whole."""
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
 def _pairs(words: Column) -> Column:
-    """Neighbouring words."""
-    return F.transform(F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), lambda w, k: F.concat_ws(" ", F.get(words, k), w))
+    """Hashes of neighbouring words."""
+    return F.transform(F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), lambda w, k: F.xxhash64(F.get(words, k), w))
 
 
 def _phrase_keys(words: Column) -> Column:
     """What a phrase of these words can be looked up by."""
-    return F.array_distinct(F.when(F.size(words) > 1, _pairs(words)).otherwise(words))
+    return F.array_distinct(F.when(F.size(words) > 1, _pairs(words)).otherwise(_singles(words)))
 
 
 def _text_keys(words: Column) -> Column:
     """What phrases in a text of these words are looked up by."""
-    return F.array_distinct(F.concat(words, _pairs(words)))
+    return F.array_distinct(F.concat(_singles(words), _pairs(words)))
 
 
 def _with_rarest(phrases: DataFrame, words: Column, counted: DataFrame) -> DataFrame:
@@ -110,21 +115,25 @@ def find_match_hits(
     links = links.select("tag", "doc", F.col("mention").cast("string").alias("mention"), "sole").filter("tag is not null and doc is not null")
     links = work.keep(links, "links")
     pairs = links.groupBy("tag", "doc").agg(_listed(F.col("mention")).alias("mentions"), F.bool_or("sole").alias("sole"))
-    rows = blocks.filter(F.trim(F.regexp_replace(T.text_or_empty(F.col("text")), T.SPACES, " ")) != "").filter("block_index is not null")
+    rows = blocks.filter(F.col("text").rlike(r"[^ \t\n\r\f\x0B]")).filter("block_index is not null")
     rows = rows.join(small(links.select("doc").distinct()), "doc", "left_semi")
     places = work.keep(rows.select("doc", "block_index", T.normalize_label(F.col("text")).alias("norm")), "blocks")
     words = places.select("doc", "block_index", F.explode(T.let(_words(F.col("norm")), _text_keys)).alias("word"))
-    asked = quotes.filter("mention is not null").select(F.col("mention").cast("string").alias("mention"), T.normalize_label(F.trim(F.col("quote"))).alias("wanted"))
-    asked = work.keep(asked.filter(F.length("wanted") >= LEAST_QUOTE).distinct(), "quotes")
+    # Equal quotes of many mentions are normalized and looked up once.
+    quotes = quotes.filter("mention is not null").select(F.col("mention").cast("string").alias("mention"), "quote")
+    wanted = quotes.select("quote").distinct().withColumn("wanted", T.normalize_label(F.trim(F.col("quote"))))
+    wanted = work.keep(wanted.filter(F.length("wanted") >= LEAST_QUOTE), "quotes")
     terms = work.keep(terms, "all-terms")
-    # Only keys of phrases are counted, and only the rarest of each phrase leave their blocks.
+    # Only keys of phrases leave their blocks. They are taken from the texts once, and counted there.
     used = terms.select(F.explode(T.let(_whole_words(F.col("term")), _phrase_keys)).alias("word"))
-    used = used.union(asked.select(F.explode(T.let(_inner_words(F.col("wanted")), _phrase_keys)).alias("word")))
-    counted = work.keep(words.join(small(work.keep(used.distinct(), "used")), "word").groupBy("word").agg(F.count("*").alias("times")), "counted")
+    used = used.union(wanted.select(F.explode(T.let(_inner_words(F.col("wanted")), _phrase_keys)).alias("word")))
+    words = work.keep(words.join(small(work.keep(used.distinct(), "used")), "word"), "words")
+    counted = work.keep(words.groupBy("word").agg(F.count("*").alias("times")), "counted")
     keyed = work.keep(_with_rarest(terms, _whole_words(F.col("term")), counted), "terms")
-    asked = work.keep(_with_rarest(asked, _inner_words(F.col("wanted")), counted), "asked")
-    rarest = keyed.select(F.col("rarest").alias("word")).union(asked.select("rarest")).filter("word is not null").distinct()
-    words = work.keep(words.join(small(work.keep(rarest, "rarest")), "word"), "words")
+    wanted = work.keep(_with_rarest(wanted, _inner_words(F.col("wanted")), counted), "wanted")
+    asked = work.keep(quotes.join(small(wanted), "quote").select("mention", "wanted", "rarest").distinct(), "asked")
+    rarest = work.keep(keyed.select(F.col("rarest").alias("word")).union(wanted.select("rarest")).filter("word is not null").distinct(), "rarest")
+    words = words.join(small(rarest), "word")
     filled = places.groupBy("doc").agg(F.array_sort(F.collect_list("block_index")).alias("filled"))
     pairs = work.keep(pairs.join(filled, "doc"), "pairs")
     met = work.keep(_met(links, pairs, asked, keyed, places, words), "met")
@@ -133,8 +142,11 @@ def find_match_hits(
     named = _matched(met.filter("mention is null"), ["tag", "doc", "block_index"], ("high", "medium"))
     named = work.keep(_hit(named, "alias_match", F.col("quality"), F.array("block_index"), aliases=F.col("aliases")), "alias-hits")
     found = quoted.select("tag", "doc").union(named.select("tag", "doc")).distinct()
-    others = work.keep(pairs.join(found, ["tag", "doc"], "left_anti").join(docs.select("doc", "name", "length"), "doc", "left"), "others")
-    titled = work.keep(_titles(others, keyed, short_document), "title-hits")
+    others = work.keep(pairs.join(found, ["tag", "doc"], "left_anti").join(docs.select("doc", "length"), "doc", "left"), "others")
+    # A title is normalized once, not once per tag.
+    titles = docs.select("doc", "name").join(small(others.select("doc").distinct()), "doc", "left_semi")
+    titles = work.keep(titles.select("doc", T.normalize_label(F.col("name")).alias("title")).filter("title <> ''"), "titles")
+    titled = work.keep(_titles(others, titles, keyed, rarest, short_document), "title-hits")
     rest = _fallbacks(others.join(titled.select("tag", "doc"), ["tag", "doc"], "left_anti"), short_document)
     return quoted.unionByName(named).unionByName(titled).unionByName(rest)
 
@@ -158,8 +170,8 @@ def _met(links: DataFrame, pairs: DataFrame, quotes: DataFrame, terms: DataFrame
     asked = own.unionByName(named)
     by_word = asked.filter("rarest is not null").withColumnRenamed("rarest", "word").join(words, ["doc", "word"]).drop("word").join(places, ["doc", "block_index"])
     wordless = asked.filter("rarest is null").drop("rarest").join(places, "doc")  # quotes of one or two words
-    stands = F.when(F.col("mention").isNotNull(), F.contains("norm", "term")).otherwise(place_of(F.col("term"), F.col("norm")).isNotNull())
-    return by_word.unionByName(wordless).filter(stands).drop("norm")
+    stands = F.when(F.col("mention").isNotNull(), F.lit(True)).otherwise(place_of(F.col("term"), F.col("norm")).isNotNull())
+    return by_word.unionByName(wordless).filter(F.contains("norm", "term") & stands).drop("norm")
 
 
 def _matched(rows: DataFrame, keys: list[str], quality: tuple[str, str]) -> DataFrame:
@@ -170,12 +182,13 @@ def _matched(rows: DataFrame, keys: list[str], quality: tuple[str, str]) -> Data
     return rows.groupBy(*keys).agg(F.when(strong, quality[0]).otherwise(quality[1]).alias("quality"), listed.alias("aliases"))
 
 
-def _titles(others: DataFrame, terms: DataFrame, short_document: int) -> DataFrame:
-    named = others.withColumn("title", T.normalize_label(F.col("name"))).filter("title <> ''")
-    titles = named.select("tag", "doc", "title", F.explode(T.let(_words(F.col("title")), _text_keys)).alias("rarest"))
-    met = titles.join(terms, ["tag", "rarest"]).drop("rarest")
-    wordless = named.select("tag", "doc", "title").join(terms.filter("rarest is null").drop("rarest"), "tag")
-    found = met.unionByName(wordless).filter(place_of(F.col("term"), F.col("title")).isNotNull())
+def _titles(others: DataFrame, titles: DataFrame, terms: DataFrame, rarest: DataFrame, short_document: int) -> DataFrame:
+    pairs = others.select("tag", "doc").distinct()
+    keys = titles.select("doc", F.explode(T.let(_words(F.col("title")), _text_keys)).alias("word")).join(small(rarest), "word").distinct()
+    met = pairs.join(keys.withColumnRenamed("word", "rarest"), "doc").join(terms, ["tag", "rarest"]).drop("rarest")
+    wordless = pairs.join(terms.filter("rarest is null").drop("rarest"), "tag")
+    met = met.unionByName(wordless).join(titles, "doc")
+    found = met.filter(F.contains("title", "term") & place_of(F.col("term"), F.col("title")).isNotNull())
     hits = _matched(found, ["tag", "doc"], ("medium", "low")).join(others, ["tag", "doc"])
     reason = F.when(F.col("quality") == "low", "title_match_short_or_ambiguous_alias")
     return _hit(hits, "title_match", F.col("quality"), _blocks_of(short_document), aliases=F.col("aliases"), reason=reason)

@@ -154,3 +154,22 @@ def test_empty_tables(spark):
         own = list(rows)
         own[empty] = []
         assert sorted(tuple(r)[:8] for r in found(spark, *own).collect()) == brute_force(*own, 50)
+
+
+def test_equal_quotes_and_titles_are_normalized_once(spark, monkeypatch):
+    rows = {}
+    keep = matching.Workspace.keep
+    monkeypatch.setattr(matching.Workspace, "keep", lambda self, df, table: rows.setdefault(table, keep(self, df, table)))
+    mentions = [(f"t{k}", "d", f"m{k}", False) for k in range(20)]
+    own = ([("t0", "some title", True)], mentions, [("d", "Some Title", 9)], [("d", 0, "no such words")], [(m, "an equal quote") for *_, m, _ in mentions])
+    assert sorted(tuple(r)[:8] for r in found(spark, *own).collect()) == brute_force(*own, 50)
+    assert (rows["quotes"].count(), rows["titles"].count()) == (1, 1)
+
+
+def test_texts_that_need_no_forms_keep_them(spark):
+    stays = re.compile(f"[{T.UNCHANGED}]")
+    plain = [c for c in map(chr, range(0x3000)) if stays.fullmatch(c)]
+    assert all(unicodedata.normalize("NFKC", html.unescape(a + b)) == a + b for a in plain for b in plain)
+    odd = ["niño", "niño", "½ «año»", "Ё́", "a…", "Ⅳ", "“q”", "й", "й", "x‑y", "Ω Ω"]
+    df = spark.createDataFrame([(v,) for v in odd], "v string")
+    assert [r[0] for r in df.select(T.normalize_label(F.col("v"))).collect()] == [norm(v) for v in odd]
