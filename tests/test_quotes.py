@@ -137,3 +137,27 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
 
     with pytest.raises(ValueError, match="share"):
         shared.shared_root(Session())
+
+
+def test_plain_quotes_are_found_by_chunks_at_every_place(spark, monkeypatch):
+    """Without a row for every character of the texts; places before, over and behind the end of a piece."""
+    rng = random.Random(7)
+    letters = lambda n: "".join(rng.choice("abcdef") for _ in range(n))
+    asked = list(enumerate(letters(n) for n in (1, 2, 3, 4, 5, 9, 10, 11, 31, 32, 62, 63, 64, 120, 700)))
+    bodies = [(k * 100 + shift, letters(quotes.PIECE - len(quote) // 2 - shift) + quote + letters(shift)) for k, quote in asked for shift in range(0, 34, 3)]
+    monkeypatch.setattr(quotes, "_runs", None)
+    q, d = spark.createDataFrame(asked, "item_id long, quote string"), spark.createDataFrame(bodies, "doc_id long, text string")
+    found = quotes.find_quotes(q, "item_id", "quote", d, "doc_id", "text", fuzzy=False)
+    assert {(r[0], r[1]) for r in found.collect()} == {(k, j) for k, quote in asked for j, body in bodies if quote in body}
+
+
+def test_fuzzy_quotes_make_the_runs_of_the_texts_once(spark, monkeypatch):
+    made, runs = [], quotes._runs
+    monkeypatch.setattr(quotes, "_runs", lambda keys, key_col, text_col, sizes: made.append(text_col) or runs(keys, key_col, text_col, sizes))
+    q, d = spark.createDataFrame([(1, QUOTE[:150])], "item_id long, quote string"), spark.createDataFrame([(1, QUOTE[:150].replace("07", "77"))], "doc_id long, text string")
+    uses = []
+    monkeypatch.setattr(quotes, "_keys", lambda asked, places, sizes, keys=quotes._keys: uses.append(places.columns) or keys(asked, places, sizes))
+    assert [tuple(r) for r in quotes.find_quotes(q, "item_id", "quote", d, "doc_id", "text").collect()] == [(1, 1, "fuzzy")]
+    assert made.count("__body") == 1 and len(uses) == 1
+    # the table that keys are counted in has a row per chunk
+    assert quotes._chunks(d.selectExpr("doc_id as __doc_id", "text as __body"), [8]).count() == 150 // 8
