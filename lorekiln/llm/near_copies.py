@@ -6,9 +6,11 @@ block the anchors are a perfect Hamming code with all values of the bits beyond
 threshold is 0, so a fingerprint goes to the one anchor within the covering radius. As many
 blocks are drawn as a pair at the threshold needs to meet with the probability ``recall``.
 
-Who meets at an anchor is compared by 64 bits, and the pairs that remain by all 512. Those that are
+Who meets at an anchor is compared by 192 bits, and the pairs that remain by all 512. Those that are
 not clearly below the threshold are compared by their whole shingle sets, every one of them, so a
-link is a real one. Equal fingerprints are one row from the start.
+link is a real one. Equal fingerprints are one row from the start. Texts are never shuffled for
+their sets: a bitmap of fixed size over the hashes of the wanted ids picks them where they are read,
+and the fingerprint tells which of the picked ones are meant.
 
 This happens twice. The first turn takes a few of the blocks and passes on only a forest of the
 nearest pairs per task; its links join large groups of near copies, which meet in any block. The
@@ -43,19 +45,26 @@ from lorekiln.sources.shared import Workspace
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.99
 BITS = 512
 CODE_BITS = 15
-#: Bits of a block beyond the code's at least; more where anchors would have over 16 documents.
-PLAIN_BITS, SHARING = 9, 16
-#: Blocks of the first turn. At the threshold two texts meet in one of them with a chance of 2 in 5.
+#: Bits of a block beyond the code's at least; more where anchors would have over 512 documents.
+#: A row per document and block is shuffled and a pair at an anchor is only compared, so blocks are
+#: few and their bits too, until there are 2 ** 24 documents.
+PLAIN_BITS, SHARING = 4, 512
+#: Words of a fingerprint that go to the anchors.
+WORDS = 3
+#: Blocks of the first turn. At the threshold two texts meet in one of them with a chance of 7 in 10.
 FIRST = 16
 #: Members in a part of a component.
 PART = 64
 #: Rows of a group above which the first turn does not compare all its pairs.
-CROWD = 256
+CROWD = 1024
+#: Bits of the bitmap that picks texts by their ids, and of its rows.
+PICKED, PICKED_ROW = 1 << 25, 1 << 15
 #: Rows at an anchor from which a task reports it. What no task reports has fewer rows than this
 #: times the number of tasks and is not split; results are the same.
 SEEN = 64
 
 _RNG = np.random.default_rng(42)
+_PARTS = [f"part{w}" for w in range(WORDS)]
 _MASKS = _RNG.integers(0, 1 << 64, BITS // 64, np.uint64)
 _LOW = np.uint64(0x0101010101010101)
 
@@ -122,7 +131,8 @@ def _with_sets(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
         sets = [np.unique(shingles(t.as_py(), shingle)) for t in texts]
         return pa.StructArray.from_arrays([_lists(list(map(signature, sets))), pa.array([s.tobytes() for s in sets], pa.binary())], names=["fp", "hashes"])
 
-    return docs.select(of(F.col(text_col)).alias("found")).select("found.fp", "found.hashes")
+    # Else a filter on its result is moved before the choice of documents, and it runs on all of them.
+    return docs.select(of.asNondeterministic()(F.col(text_col)).alias("found")).select("found.fp", "found.hashes")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -154,19 +164,25 @@ def _sent(blocks: np.ndarray):
         for batch in batches:
             fps = _matrix(batch.column(1))
             for k, chosen in enumerate(blocks):
-                columns = [pa.array(anchors(fps, k, chosen)), batch.column(0), pa.array(fps[:, 0].copy()), *batch.columns[2:]]
-                yield pa.record_batch(columns, ["anchor", "node", "part", "label", "parts", "deal_of"])
+                words = [pa.array(fps[:, w].copy()) for w in range(WORDS)]
+                columns = [pa.array(anchors(fps, k, chosen)), batch.column(0), *words, *batch.columns[2:]]
+                yield pa.record_batch(columns, ["anchor", "node", *_PARTS, "label", "parts", "deal_of"])
         release_memory()
 
     return run
 
 
-def connecting(rows: np.ndarray, most: int, labels: np.ndarray | None = None) -> np.ndarray:
-    """Of rows (node, part, ...), pairs that connect all that are connected by differing in
+def apart_by(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of the words in the last dimension."""
+    return sum(np.bitwise_count((a[..., w] ^ b[..., w]).view(np.uint64)).astype(np.int16) for w in range(a.shape[-1]))
+
+
+def connecting(rows: np.ndarray, most: int, labels: np.ndarray | None = None, words: int = 1) -> np.ndarray:
+    """Of rows (node, part, ...), a part of ``words`` columns, pairs that connect all that are connected by differing in
     ``most`` bits; rows with one label are connected from the start. What is reached already is
     not compared again, so a crowd of like rows costs little more than one look at each. Clear
     likeness goes first, so that few pairs are doubtful."""
-    parts, found = rows[:, 1].copy().view(np.uint64), []
+    parts, found = rows[:, 1 : 1 + words].copy(), []
     label = np.arange(len(rows)) if labels is None else np.unique(labels, return_inverse=True)[1]
     for limit in (most // 2, most):
         waiting = np.ones(len(rows), bool)
@@ -178,7 +194,7 @@ def connecting(rows: np.ndarray, most: int, labels: np.ndarray | None = None) ->
                 some = np.array(reached[at : at + (64 if at else 1)])
                 at += len(some)
                 others = np.flatnonzero(waiting)
-                apart = np.bitwise_count(parts[some][:, None] ^ parts[others])
+                apart = apart_by(parts[some][:, None], parts[others])
                 best = apart.argmin(0)
                 near = apart[best, np.arange(len(others))] <= limit
                 if not near.any():
@@ -194,41 +210,51 @@ def connecting(rows: np.ndarray, most: int, labels: np.ndarray | None = None) ->
 
 def _proposed(most: int, forest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        label, parts, deal = range(1 + WORDS, 4 + WORDS)
+        words = slice(1, 1 + WORDS)
+
         def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            return (np.bitwise_count((a[:, 1] ^ b[:, 1]).view(np.uint64)) <= most) & (a[:, 2] != b[:, 2])
+            return (apart_by(a[:, words], b[:, words]) <= most) & (a[:, label] != b[:, label])
 
-        for pairs in meetings(batches, near, True, CROWD if forest else None, lambda rows: connecting(rows, most, rows[:, 2])):
+        for pairs in meetings(batches, near, True, CROWD if forest else None, lambda rows: connecting(rows, most, rows[:, label], WORDS)):
             if forest:
                 a, b = pairs[:, 0, 0], pairs[:, 1, 0]
-                keep = spanning_forest(a, b, np.bitwise_count((pairs[:, 0, 1] ^ pairs[:, 1, 1]).view(np.uint64)), 0)
+                keep = spanning_forest(a, b, apart_by(pairs[:, 0, words], pairs[:, 1, words]), 0)
                 yield pa.record_batch([pa.array(np.maximum(a, b)[keep]), pa.array(np.minimum(a, b)[keep])], ["src", "dst"])
             else:
                 # The smaller component visits a part of the larger one.
                 a, b = pairs[:, 0], pairs[:, 1]
-                at_left = ((a[:, 3] > b[:, 3]) | (a[:, 3] == b[:, 3]) & (a[:, 2] < b[:, 2]))[:, None]
+                at_left = ((a[:, parts] > b[:, parts]) | (a[:, parts] == b[:, parts]) & (a[:, label] < b[:, label]))[:, None]
                 home, guest = np.where(at_left, a, b), np.where(at_left, b, a)
-                found = np.unique(np.stack([guest[:, 0], home[:, 2], home[:, 4]], axis=1), axis=0)
-                yield pa.record_batch([pa.array(c) for c in found.T.copy()], ["node", "label", "deal"])
+                found = np.unique(np.stack([guest[:, 0], home[:, label], home[:, deal]], axis=1), axis=0)
+                # A guest that meets many parts of a component at an anchor is one row.
+                begins = np.flatnonzero(np.append(True, (found[1:, :2] != found[:-1, :2]).any(1)))
+                deals = pa.ListArray.from_arrays(pa.array(np.append(begins, len(found)), pa.int32()), pa.array(found[:, 2].copy()))
+                yield pa.record_batch([pa.array(found[begins, 0]), pa.array(found[begins, 1]), deals], ["node", "label", "deals"])
         release_memory()
 
     return run
 
 
 def propose(labelled: DataFrame, blocks: np.ndarray, most: int, forest: bool, work: Workspace) -> DataFrame:
-    """Of ``node`` that met at an anchor, have different labels and differ in ``most`` of 64
-    bits: with ``forest``, pairs (src, dst) that connect all of a batch; else visits (node,
+    """Of ``node`` that met at an anchor, have different labels and differ in ``most`` of the
+    bits that are sent: with ``forest``, pairs (src, dst) that connect all of a batch; else visits (node,
     label, deal) of one to the other's part ``deal`` of component ``label``."""
     fps = labelled.select("node", "fp", "label", "parts", F.col("deal").alias("deal_of"))
     crowded = fps.mapInArrow(_crowded(blocks, SEEN), "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n"))
     crowded = work.keep(crowded.filter(F.col("n") > HOMES).select("anchor", F.ceil(F.col("n") / HOMES).cast("int").alias("tasks")), "crowded")
-    sent = fps.mapInArrow(_sent(blocks), "anchor bigint, node bigint, part bigint, label bigint, parts bigint, deal_of bigint").withColumn("deal", F.lit(0)).withColumn("visits", F.lit(False))
+    sent = fps.mapInArrow(_sent(blocks), ", ".join(f"{c} bigint" for c in ["anchor", "node", *_PARTS, "label", "parts", "deal_of"])).withColumn("deal", F.lit(0)).withColumn("visits", F.lit(False))
     if not crowded.isEmpty():
         # Documents at a crowded anchor are dealt; each meets its own deal and the lower ones.
         own = F.coalesce(F.pmod(F.xxhash64("node"), F.col("tasks")).cast("int"), F.lit(0))
         sent = sent.drop("deal", "visits").join(crowded, "anchor", "left").withColumn("own", own).withColumn("deal", F.explode(F.sequence(F.lit(0), "own")))
         sent = sent.withColumn("visits", F.col("deal") < F.col("own"))
-    dealt = sent.select(F.xxhash64("anchor", "deal").alias("group"), "visits", "node", "part", "label", "parts", "deal_of").repartition("group").sortWithinPartitions("group", "visits")
-    return dealt.mapInArrow(_proposed(most, forest), "src bigint, dst bigint" if forest else "node bigint, label bigint, deal bigint").distinct()
+    dealt = sent.select(F.xxhash64("anchor", "deal").alias("group"), "visits", "node", *_PARTS, "label", "parts", "deal_of").repartition("group").sortWithinPartitions("group", "visits")
+    if forest:
+        return dealt.mapInArrow(_proposed(most, forest), "src bigint, dst bigint").distinct()
+    met = dealt.mapInArrow(_proposed(most, forest), "node bigint, label bigint, deals array<bigint>")
+    deals = F.array_distinct(F.flatten(F.collect_set("deals")))
+    return met.groupBy("node", "label").agg(deals.alias("deals")).select("node", "label", F.explode("deals").alias("deal"))
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -239,11 +265,27 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return shared / (len(both) - shared) if len(both) else 1.0
 
 
+def bitmap(ids: DataFrame, id_col: str) -> DataFrame:
+    """(__row, __bits): a bit is set for the hash of each id; of fixed size, however many ids."""
+    at = F.pmod(F.xxhash64(id_col), F.lit(PICKED))
+    return ids.groupBy((at / PICKED_ROW).cast("int").alias("__row")).agg(F.bitmap_construct_agg(at % PICKED_ROW).alias("__bits"))
+
+
+def picked(docs: DataFrame, id_col: str, bits: DataFrame) -> DataFrame:
+    """``docs`` with ``__picked``: whether the bit of the id is set. It is for each id of the
+    bitmap, null included, and for few others."""
+    at = F.pmod(F.xxhash64(id_col), F.lit(PICKED))
+    bit = (at % PICKED_ROW).cast("int")
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = docs.join(F.broadcast(bits), (at / PICKED_ROW).cast("int") == F.col("__row"), "left")
+    return found.select(*docs.columns, F.coalesce(F.getbit(byte, bit % 8) == 1, F.lit(False)).alias("__picked"))
+
+
 def _sets(nodes: DataFrame, docs: DataFrame, distinct: DataFrame, shingle: int, work: Workspace) -> DataFrame:
     """(node, fp, hashes): the whole shingle sets of ``nodes``."""
     wanted = work.keep(distinct.join(nodes.distinct(), "node", "left_semi").select("node", "fp", F.col("first.id").alias("wanted_id")), "wanted")
-    texts = docs.join(wanted.select("wanted_id").distinct(), docs["id"].eqNullSafe(F.col("wanted_id")), "left_semi")
-    # Ids may repeat: the fingerprint tells which text a node stands for.
+    texts = picked(docs, "id", work.keep(bitmap(wanted, "wanted_id"), "picked")).filter("__picked")
+    # The fingerprint tells which text a node stands for: ids may repeat, and others share a bit.
     sets = _with_sets(texts, "text", shingle).join(wanted.select("node", "fp"), "fp")
     return work.keep(sets.groupBy("node").agg(F.first("fp").alias("fp"), F.first("hashes").alias("hashes")), "sets")
 
@@ -289,7 +331,7 @@ def _compared(similarity: float, most: int):
 def _visited(labelled: DataFrame, blocks: np.ndarray, plain: DataFrame, shingle: int, similarity: float, work: Workspace) -> DataFrame:
     """(src, dst): links between different components, by comparing visitors with whole parts."""
     p = differing(similarity)
-    visits = work.keep(propose(labelled, blocks, _with_error(64, p, 3), False, work), "visits")
+    visits = work.keep(propose(labelled, blocks, _with_error(64 * WORDS, p, 3), False, work), "visits")
     # A part with many visitors is copied, and these are dealt over its copies.
     homes = work.keep(visits.groupBy("label", "deal").agg(F.ceil(F.count("*") / HOMES).alias("copies")), "homes")
     members = labelled.join(homes, ["label", "deal"]).select("label", "deal", "node", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)).alias("copy"))
@@ -304,7 +346,7 @@ def _visited(labelled: DataFrame, blocks: np.ndarray, plain: DataFrame, shingle:
 def _links(labelled: DataFrame, blocks: np.ndarray, plain: DataFrame, shingle: int, similarity: float, work: Workspace) -> DataFrame:
     """(src, dst): links that join most of what a large group of near copies holds."""
     p = differing(similarity)
-    pairs = work.keep(propose(labelled, blocks, _with_error(64, p, 3), True, work), "pairs")
+    pairs = work.keep(propose(labelled, blocks, _with_error(64 * WORDS, p, 3), True, work), "pairs")
     left, right = (labelled.select(F.col("node").alias(end), F.col("fp").alias(f"{end}_fp")) for end in ("src", "dst"))
     apart = F.aggregate(F.zip_with("src_fp", "dst_fp", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
     pairs = pairs.join(left, "src").join(right, "dst").select("src", "dst", apart.alias("apart"))
@@ -350,7 +392,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = work.keep(classes(docs, id_col, text_col, shingle, similarity, recall), "classes")
     kept = found.filter("kept").select(F.col(id_col).alias("__id"), F.col("fp").alias("__kept"))
     same = F.col(id_col).eqNullSafe(F.col("__id"))
-    staying = docs.join(kept, same, "left_semi")
+    # Texts are shuffled only where an id may be one of those that go.
+    marks = picked(docs, id_col, work.keep(bitmap(found.filter("not kept"), id_col), "picked"))
+    staying = marks.filter("not __picked").union(marks.filter("__picked").join(kept, same, "left_semi")).drop("__picked")
     if found.groupBy(id_col).count().filter("count > 1").isEmpty():
         return staying
     # An id that several rows share: the kept row's fingerprint tells which of them stays.

@@ -171,3 +171,40 @@ def test_visitors_meet_all_members_over_batches():
     for cut in (1, 2, 5):
         found = [r for b in run(iter([batch(rows[:cut]), *([batch(rows[cut:])] if cut < 5 else [])])) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
         assert found == [(12, 10)]
+
+
+def test_a_guest_of_many_parts_at_an_anchor_is_one_row():
+    """A component of 40 parts and 30 guests that are near all of it make 30 rows, not 1200."""
+    rows = [(1, False, node, *[7] * near_copies.WORDS, 0, 40, node % 40) for node in range(80)]
+    rows += [(1, False, node, *[7] * near_copies.WORDS, node, 1, 0) for node in range(100, 130)]
+    names = ["group", "visits", "node", *near_copies._PARTS, "label", "parts", "deal_of"]
+    batch = pa.record_batch([pa.array(c) for c in zip(*rows, strict=True)], names)
+    found = [r for b in near_copies._proposed(0, False)(iter([batch])) for r in b.to_pylist()]
+    of_component = [r for r in found if r["label"] == 0]
+    assert sorted(r["node"] for r in of_component) == list(range(100, 130))
+    assert all(r["deals"] == list(range(40)) for r in of_component)
+
+
+def test_few_rows_per_document_go_to_anchors():
+    """At 30 GB, 14 million documents, as at fewer; a pair at the threshold still meets."""
+    blocks = near_copies.blocks_of(14_000_000, 0.8, 0.99)
+    assert len(blocks) <= 60
+    assert 1 - (1 - near_copies.meeting_chance(0.8, blocks.shape[1] - near_copies.CODE_BITS)) ** len(blocks) >= 0.99
+
+
+def test_texts_are_picked_by_a_bitmap_of_their_ids(spark):
+    docs = spark.range(20_000).selectExpr("if(id = 5, null, id) AS id", "string(id) AS text")
+    wanted = docs.filter("id IS NULL OR id % 97 = 3")
+    found = near_copies.picked(docs, "id", near_copies.bitmap(wanted, "id")).filter("__picked")
+    assert wanted.exceptAll(found.drop("__picked")).isEmpty()
+    assert found.count() < 1.05 * wanted.count()
+    assert near_copies.picked(docs, "id", near_copies.bitmap(wanted.limit(0), "id")).filter("__picked").isEmpty()
+
+
+def test_sets_are_worked_out_for_picked_texts_only(spark):
+    """A filter on the function's result would be moved below the choice of texts."""
+    docs = spark.range(100).selectExpr("id", "string(id) AS text")
+    texts = near_copies.picked(docs, "id", near_copies.bitmap(docs.filter("id < 3"), "id")).filter("__picked")
+    sets = near_copies._with_sets(texts, "text", 5).join(docs.selectExpr("array(id) AS fp"), "fp")
+    plan = sets._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert min(k for k, line in enumerate(plan) if "ArrowEvalPython" in line) < min(k for k, line in enumerate(plan) if "Join LeftOuter" in line)
