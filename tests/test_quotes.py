@@ -11,6 +11,7 @@ import pytest
 
 from lorekiln.functions.similarity import fuzzy_match
 from lorekiln.operators import links, quotes
+from lorekiln.plans import queries_quotes
 from lorekiln.sources import shared
 
 WORDS = [f"word{k:02d}" for k in range(40)]
@@ -97,6 +98,27 @@ def test_a_letter_changed_in_every_third_word_is_found(spark, shape):
     assert found.count() == 12
 
 
+def test_fuzzy_quotes_are_found_at_every_place(spark, tmp_path):
+    """Whatever the place where the only close window begins, also between twelfths of the quote."""
+    rng = random.Random(21)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    asked = [(k, letters(n)) for k, n in enumerate((32, 47, 120, 190))]
+    bodies = []
+    for k, quote in asked:
+        loose = int(len(quote) * 0.06 + 1e-6)
+        for at in range(0, 40, 3):
+            changed_at = {1 + (j * len(quote)) // loose for j in range(loose)}  # all that may be changed is
+            body = "".join("Z" if j in changed_at else c for j, c in enumerate(quote))
+            bodies.append((k * 100 + at, letters(at) + body + letters(rng.randint(0, 30))))
+    q, d = spark.createDataFrame(asked, "item_id long, text string"), spark.createDataFrame(bodies, "doc_id long, text string")
+    q.write.parquet(f"{tmp_path}/benchmark.parquet")
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    every = lambda quote, body: any(close(quote, body[at : at + len(quote)]) for at in range(len(body) - len(quote) + 1))
+    wanted = {(k, j, "fuzzy") for k, quote in asked for j, body in bodies if every(quote, key(body))}
+    assert {(k, k * 100 + at, "fuzzy") for k, _ in asked for at in range(0, 40, 3)} <= wanted
+    assert set(map(tuple, queries_quotes.sim_quote_fuzzy(spark, str(tmp_path)).collect())) == wanted
+
+
 def test_no_quotes_and_no_documents(spark):
     q, d = spark.createDataFrame([(1, "a quote")], "item_id long, quote string"), spark.createDataFrame([(1, "a quote")], "doc_id long, text string")
     for one, other in ((q.limit(0), d), (q, d.limit(0)), (q.limit(0), d.limit(0))):
