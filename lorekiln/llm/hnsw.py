@@ -91,11 +91,15 @@ class Graph:
     def __init__(self, vectors: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]]):
         self.vectors, self.layers = vectors, layers
 
+    @staticmethod
+    def _heights(n: int, seed: int) -> np.ndarray:
+        return np.floor(-np.log(np.random.default_rng(seed).random(n)) / np.log(DEGREE)).astype(int)
+
     @classmethod
     def build(cls, vectors: np.ndarray, seed: int = 7) -> Graph:
         """Over unit vectors."""
         n = len(vectors)
-        heights = np.floor(-np.log(np.random.default_rng(seed).random(n)) / np.log(DEGREE)).astype(int)
+        heights = cls._heights(n, seed)
         top = 0
         while (heights > top).sum() > TOP_NODES // 4 and (heights >= top).sum() > TOP_NODES:
             top += 1
@@ -194,3 +198,26 @@ class Graph:
             layers.append((nodes, links))
             k += 1
         return cls(vectors, layers)
+
+    def parts(self) -> list[bytes]:
+        """The neighbours of each node, layer after layer from the lowest on."""
+        out = [b""] * len(self.vectors)
+        for nodes, links in self.layers:
+            for node, own in zip(nodes.tolist(), links[nodes].astype(np.int32), strict=True):
+                out[node] += own.tobytes()
+        return out
+
+    @classmethod
+    def of_parts(cls, vectors: np.ndarray, parts: list[bytes], seed: int = 7) -> Graph:
+        """The graph that was built over ``vectors`` in this order and taken to pieces by :func:`parts`."""
+        heights, sizes = cls._heights(len(vectors), seed), np.array([len(p) for p in parts])
+        layers, begin, degree = [], 0, LOW_DEGREE
+        while begin < sizes.max():
+            end = begin + 4 * (degree + 1)
+            nodes = np.flatnonzero(sizes >= end)
+            nodes = nodes[np.argsort(-heights[nodes], kind="stable")]
+            links = np.full((len(vectors), degree + 1), -1, np.int32)
+            links[nodes] = np.frombuffer(b"".join(parts[k][begin:end] for k in nodes.tolist()), np.int32).reshape(-1, degree + 1)
+            layers.append((nodes, links))
+            begin, degree = end, DEGREE
+        return cls(vectors, layers)

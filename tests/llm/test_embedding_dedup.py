@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 from lorekiln.llm import embedding_dedup
 from lorekiln.llm.hnsw import Graph
@@ -99,3 +100,50 @@ def test_spanning_stars():
 
 def test_empty_table(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def unit(rng, n, dim=16):
+    v = rng.normal(size=(n, dim)).astype(np.float32)
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+def test_a_shard_is_a_row_per_vector_and_the_same_graph():
+    v = unit(np.random.default_rng(3), 3000)
+    table = pa.table({"dim": [16] * 3000, "shard": [0] * 3000, "rep": range(3000), "copies": [1] * 3000, "embedding": v.tolist()})
+    built = embedding_dedup._build(table)
+    assert built["rep"].to_pylist() == list(range(3000)) and max(map(len, built["links"].to_pylist())) < 500
+    graph, again = Graph.build(v), Graph.of_parts(v, built["links"].to_pylist())
+    assert [n.tolist() for n, _ in graph.layers] == [n.tolist() for n, _ in again.layers]
+    assert all((a == b).all() for a, b in zip(graph.search(v[:200], 16), again.search(v[:200], 16), strict=True))
+
+
+def test_pairs_of_a_hot_cluster_are_held_a_few_at_a_time(monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "HELD", 4000)
+    rng = np.random.default_rng(6)
+    v = np.concatenate([unit(rng, 1)[[0] * 1200] + rng.normal(size=(1200, 16)) * 0.02, unit(rng, 800)]).astype(np.float32)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    graph, found = Graph.build(v), set()
+    for q, node, _, _ in embedding_dedup._pairs(graph, v, 16):
+        assert len(q) <= 4000
+        found.update(zip(q.tolist(), node.tolist(), strict=True))
+    exact = {(a, b) for a, b in zip(*np.nonzero(v @ v.T >= embedding_dedup.THRESHOLD), strict=True)}
+    assert len(exact & found) >= 0.99 * len(exact)
+    shard = embedding_dedup._Shard(16)
+    for part, asks in ((Graph.build(v).parts(), 0), ([None] * 2000, 1)):
+        columns = {"asks": [asks] * 2000, "rep": range(2000), "copies": [1] * 2000, "embedding": pa.array(v.tolist(), pa.list_(pa.float32())), "links": pa.array(part, pa.binary())}
+        assert list(shard.take(pa.RecordBatch.from_pydict(columns))) == []  # waits for more queries
+    rows = [r for batch in shard.close() for r in batch.to_pylist()]
+    assert sum(len(member) for member, _ in shard.stars) < 2000
+    links = {r["rep"]: r["links"] for r in rows if r["other"] < 0}
+    assert min(links.get(k, 0) for k in range(1200)) >= 1190
+
+
+def test_many_tasks_and_batches(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "LEAST_QUERIES", 40)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        rows = rows_of(np.random.default_rng(12), 500) + [(600 + k, [1.0, 0.1 * k], "x") for k in range(9)]
+        assert found(embedding_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA))) == brute_force(rows)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
