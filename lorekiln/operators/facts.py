@@ -27,6 +27,7 @@ from pyspark.sql import types
 
 from lorekiln.functions import similarity as S
 from lorekiln.functions import text as T
+from lorekiln.functions.batches import small_batches
 from lorekiln.operators.quotes import small
 from lorekiln.operators.ranges import Ranges, Running
 from lorekiln.sources.shared import Workspace
@@ -205,10 +206,11 @@ def _fold(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())], ["node", "quote", "group"])
 
 
-def _whole(table: pa.Table) -> pa.Table:
-    """Decides a bucket of few rows: (tag, kind, id, group, rank), ``rank`` counts the bucket's groups."""
-    ids = table.column("id")
-    rows = table.select(["claim", "quote", "apart", "doc", "name"]).to_pylist()
+def _whole(rows: list[dict]) -> Iterator[tuple[int, int, int]]:
+    """Decides a bucket of few rows: (row, its group's first row, rank); ``rank`` counts the bucket's groups."""
+    if len(rows) == 1:
+        yield 0, 0, 0
+        return
     order = sorted(range(len(rows)), key=lambda k: tuple(rows[k][c] for c in ("claim", "quote", "doc", "name")))
     units, heads, last = [], [], None  # claims are numbered as they come
     for k in order:
@@ -221,9 +223,36 @@ def _whole(table: pa.Table) -> pa.Table:
         units.append((now, rows[k]["quote"], None, None))
     groups = list(first_fit(iter(units)))
     ranks = {g: n for n, g in enumerate(sorted(set(groups)))}
-    at, first = pa.array(order, pa.int64()), pa.array([heads[g] for g in groups], pa.int64())
-    columns = [table.column("tag").take(at), table.column("kind").take(at), ids.take(at), ids.take(first), pa.array([ranks[g] for g in groups], pa.int64())]
-    return pa.Table.from_arrays(columns, ["tag", "kind", "id", "group", "rank"])
+    for k, group in zip(order, groups, strict=True):
+        yield k, heads[group], ranks[group]
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(tag, kind, id, group, rank) of many buckets of few rows, which follow one another."""
+    held: list[dict] = []
+    for batch in batches:
+        names, out = batch.schema, {"tag": [], "kind": [], "id": [], "group": [], "rank": []}
+        for row in batch.to_pylist():
+            if held and (row["tag"], row["kind"]) != (held[0]["tag"], held[0]["kind"]):
+                _decide(held, out)
+                held = []
+            held.append(row)
+        yield _placed(out, names)
+    if held:
+        _decide(held, out := {"tag": [], "kind": [], "id": [], "group": [], "rank": []})
+        yield _placed(out, names)
+
+
+def _decide(rows: list[dict], out: dict[str, list]) -> None:
+    for k, first, rank in _whole(rows):
+        values = rows[k]["tag"], rows[k]["kind"], rows[k]["id"], rows[first]["id"], rank
+        for column, value in zip(out.values(), values, strict=True):
+            column.append(value)
+
+
+def _placed(out: dict[str, list], names: pa.Schema) -> pa.RecordBatch:
+    kinds = {"tag": pa.string(), "kind": pa.string(), "id": names.field("id").type, "group": names.field("id").type, "rank": pa.int64()}
+    return pa.RecordBatch.from_arrays([pa.array(out[c], kind) for c, kind in kinds.items()], list(kinds))
 
 
 def fact_groups(claims: DataFrame, tag: str, kind: str, id_col: str, claim: str, quote: str, doc: str, most: int = MOST_GROUPS, block: int = BLOCK) -> DataFrame:
@@ -231,6 +260,7 @@ def fact_groups(claims: DataFrame, tag: str, kind: str, id_col: str, claim: str,
     first row. Of a tag's groups beyond ``most``, in order of kind and first claim, ``overflow`` is true:
     such a group keeps its first row and goes to review. Null tags, kinds, claims and quotes count
     as empty; ids are unique. Buckets of ``block`` rows and fewer are decided at once."""
+    small_batches(claims.sparkSession)
     work = Workspace(claims.sparkSession, "fact-groups")
     text = lambda c: T.text_or_empty(F.col(c).cast("string"))
     rows = claims.select(text(tag).alias("tag"), text(kind).alias("kind"), F.col(id_col).alias("id"), text(doc).alias("doc"), T.claim_key(F.col(claim)).alias("claim"), T.claim_key(F.col(quote)).alias("quote"))
@@ -240,7 +270,8 @@ def fact_groups(claims: DataFrame, tag: str, kind: str, id_col: str, claim: str,
     large = work.keep(rows.groupBy("tag", "kind").agg(F.count("*").alias("n")).filter(F.col("n") > block).select("tag", "kind"), "large")
     few = rows.join(small(large), ["tag", "kind"], "left_anti").withColumn("name", F.col("id").cast("string"))
     kind_of_id = rows.schema["id"].dataType.simpleString()
-    placed = few.groupBy("tag", "kind").applyInArrow(_whole, f"tag string, kind string, id {kind_of_id}, group {kind_of_id}, rank bigint")
+    few = few.repartition("tag", "kind").sortWithinPartitions("tag", "kind")  # most buckets are a row or two: no group of its own for each
+    placed = few.mapInArrow(_buckets, f"tag string, kind string, id {kind_of_id}, group {kind_of_id}, rank bigint")
     if not large.isEmpty():
         placed = placed.unionByName(_in_blocks(rows.join(small(large), ["tag", "kind"], "left_semi"), block, work))
     placed = work.keep(placed, "placed")

@@ -83,6 +83,24 @@ def test_groups_are_a_fold_whatever_the_blocks(spark, seed, block):
     assert len(got) == len(rows) and any(o for _, o in wanted.values())
 
 
+def test_many_small_buckets_are_decided_together(spark, monkeypatch):
+    """Also where a batch ends within a bucket; no group of its own is made for any of them."""
+    rng = random.Random(11)
+    rows = [(f"tag {k}", rng.choice("ab"), f"{k}:{j}", rng.choice(["the dose is 5 mg", "the dose is 5 mg.", "another thing", None, ""]), rng.choice([None, "q", f"q{k}"]), "d") for k in range(150) for j in range(rng.choice([1, 1, 1, 2, 5, 30]))]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "tag string, kind string, id string, claim string, quote string, doc string")
+    grouped = type(df.groupBy("tag")).applyInArrow
+    monkeypatch.setattr(type(df.groupBy("tag")), "applyInArrow", lambda *a, **k: pytest.fail("a group per bucket"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = facts.fact_groups(df, "tag", "kind", "id", "claim", "quote", "doc", most=1).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+        monkeypatch.setattr(type(df.groupBy("tag")), "applyInArrow", grouped)
+    assert {r.id: (r.group, r.overflow) for r in got} == brute_force(rows, 1) and len(got) == len(rows)
+
+
 def test_no_claims(spark):
     df = spark.createDataFrame([], "tag string, kind string, id long, claim string, quote string, doc string")
     assert facts.fact_groups(df, "tag", "kind", "id", "claim", "quote", "doc").count() == 0
