@@ -4,12 +4,13 @@ A claim joins the first group that has a member with the same claim or quote, or
 is similar enough; else it begins a group. That is sequential by definition, but for two facts: like
 claims with like quotes share their fate, and a claim meets only the first claims of groups. So
 claims are numbered by a prefix scan and decided in blocks of a bounded number; of the blocks before
-only their first claims and the groups of their quotes are joined in, by a similarity join with
-prefix filters. Large buckets take more rounds, not larger tasks, and no pairs of mere members are made.
+only their first claims and the groups of their quotes come in: a task holds the first claims of one block
+and looks them over for each claim of another. Large buckets take more rounds, not larger tasks, and no
+pairs of claims are shuffled.
 
 Similar: no different numbers, and a matching ratio of 0.88 or a share of common words of 0.82. A ratio
 of 0.88 leaves at most 12 % of the characters of both unmatched, so that two claims of n and m characters
-have 0.2 (n + m) - 2 runs of three characters in common: one of them is among the rarest runs of both.
+have 0.2 (n + m) - 2 runs of three characters in common.
 """
 
 from __future__ import annotations
@@ -21,9 +22,8 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types
 
 from lorekiln.functions import similarity as S
 from lorekiln.functions import text as T
@@ -114,7 +114,8 @@ class Firsts:
         if size <= S.LCS_LONGEST:
             if "masks" not in claim:
                 claim["masks"] = S.places(text)
-            if 2 * S.common_in_order(claim["masks"], len(text), other) < (CLAIM_RATIO - 1e-9) * size:
+            least = (CLAIM_RATIO - 1e-9) * size / 2
+            if S.common_in_order(claim["masks"], len(text), other, least) < least:
                 return False
         return SequenceMatcher(None, text, other).ratio() >= CLAIM_RATIO
 
@@ -139,44 +140,6 @@ class Firsts:
         return self.claims[best]["node"] if best < n else None
 
 
-@F.arrow_udf(types.BooleanType())
-def _ratio_reached(later: pa.Array, first: pa.Array) -> pa.Array:
-    out = []
-    for x, y in zip(later.to_pylist(), first.to_pylist(), strict=True):
-        if x is None:
-            out.append(None)
-            continue
-        match, size = SequenceMatcher(None, x, y), len(x) + len(y)
-        able = match.quick_ratio() >= CLAIM_RATIO
-        if able and size <= S.LCS_LONGEST:
-            able = 2 * S.common_in_order(S.places(x), len(x), y) >= (CLAIM_RATIO - 1e-9) * size
-        out.append(able and match.ratio() >= CLAIM_RATIO)
-    return pa.array(out, pa.bool_())
-
-
-def _runs(nodes: DataFrame, size: int, fits: Column, most: Column) -> DataFrame:
-    """(tag, kind, node, of, most, sign) of all runs of ``size`` characters, told apart by how often a
-    claim has them."""
-    shifted = [F.regexp_extract_all(F.substring("claim", shift + 1, 2**31 - 1), F.lit(f"(?s).{{{size}}}"), F.lit(0)) for shift in range(size)]
-    runs = nodes.filter((F.col("claim") != "") & fits).select("tag", "kind", "node", most.cast("int").alias("most"), F.explode(F.concat(*shifted)).alias("run"))
-    times = F.row_number().over(Window.partitionBy("node", "run").orderBy("most"))  # a claim's own runs
-    return runs.select("tag", "kind", "node", F.lit(size).alias("of"), "most", F.concat_ws("\x00", "run", times).alias("sign"))
-
-
-def _signs(nodes: DataFrame) -> DataFrame:
-    """(tag, kind, node, sign): the rarest runs and words of each claim, so many that similar claims
-    have one in common. Short claims have shorter runs, too."""
-    n, size = F.length("claim"), F.size("words")
-    parts = [_runs(nodes, 3, n >= 7, n - 1 - F.greatest(F.floor(0.357 * n - 2.0001), F.lit(1))), _runs(nodes, 2, n <= 8, n), _runs(nodes, 1, n <= 3, n)]
-    words = nodes.filter(size > 0).select("tag", "kind", "node", F.lit(0).alias("of"), (size - F.ceil(CLAIM_JACCARD * size - 1e-9) + 1).cast("int").alias("most"), F.explode("words").alias("sign"))
-    every = words
-    for part in parts:
-        every = every.unionByName(part)
-    counts = every.groupBy("of", "sign").agg(F.count("*").alias("times"))
-    rank = F.row_number().over(Window.partitionBy("node", "of").orderBy("times", "sign"))  # a claim's own signs
-    return every.join(counts, ["of", "sign"]).withColumn("rank", rank).filter("rank <= most").select("tag", "kind", "node", F.concat_ws(":", "of", "sign").alias("sign"))
-
-
 def first_fit(units: Iterator[tuple[dict, str, int | None, int | None]]) -> Iterator[int]:
     """The group, by its first claim's number, of each (claim, quote, base, known) in order. Claims carry
     node, claim, words and numbers; ``base`` is the least similar group of earlier claims that are not
@@ -300,7 +263,6 @@ def _in_blocks(rows: DataFrame, block: int, work: Workspace) -> DataFrame:
 def _decided(nodes: DataFrame, units: DataFrame, work: Workspace) -> DataFrame:
     """(node, quote, group), round by round."""
     last = nodes.agg(F.max("block")).first()[0] or 0
-    signs = work.keep(_signs(nodes), "signs") if last else None
     base = None  # (node, base): least group of earlier blocks that is similar
     done = None
     for turn in range(last + 1):
@@ -315,25 +277,30 @@ def _decided(nodes: DataFrame, units: DataFrame, work: Workspace) -> DataFrame:
         found = work.keep(found, f"groups-{turn}")
         done = found if done is None else done.unionByName(found)
         if turn < last:
-            base = work.keep(_nearest(nodes, signs, found, base, turn), f"base-{turn}")
+            base = work.keep(_nearest(nodes, found, base, turn), f"base-{turn}")
     return done
 
 
-def _nearest(nodes: DataFrame, signs: DataFrame, found: DataFrame, base: DataFrame | None, turn: int) -> DataFrame:
+def _nearest(nodes: DataFrame, found: DataFrame, base: DataFrame | None, turn: int) -> DataFrame:
     """(node, base) of the claims of later blocks: the least of ``base`` and of the similar groups that
     this turn began. Groups of earlier turns are smaller, so claims that have one are not compared."""
-    begun = found.filter("node = group").select(F.col("group").alias("head")).distinct()
-    heads = begun.join(nodes.select(F.col("node").alias("head"), F.col("claim").alias("h_claim"), F.col("words").alias("h_words"), F.col("numbers").alias("h_numbers")), "head")
-    later = nodes.filter(F.col("block") > turn).select("node", "claim", "words", "numbers")
+    begun = found.filter("node = group").select("node").distinct()
+    later = nodes.filter(F.col("block") > turn)
     if base is not None:
         later = later.join(base.select("node"), "node", "left_anti")
-    head_signs = signs.join(begun, signs["node"] == begun["head"]).select("tag", "kind", "sign", "head")
-    pairs = signs.join(later.select("node"), "node").join(head_signs, ["tag", "kind", "sign"]).select("node", "head").distinct()
-    pairs = pairs.join(later, "node").join(heads, "head")
-    differ = (F.size("numbers") > 0) & (F.size("h_numbers") > 0) & (F.col("numbers") != F.col("h_numbers"))
-    shared = (F.size("words") > 0) & (F.size("h_words") > 0) & (S.token_jaccard(F.col("words"), F.col("h_words")) >= CLAIM_JACCARD)
-    able = ~shared & (F.col("claim") != "") & (F.col("h_claim") != "") & (S.ratio_bound(F.col("claim"), F.col("h_claim")) >= CLAIM_RATIO)
-    pairs = pairs.filter(~differ & (shared | able)).withColumn("able", able)
-    near = F.coalesce(_ratio_reached(F.when(F.col("able"), F.col("claim")), F.when(F.col("able"), F.col("h_claim"))), F.lit(True))
-    fresh = pairs.filter(near).groupBy("node").agg(F.min("head").alias("base"))
+    columns = ["tag", "kind", "block", "node", "claim", "words", "numbers"]
+    heads = nodes.drop("block").join(begun, "node").join(later.select("tag", "kind", "block").distinct(), ["tag", "kind"])
+    heads = heads.select(*[F.col(c).alias(f"head_{c}") for c in columns])
+    both = heads.groupBy("head_tag", "head_kind", "head_block").cogroup(later.select(*columns).groupBy("tag", "kind", "block"))
+    fresh = both.applyInArrow(_near, "node bigint, base bigint")
     return fresh if base is None else base.unionByName(fresh)
+
+
+def _near(heads: pa.Table, later: pa.Table) -> pa.Table:
+    """The earliest of ``heads``, first claims of a block, that each claim of a later block is similar to."""
+    claim = lambda r: {"node": r["node"], "claim": r["claim"], "words": set(r["words"]), "numbers": set(r["numbers"])}
+    firsts = Firsts()
+    for row in sorted(heads.rename_columns(later.column_names).to_pylist(), key=lambda r: r["node"]):
+        firsts.add(claim(row))
+    found = [(r["node"], near) for r in later.to_pylist() if (near := firsts.near(claim(r))) is not None]
+    return pa.Table.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["node", "base"])

@@ -163,9 +163,11 @@ def grf_fact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as claims of the tag that their language and first words make, with their last sentence as
     quote; tests compare the operator with a fold over all claims."""
     lines = table(spark, sf_dir, "documents").select("doc_id", "lang", F.posexplode(F.split(T.text_or_empty(F.col("text")), "\n")).alias("k", "line")).filter("trim(line) <> ''")
-    words, sentences = F.split(T.match_key(F.col("line")), " "), F.filter(F.split("line", r"[.!?]+"), lambda s: F.trim(s) != "")
+    word, between = T.WORD, r"[^\p{L}\p{N}_]+"
+    first = lambda n: F.regexp_extract(F.lower("line"), f"^(?:{between})?" + f"{word}{between}" * n + f"({word})", 1)
+    sentences = F.filter(F.split("line", r"[.!?]+"), lambda s: F.trim(s) != "")
     claims = lines.select(
-        F.concat_ws("/", "lang", F.get(words, F.lit(0)), F.get(words, F.lit(1))).alias("tag"), F.when(F.length("line") <= 60, "short").otherwise("long").alias("kind"),
+        F.concat_ws("/", "lang", first(0), F.nullif(first(1), F.lit(""))).alias("tag"), F.when(F.length("line") <= 60, "short").otherwise("long").alias("kind"),
         F.concat_ws(":", "doc_id", "k").alias("id"), F.col("line").alias("claim"), F.when(F.size(sentences) > 1, F.element_at(sentences, -1)).alias("quote"), "doc_id",
     )
     return facts.fact_groups(claims, "tag", "kind", "id", "claim", "quote", "doc_id")

@@ -150,3 +150,24 @@ def test_few_claims_are_matched_character_by_character(monkeypatch):
         wanted.append(next((f for f in range(k) if wanted[f] == f and similar(line, lines[f])), k))
     assert got == wanted and len(set(got)) < len(lines)
     assert len(made) < 200  # all firsts, one by one, are more than 10 000
+
+
+def test_later_blocks_meet_firsts_without_pairs(spark, monkeypatch):
+    """Claims of one alphabet share runs everywhere; bounds over all firsts of a block leave few to be matched."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(200)]
+    lines = [" ".join(rng.choices(words, k=40)) for _ in range(60)]
+    lines += [line.replace(line.split()[7], "changed", 1) for line in lines[::4]]
+    rows = [("t", "k", k, line, None, "d") for k, line in enumerate(lines)]
+    df = spark.createDataFrame(rows, "tag string, kind string, id long, claim string, quote string, doc string")
+    got = facts.fact_groups(df, "tag", "kind", "id", "claim", "quote", "doc", block=25).collect()
+    assert {r.id: (r.group, r.overflow) for r in got} == brute_force(rows, 200)
+    assert len({r.group for r in got}) < len(rows)
+    claims = [{"node": k, "claim": line, "words": set(facts.WORDS.findall(line)), "numbers": set()} for k, line in enumerate(lines)]
+    made = []
+    monkeypatch.setattr(facts, "SequenceMatcher", lambda *a: made.append(a) or SequenceMatcher(*a))
+    table = facts.pa.Table.from_pylist([c | {"words": sorted(c["words"]), "numbers": []} for c in claims], facts.pa.schema([("node", "int64"), ("claim", "string"), ("words", facts.pa.list_(facts.pa.string())), ("numbers", facts.pa.list_(facts.pa.string()))]))
+    found = facts._near(table.slice(0, 60), table.slice(60))
+    wanted = [(60 + k, next((f for f in range(60) if similar(lines[60 + k], lines[f])), None)) for k in range(15)]
+    assert list(zip(found["node"].to_pylist(), found["base"].to_pylist(), strict=True)) == wanted
+    assert len(made) < 60  # of 900 pairs
